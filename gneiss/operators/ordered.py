@@ -33,16 +33,20 @@ def range_chunks(df: DataFrame, keys, order_by) -> DataFrame:
     return durable(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
-def rolling_mean(df: DataFrame, keys, order_by, value: str, frames: dict, group_rows: int = GROUP_ROWS) -> DataFrame:
+def rolling_mean(
+    df: DataFrame, keys, order_by, value: str, frames: dict, group_rows: int = GROUP_ROWS, largest: int | None = None
+) -> DataFrame:
     """Means over row frames that look back at most a few rows.
 
     ``frames`` maps an output name to ``(first, last)`` offsets, both at most 0, for
     instance ``(-7, -1)`` for the previous seven rows. ``order_by`` must be a total order.
+    ``largest`` is the size of the largest key where the caller knows a cheaper way to it;
+    an estimate will do, as it only chooses the plan.
     """
     names, order_by = key_list(keys), list(order_by)
     if any(last > 0 or first > last for first, last in frames.values()):
         raise ValueError("frames may only look back")
-    if largest_group(df, names) <= group_rows:
+    if (largest_group(df, names) if largest is None else largest) <= group_rows:
         return _with_means(df, Window.partitionBy(*names).orderBy(*order_by), value, frames)
 
     reach = -min(first for first, _ in frames.values())
@@ -73,11 +77,13 @@ def _with_means(df, window, value, frames):
     return df.withColumns({n: F.avg(value).over(window.rowsBetween(a, b)) for n, (a, b) in frames.items()})
 
 
-def next_at_or_after(df: DataFrame, keys, time: str, marks: dict[str, Column], group_rows: int = GROUP_ROWS) -> DataFrame:
+def next_at_or_after(
+    df: DataFrame, keys, time: str, marks: dict[str, Column], group_rows: int = GROUP_ROWS, largest: int | None = None
+) -> DataFrame:
     """For every row, the earliest ``time`` of a marked row of its key, not before its own.
 
     ``marks`` maps an output name to a condition. This answers "the next event of that
-    kind" without joining a key's rows with one another.
+    kind" without joining a key's rows with one another. ``largest`` as in ``rolling_mean``.
     """
     names = key_list(keys)
     marked = {n: F.when(cond, F.col(time)) for n, cond in marks.items()}
@@ -85,7 +91,7 @@ def next_at_or_after(df: DataFrame, keys, time: str, marks: dict[str, Column], g
     def ahead(*parts):
         return Window.partitionBy(*parts).orderBy(F.col(time).desc()).rangeBetween(Window.unboundedPreceding, 0)
 
-    if largest_group(df, names) <= group_rows:
+    if (largest_group(df, names) if largest is None else largest) <= group_rows:
         return df.withColumns({n: F.min(c).over(ahead(*names)) for n, c in marked.items()})
 
     chunked = range_chunks(df, names, [time])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, ratio, steady_round
-from gneiss.operators.ordered import GROUP_ROWS, rolling_mean
+from gneiss.operators.ordered import GROUP_ROWS, largest_group, rolling_mean
 
 JOB = ["pipeline_id", "pipeline_name", "job_id"]
 
@@ -41,7 +41,9 @@ def cleaned_costs(
     jobs = runs_per_job(runs) if reduce_runs else runs
     joined = recent.join(jobs.filter(F.col("job_id").isNotNull()), "job_id")
     frames = {"_previous": (-7, -1), "_recent": (-6, 0)}
-    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", frames, group_rows)
+    # A pipeline's rows are those of its jobs; usage alone tells their number well enough.
+    largest = largest_group(recent, ["job_id"])
+    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", frames, group_rows, largest)
     cost = F.col("dbu_cost")
 
     def share(kind):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, steady_round
 from gneiss.operators.keys import has_null_key, latest_per_key
-from gneiss.operators.ordered import GROUP_ROWS, next_at_or_after
+from gneiss.operators.ordered import GROUP_ROWS, largest_group, next_at_or_after
 from gneiss.plans.event_log import parsed_events, update_events
 
 # The states that end an update.
@@ -21,14 +21,16 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     The end is the first event of a final state, and the last event of any other state;
     so a RUNNING row with its own span appears too.
 
-    An update's events are never joined with each other. Events are first reduced to
-    distinct ones; the next final event comes from an ordered pass, and the last event of
-    every other state from an aggregate that is joined once per update.
+    An update's events are never joined with each other: the next final event comes from an
+    ordered pass, the last event of every other state from an aggregate that is joined once
+    per update and holds one entry per state.
     """
-    events = update_events(log).select(*PIPELINE, "update_id", "event_time", "update_state").distinct()
+    events = update_events(log).select(*PIPELINE, "update_id", "event_time", "update_state")
     update = ["pipeline_id", "update_id"]
     keyed = events.filter(~has_null_key(update))
     state = F.col("update_state")
+    # Group sizes come from the ids alone; no details are parsed for them.
+    largest = largest_group(log.filter(F.col("event_type") == "update_progress"), ["origin.pipeline_id", "origin.update_id"])
 
     last_open = (
         keyed.filter(~F.coalesce(state.isin(FINAL_STATES), F.lit(False)))
@@ -36,7 +38,9 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         .groupBy(*update).agg(F.collect_list(F.struct("update_state", "end")).alias("_open"))
     )
     marks = {f"_next_{s}": state == s for s in FINAL_STATES}
-    starts = next_at_or_after(keyed, update, "event_time", marks, group_rows).filter(state == "RUNNING")
+    ahead = next_at_or_after(keyed, update, "event_time", marks, group_rows, largest)
+    # Repeated starts fall away within the update's partition, so no further shuffle.
+    starts = ahead.filter(state == "RUNNING").drop("update_state").distinct()
     finals = [F.struct(F.lit(s).alias("update_state"), F.col(f"_next_{s}").alias("end")) for s in FINAL_STATES]
     seen = F.filter(
         F.concat(F.array(*finals), F.coalesce("_open", F.array())),
@@ -49,7 +53,7 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     lost = events.filter(has_null_key(update) & (state == "RUNNING")).select(
         *PIPELINE, "update_id", F.col("event_time").alias("update_start_time"),
         F.lit(None).cast("string").alias("final_state"), F.lit(None).cast("timestamp").alias("update_end_time"),
-    )
+    ).distinct()
     minutes = (F.unix_timestamp("update_end_time") - F.unix_timestamp("update_start_time")) / F.lit(60.0)
     return ended.unionByName(lost).select(
         *PIPELINE, "update_id", "update_start_time", "update_end_time", "final_state", minutes.alias("runtime_minutes")
@@ -81,18 +85,18 @@ def retry_counts(runtimes: DataFrame, as_of=None, days: int = 7) -> DataFrame:
         F.min("update_end_time").alias("_first_failure")
     )
     start = F.col("update_start_time")
-    runs = completed.select(*PIPELINE, "update_id", "update_start_time").distinct()
-    same_day = runs.filter(~has_null_key(PIPELINE)).withColumn("_day", start.cast("date"))
-    midnight = same_day.filter(start == F.date_trunc("day", start)).withColumn("_day", F.date_sub("_day", 1))
+    own_day = start.cast("date")
+    days_after = F.when(start == F.date_trunc("day", start), F.array(own_day, F.date_sub(own_day, 1))).otherwise(F.array(own_day))
     retried = (
-        same_day.unionByName(midnight)
+        completed.filter(~has_null_key(PIPELINE))
+        .select(*PIPELINE, "update_id", start, F.explode(days_after).alias("_day"))
         .join(failed_days, [*PIPELINE, "_day"])
         .filter(F.col("_first_failure") < start)
-        .select("update_id").distinct()
+        .select("update_id")
     )
-    recent = runs.filter(start >= F.date_sub(day(as_of), days)).select(*PIPELINE, "update_id").distinct()
+    recent = completed.filter(start >= F.date_sub(day(as_of), days)).select(*PIPELINE, "update_id")
     return recent.join(retried, "update_id", "left_semi").groupBy(*PIPELINE).agg(
-        F.count("update_id").alias("retry_count_7d")
+        F.count_distinct("update_id").alias("retry_count_7d")
     )
 
 
@@ -133,12 +137,15 @@ def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max") -> DataFra
         F.max(F.when(kind == "update_progress", at)).alias("_last_update"),
     )
     runtimes = update_runtimes(log)
+    # Of the update that ended last only the run time is shown, so a maximum finds it.
+    last_run = F.max(F.when(F.col("runtime_minutes").isNotNull(), F.struct("update_end_time", "runtime_minutes")))
     times = runtimes.groupBy(*PIPELINE).agg(
-        F.avg("runtime_minutes").alias("avg_runtime_minutes"), F.max("runtime_minutes").alias("longest_runtime_minutes")
+        F.avg("runtime_minutes").alias("avg_runtime_minutes"),
+        F.max("runtime_minutes").alias("longest_runtime_minutes"),
+        last_run["runtime_minutes"].alias("latest_runtime_minutes"),
     )
-    latest = latest_updates(runtimes).select(*PIPELINE, F.col("runtime_minutes").alias("latest_runtime_minutes"))
     joined = metrics.filter(F.col("_last_update").isNotNull())
-    for side in (times, latest, retry_counts(runtimes, as_of)):
+    for side in (times, retry_counts(runtimes, as_of)):
         joined = joined.join(side, PIPELINE, "left")
     return joined.withColumns({
         "retry_count_7d": F.coalesce("retry_count_7d", F.lit(0).cast("bigint")),

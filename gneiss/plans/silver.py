@@ -24,6 +24,11 @@ WIND_RULE = {"valid_wind_speed": "windSpeed >= 0"}
 TABLE_RULES = {"valid_wind_speed": "windSpeed BETWEEN 0 AND 200", "valid_timestamps": "startTimeUTC <= endTimeUTC"}
 
 
+def _without(time: Column, offset: Column) -> Column:
+    """A time without the offset found at its end: a cut, cheaper than a second pattern."""
+    return F.left(time, F.length(time) - F.length(offset))
+
+
 def _shifted(local: Column, offset: Column, mode: str) -> Column:
     shift = F.from_utc_timestamp if mode == "reference" else F.to_utc_timestamp
     at = local.try_cast("timestamp")
@@ -46,9 +51,9 @@ def silver_forecasts(
     if utc_mode not in ("reference", "correct", None) or end_offset not in ("start", "own"):
         raise ValueError("unknown utc_mode or end_offset")
     start, end = F.col("startTime"), F.col("endTime")
-    offset = F.regexp_extract(start, OFFSET, 1)
-    local_start, local_end = F.regexp_replace(start, OFFSET, ""), F.regexp_replace(end, OFFSET, "")
-    used = offset if end_offset == "start" else F.regexp_extract(end, OFFSET, 1)
+    offset, own_offset = F.regexp_extract(start, OFFSET, 1), F.regexp_extract(end, OFFSET, 1)
+    local_start, local_end = _without(start, offset), _without(end, own_offset)
+    used = offset if end_offset == "start" else own_offset
     columns = {"timezoneOffset": offset}
     if utc_mode:
         columns["startTimeUTC"] = _shifted(local_start, offset, utc_mode)

@@ -19,9 +19,23 @@ PROCESSED = "2024-02-01 00:00:00"
 class Shapes:
     """Shapes over one folder of test tables."""
 
+    # Folders of shapes that were written out beforehand, by name.
+    stored: dict[str, str] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def store(self, folder: str, *names: str) -> None:
+        """Write shapes out as the tables they stand for, and read those from now on."""
+        for name in names:
+            path = f"{folder}/{name}"
+            getattr(self, name)().write.parquet(path)
+            Shapes.stored[name] = path
+
+    def _stored(self, name: str) -> DataFrame | None:
+        path = Shapes.stored.get(name)
+        return self.spark.read.parquet(path) if path else None
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -39,7 +53,7 @@ class Shapes:
         )
 
     def forecasts(self) -> DataFrame:
-        return forecast_rows(self.table("events"))
+        return self._stored("forecasts") or forecast_rows(self.table("events"))
 
     def first_load(self) -> DataFrame:
         """Forecasts known by the middle of the month."""
@@ -55,7 +69,7 @@ class Shapes:
         })
 
     def event_log(self) -> DataFrame:
-        return event_log_rows(self.table("events"))
+        return self._stored("event_log") or event_log_rows(self.table("events"))
 
     def registry(self) -> DataFrame:
         """One entry per pipeline of the log; logging is off for one of them."""
