@@ -8,6 +8,8 @@ itself and receives the little it needs from its neighbours. Results are identic
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,40 +19,48 @@ from gneiss.session import durable
 GROUP_ROWS = 2_000_000
 
 
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows of the largest key: one partial aggregation, one number to the driver."""
+class GroupSizes(NamedTuple):
+    """Rows of the largest key and of all keys."""
+
+    largest: int
+    total: int
+
+
+def group_sizes(df: DataFrame, keys) -> GroupSizes:
+    """Measured by one aggregation with a partial step; two numbers reach the driver."""
     counts = df.groupBy(*key_list(keys)).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    return GroupSizes(*[n or 0 for n in counts.agg(F.max("n"), F.sum("n")).first()])
 
 
-def range_chunks(df: DataFrame, keys, order_by) -> DataFrame:
+def range_chunks(df: DataFrame, keys, order_by, chunks: int) -> DataFrame:
     """Tag rows with ``_chunk``, an even contiguous range of (keys, order).
 
     The range bounds come from sampling, so the tags are fixed by a checkpoint before
     they are used on more than one path of a plan.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in key_list(keys)], *[F.col(c) for c in order_by])
+    ranged = df.repartitionByRange(chunks, *[F.col(k) for k in key_list(keys)], *[F.col(c) for c in order_by])
     return durable(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
 def rolling_mean(
-    df: DataFrame, keys, order_by, value: str, frames: dict, group_rows: int = GROUP_ROWS, largest: int | None = None
+    df: DataFrame, keys, order_by, value: str, frames: dict, group_rows: int = GROUP_ROWS, sizes: GroupSizes | None = None
 ) -> DataFrame:
     """Means over row frames that look back at most a few rows.
 
     ``frames`` maps an output name to ``(first, last)`` offsets, both at most 0, for
     instance ``(-7, -1)`` for the previous seven rows. ``order_by`` must be a total order.
-    ``largest`` is the size of the largest key where the caller knows a cheaper way to it;
-    an estimate will do, as it only chooses the plan.
+    ``sizes`` spares the measurement where the caller knows a cheaper way; estimates will
+    do, as they only choose the plan.
     """
     names, order_by = key_list(keys), list(order_by)
     if any(last > 0 or first > last for first, last in frames.values()):
         raise ValueError("frames may only look back")
-    if (largest_group(df, names) if largest is None else largest) <= group_rows:
+    sizes = sizes or group_sizes(df, names)
+    if sizes.largest <= group_rows:
         return _with_means(df, Window.partitionBy(*names).orderBy(*order_by), value, frames)
 
     reach = -min(first for first, _ in frames.values())
-    chunked = range_chunks(df, names, order_by)
+    chunked = range_chunks(df, names, order_by, _chunks(df, sizes, group_rows))
     chunk = Window.partitionBy(*names, "_chunk")
     # The last rows of every chunk, at most `reach` per (key, chunk).
     tails = (
@@ -73,17 +83,22 @@ def rolling_mean(
     return means.filter(~F.col("_halo")).select(*df.columns, *frames)
 
 
+def _chunks(df, sizes, group_rows):
+    """Enough chunks for each to hold about ``group_rows`` rows."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sizes.total // group_rows))
+
+
 def _with_means(df, window, value, frames):
     return df.withColumns({n: F.avg(value).over(window.rowsBetween(a, b)) for n, (a, b) in frames.items()})
 
 
 def next_at_or_after(
-    df: DataFrame, keys, time: str, marks: dict[str, Column], group_rows: int = GROUP_ROWS, largest: int | None = None
+    df: DataFrame, keys, time: str, marks: dict[str, Column], group_rows: int = GROUP_ROWS, sizes: GroupSizes | None = None
 ) -> DataFrame:
     """For every row, the earliest ``time`` of a marked row of its key, not before its own.
 
     ``marks`` maps an output name to a condition. This answers "the next event of that
-    kind" without joining a key's rows with one another. ``largest`` as in ``rolling_mean``.
+    kind" without joining a key's rows with one another. ``sizes`` as in ``rolling_mean``.
     """
     names = key_list(keys)
     marked = {n: F.when(cond, F.col(time)) for n, cond in marks.items()}
@@ -91,10 +106,11 @@ def next_at_or_after(
     def ahead(*parts):
         return Window.partitionBy(*parts).orderBy(F.col(time).desc()).rangeBetween(Window.unboundedPreceding, 0)
 
-    if (largest_group(df, names) if largest is None else largest) <= group_rows:
+    sizes = sizes or group_sizes(df, names)
+    if sizes.largest <= group_rows:
         return df.withColumns({n: F.min(c).over(ahead(*names)) for n, c in marked.items()})
 
-    chunked = range_chunks(df, names, [time])
+    chunked = range_chunks(df, names, [time], _chunks(df, sizes, group_rows))
     firsts = chunked.groupBy(*names, "_chunk").agg(*[F.min(c).alias(n) for n, c in marked.items()])
     later = Window.partitionBy(*names).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = firsts.select(

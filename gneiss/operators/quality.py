@@ -26,7 +26,7 @@ def expect(df: DataFrame, rules: dict, action: str = "warn") -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [_holds(p) for p in rules.values()]))
 
 
-def observe_expectations(df: DataFrame, rules: dict, name: str = "expectations") -> DataFrame:
+def observe_expectations(df: DataFrame, rules: dict, name="expectations") -> DataFrame:
     """Count violations of each rule as an observed metric, without another pass."""
     violations = [F.count_if(~_holds(p)).alias(rule) for rule, p in rules.items()]
     return df.observe(name, F.count(F.lit(1)).alias("total_records"), *violations)

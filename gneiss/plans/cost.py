@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, ratio, steady_round
-from gneiss.operators.ordered import GROUP_ROWS, largest_group, rolling_mean
+from gneiss.operators.ordered import GROUP_ROWS, GroupSizes, rolling_mean
 
 JOB = ["pipeline_id", "pipeline_name", "job_id"]
 
@@ -41,9 +41,8 @@ def cleaned_costs(
     jobs = runs_per_job(runs) if reduce_runs else runs
     joined = recent.join(jobs.filter(F.col("job_id").isNotNull()), "job_id")
     frames = {"_previous": (-7, -1), "_recent": (-6, 0)}
-    # A pipeline's rows are those of its jobs; usage alone tells their number well enough.
-    largest = largest_group(recent, ["job_id"])
-    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", frames, group_rows, largest)
+    sizes = _pipeline_sizes(recent, jobs, group_rows)
+    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", frames, group_rows, sizes)
     cost = F.col("dbu_cost")
 
     def share(kind):
@@ -66,6 +65,19 @@ def cleaned_costs(
     )
 
 
+def _pipeline_sizes(recent: DataFrame, jobs: DataFrame, group_rows: int) -> GroupSizes:
+    """Rows of the largest pipeline, from counts per job.
+
+    No pipeline exceeds all usage, so a small total settles it without a look at the jobs.
+    """
+    total = recent.count()
+    if total <= group_rows:
+        return GroupSizes(total, total)
+    per_job = recent.groupBy("job_id").agg(F.count("*").alias("n"))
+    per_pipeline = per_job.join(jobs, "job_id").groupBy("pipeline_id").agg(F.sum("n").alias("n"))
+    return GroupSizes(*[n or 0 for n in per_pipeline.agg(F.max("n"), F.sum("n")).first()])
+
+
 def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     """The daily summary per pipeline; ``as_of=None`` gives every day in the data.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, steady_round
 from gneiss.operators.keys import has_null_key, latest_per_key
-from gneiss.operators.ordered import GROUP_ROWS, largest_group, next_at_or_after
+from gneiss.operators.ordered import GROUP_ROWS, group_sizes, next_at_or_after
 from gneiss.plans.event_log import parsed_events, update_events
 
 # The states that end an update.
@@ -30,7 +30,7 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     keyed = events.filter(~has_null_key(update))
     state = F.col("update_state")
     # Group sizes come from the ids alone; no details are parsed for them.
-    largest = largest_group(log.filter(F.col("event_type") == "update_progress"), ["origin.pipeline_id", "origin.update_id"])
+    sizes = group_sizes(log.filter(F.col("event_type") == "update_progress"), ["origin.pipeline_id", "origin.update_id"])
 
     last_open = (
         keyed.filter(~F.coalesce(state.isin(FINAL_STATES), F.lit(False)))
@@ -38,7 +38,7 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         .groupBy(*update).agg(F.collect_list(F.struct("update_state", "end")).alias("_open"))
     )
     marks = {f"_next_{s}": state == s for s in FINAL_STATES}
-    ahead = next_at_or_after(keyed, update, "event_time", marks, group_rows, largest)
+    ahead = next_at_or_after(keyed, update, "event_time", marks, group_rows, sizes)
     # Repeated starts fall away within the update's partition, so no further shuffle.
     starts = ahead.filter(state == "RUNNING").drop("update_state").distinct()
     finals = [F.struct(F.lit(s).alias("update_state"), F.col(f"_next_{s}").alias("end")) for s in FINAL_STATES]
