@@ -1,0 +1,85 @@
+import datetime as dt
+import random
+
+import pytest
+
+from gneiss.plans import cost
+
+USAGE = "usage_id INT, usage_start_time TIMESTAMP, job_id STRING, dbu_cost DOUBLE, dbus DOUBLE, compute_type STRING, sku_name STRING, usage_quantity DOUBLE"
+RUNS = "pipeline_id STRING, pipeline_name STRING, job_id STRING, output_table STRING, cluster_type STRING, idle_minutes DOUBLE, active_minutes DOUBLE, update_time TIMESTAMP"
+DAY = dt.datetime(2024, 1, 30)
+
+
+def usage(spark, seed=1, n=150):
+    rng = random.Random(seed)
+    return spark.createDataFrame([
+        (i, DAY - dt.timedelta(hours=rng.randint(-24, 10 * 24)), rng.choice(["j1", "j1", "j1", "j2", "j9", None]), float(rng.choice([1, 2, 3, 40])),
+         1.0, rng.choice(["job_compute", "warehouse", "other"]), "S", 2.0) for i in range(n)
+    ], USAGE)
+
+
+def runs(spark):
+    return spark.createDataFrame([
+        ("p1", "one", "j1", "t1", "big", 10.0, 30.0, DAY), ("p1", "one", "j1", "t2", "big", 10.0, 30.0, DAY),
+        ("p2", "two", "j2", "t3", "small", None, None, DAY), ("p3", "no job", None, "t4", "small", 1.0, 1.0, DAY),
+    ], RUNS)
+
+
+@pytest.mark.parametrize("group_rows", [10**9, 7])
+def test_cleaned_costs_by_hand(spark, group_rows):
+    got = cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30", group_rows=group_rows).collect()
+    first, last = dt.date(2024, 1, 23), dt.date(2024, 1, 30)
+    pipes = {"j1": "p1", "j2": "p2"}
+    want = []
+    for pipe in ("p1", "p2"):
+        line = sorted((r.usage_start_time.date(), r.usage_id, r.dbu_cost) for r in usage(spark).collect()
+                      if pipes.get(r.job_id) == pipe and first <= r.usage_start_time.date() <= last)
+        for i, (day, _, value) in enumerate(line):
+            before = [c for _, _, c in line[max(0, i - 7):i]]
+            near = [c for _, _, c in line[max(0, i - 6):i + 1]]
+            flag = value > 2 * sum(before) / len(before) if before else None
+            want.append((day, pipe, value, flag, round(7 * sum(near) / len(near), 6)))
+    assert sorted(((r.usage_date, r.pipeline_id, r.cost_usd, r.cost_anomaly_flag, round(r.predicted_cost_7d, 6)) for r in got), key=repr) == sorted(want, key=repr)
+    assert {r.idle_minutes for r in got if r.pipeline_id == "p1"} == {20.0}
+
+
+def test_runs_taken_as_they_are(spark):
+    one = cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30").filter("pipeline_id = 'p1'").count()
+    assert cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30", reduce_runs=False).filter("pipeline_id = 'p1'").count() == 2 * one
+
+
+COSTS = "usage_date DATE, pipeline_id STRING, pipeline_name STRING, cost_usd DOUBLE, dbus DOUBLE, output_table STRING, cluster_type STRING, idle_minutes DOUBLE, active_minutes DOUBLE, cost_anomaly_flag BOOLEAN, predicted_cost_7d DOUBLE, job_compute_cost DOUBLE, warehouse_cost DOUBLE"
+
+
+def costs(spark):
+    def row(day, pipe, value, table="t", flag=False):
+        return (dt.date(2024, 1, day), pipe, f"name {pipe}", value, 1.0, table, "c" + pipe, 1.0, 2.0, flag, value * 7, value, 0.0)
+
+    return spark.createDataFrame([row(29, "1", 10.0), row(30, "1", 6.0), row(30, "1", 9.0, flag=True), row(30, "2", 14.0, "top", None), row(29, "3", 0.0), row(30, "3", 1.0)], COSTS)
+
+
+def test_cost_summary(spark):
+    today = {r.pipeline_id: r for r in cost.cost_summary(costs(spark), "2024-01-30").collect()}
+    one = today["1"]
+    assert (one.total_cost_usd, one.avg_cost_per_pipeline, one.cost_anomaly_flag, one.cost_trend_pct) == (15.0, 7.5, 1, 50.0)
+    assert one.idle_time_pct == 33.0  # rounded before it is scaled
+    assert {(r.highest_cost_pipeline, r.most_expensive_table) for r in today.values()} == {("name 1", "top")}
+    assert today["2"].cost_trend_pct is None and today["2"].cost_anomaly_flag == 0
+    assert today["3"].cost_trend_pct is None  # nothing to compare with
+    assert cost.cost_summary(costs(spark)).count() == 5
+
+
+def test_cost_kpis_and_leaders(spark, rows):
+    summary = cost.cost_summary(costs(spark))
+    kpis = cost.cost_kpis(summary, "2024-01-30").collect()[0]
+    assert (kpis.total_dbus, kpis.cost_anomalies, kpis.job_cost) == (4.0, 1, 30.0)
+    assert rows(cost.costliest_pipeline(summary, "2024-01-30")) == [("name 1", 15.0)]
+    assert rows(cost.costliest_table(summary, "2024-01-30")) == [("top", 15.0)]
+    assert rows(cost.cost_by_cluster(summary, "2024-01-30")) == [("c1", 15.0), ("c2", 14.0), ("c3", 1.0)]
+    assert rows(cost.cost_trend(summary, "2024-01-30")) == [(None,)]
+    assert rows(cost.cost_trend(summary, "2024-01-30", steps=1)) == [(200.0,)]
+
+
+def test_usage_by_sku(spark, rows):
+    assert len(rows(cost.usage_by_sku(usage(spark)))) == 3
+    assert rows(cost.usage_by_sku(usage(spark), "j2"), "job_id", "sku_name") == [("j2", "S")]
