@@ -42,12 +42,14 @@ def merge_upsert(
     newer_by: str | None = None,
     update_columns=None,
     check_duplicates: bool = True,
+    nulls_oldest: bool = False,
 ) -> DataFrame:
     """The target after matched rows are updated and the others inserted.
 
     Keys compare with ``=``, so a NULL key never matches. With ``newer_by`` a match is
-    updated only where the source value is strictly greater. Columns the source lacks stay
-    untouched on update and are NULL on insert.
+    updated only where the source value is strictly greater; a NULL on either side keeps
+    the target, unless ``nulls_oldest`` ranks NULL below all values. Columns the source
+    lacks stay untouched on update and are NULL on insert.
 
     The target keeps the outer side of a left join on unique source keys: a small source
     is broadcast by Spark without moving the target, a large one is joined by key, and a
@@ -75,7 +77,9 @@ def merge_upsert(
     )
     wins: Column = F.col("_source").isNotNull()
     if newer_by:
-        wins = wins & (F.col(f"_source.{newer_by}") > F.col(newer_by))
+        fresh_value, held = F.col(f"_source.{newer_by}"), F.col(newer_by)
+        newer = fresh_value > held
+        wins = wins & (newer | (held.isNull() & fresh_value.isNotNull()) if nulls_oldest else newer)
     joined = keyed.join(fresh, _same(keyed, fresh, names), "left").withColumn("_wins", F.coalesce(wins, F.lit(False)))
     updated = joined.select(
         *[

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gneiss.functions.values import day
-from gneiss.operators.keys import latest_per_key
+from gneiss.operators.keys import latest_per_key, split_null_keys
+from gneiss.operators.merge import merge_upsert
 from gneiss.sources.config import check_cluster_by
 from gneiss.sources.readers import read_if_any
 
@@ -112,40 +113,54 @@ def read_merged(spark: SparkSession, path: str, keys, schema, sequence_by: str |
     """The table with all later batches applied: the winning state of every key.
 
     With ``sequence_by`` a state wins by a strictly greater sequence, so of equal ones the
-    earlier batch stays. Without it the later batch wins. Rows marked ``_deleted`` hide
-    their key.
+    earlier batch stays; a missing sequence is the lowest. Without it the later batch wins.
+    Rows marked ``_deleted`` hide their key.
     """
-    states = _states(spark, path, schema)
-    batch = F.col("batch_id")
-    order = [batch.desc()] if sequence_by is None else [F.col(sequence_by).desc_nulls_last(), batch.asc()]
-    winners = latest_per_key(states, keys, order)
-    return winners.filter(~F.coalesce("_deleted", F.lit(False))).select(*schema.names)
+    merged = _merged(spark, path, keys, schema, sequence_by)
+    return merged.filter(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
 
 
-def _states(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Rows of the current version and of the batches after it."""
-    stored = T.StructType([*schema.fields, T.StructField("_deleted", T.BooleanType())])
-    last = current_commit(spark, path)
-    since = last["through"] if last and last["through"] is not None else -1
-    parts = []
-    if last:
-        base = spark.read.schema(stored).parquet(f"{path}/version-{last['version']}")
-        parts.append(base.withColumn("batch_id", F.lit(-1).cast("bigint")))
-    batched = T.StructType([*stored.fields, T.StructField("batch_id", T.LongType())])
-    changes = read_if_any(spark, "parquet", f"{path}/changes", batched)
-    if changes is not None:
-        parts.append(changes.filter(F.col("batch_id") > since))
-    if not parts:
-        return spark.createDataFrame([], batched)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+def _stored(schema) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_deleted", T.BooleanType())])
+
+
+def _changes(spark: SparkSession, path: str, stored: T.StructType, since: int) -> DataFrame | None:
+    """Batches stored after the current version, which may hold a key several times."""
+    tagged = T.StructType([*stored.fields, T.StructField("batch_id", T.LongType())])
+    changes = read_if_any(spark, "parquet", f"{path}/changes", tagged)
+    return None if changes is None else changes.filter(F.col("batch_id") > since)
+
+
+def _folded(commit) -> int:
+    return commit["through"] if commit and commit["through"] is not None else -1
+
+
+def _merged(spark, path, keys, schema, sequence_by) -> DataFrame:
+    """The current version merged with the winners among later batches, marks included.
+
+    Only the batches are reduced by key. The version holds a key once already and is the
+    outer side of a join, so it stays where it is while the batches are small.
+    """
+    stored, last = _stored(schema), current_commit(spark, path)
+    changes = _changes(spark, path, stored, _folded(last))
+    base = spark.read.schema(stored).parquet(f"{path}/version-{last['version']}") if last else None
+    if changes is None:
+        return spark.createDataFrame([], stored) if base is None else base
+    batch = F.col("batch_id")
+    order = [batch.desc()] if sequence_by is None else [F.col(sequence_by).desc_nulls_last(), batch.asc()]
+    keyed, unkeyed = split_null_keys(changes, keys)
+    winners = latest_per_key(keyed, keys, order).unionByName(unkeyed).drop("batch_id")
+    if base is None:
+        return winners
+    return merge_upsert(base, winners, keys, newer_by=sequence_by, check_duplicates=False, nulls_oldest=True)
 
 
 def last_batch(spark: SparkSession, path: str, schema) -> int:
     """The highest batch the table holds, folded or not; -1 before the first."""
-    last = current_commit(spark, path)
-    folded = last["through"] if last and last["through"] is not None else -1
-    newest = _states(spark, path, schema).agg(F.max("batch_id")).first()[0]
-    return folded if newest is None else max(folded, newest)
+    folded = _folded(current_commit(spark, path))
+    changes = _changes(spark, path, _stored(schema), folded)
+    newest = None if changes is None else changes.agg(F.max("batch_id")).first()[0]
+    return folded if newest is None else newest
 
 
 def fold_changes(spark: SparkSession, path: str, keys, schema, sequence_by: str | None = None) -> int:
@@ -153,8 +168,5 @@ def fold_changes(spark: SparkSession, path: str, keys, schema, sequence_by: str
 
     Marks of deleted keys are kept, so a late change still cannot bring a key back.
     """
-    states = _states(spark, path, schema)
     through = last_batch(spark, path, schema)
-    batch = F.col("batch_id")
-    order = [batch.desc()] if sequence_by is None else [F.col(sequence_by).desc_nulls_last(), batch.asc()]
-    return write_full(latest_per_key(states, keys, order).drop("batch_id"), path, through)
+    return write_full(_merged(spark, path, keys, schema, sequence_by), path, through)

@@ -154,3 +154,23 @@ def test_read_source_kinds(spark, tmp_path):
     assert readers.read_source(spark, table_config(tmp_path, kind="table", source_table="numbers")).count() == 4
     by_format = table_config(tmp_path, kind="format", options={"format": "parquet", "path": str(tmp_path / "src")})
     assert readers.read_source(spark, by_format).count() == 3
+
+
+def test_small_batches_leave_the_stored_version_in_place(spark, plan, tmp_path):
+    path, schema = str(tmp_path / "m"), spark.createDataFrame([], "k INT, seq INT").schema
+    tables.write_full(spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("seq"), F.lit(False).alias("_deleted")), path)
+    tables.write_changes(spark.createDataFrame([(1, 2), (2000, None)], "k INT, seq INT"), path, 0)
+    merged = tables.read_merged(spark, path, "k", schema, "seq")
+    assert merged.count() == 1001 and merged.filter("seq = 2").count() == 1
+    final = tables.read_merged(spark, path, "k", schema, "seq")
+    final.collect()
+    text = plan(final)
+    assert "SortMergeJoin" not in text.split("Initial Plan")[0]
+
+
+def test_rows_without_a_key_are_all_kept(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "m"), spark.createDataFrame([], "k INT, seq INT").schema
+    for batch in range(2):
+        tables.write_changes(spark.createDataFrame([(None, batch), (1, None if batch == 0 else 5)], "k INT, seq INT"), path, batch)
+        tables.fold_changes(spark, path, "k", schema, "seq")
+    assert rows(tables.read_merged(spark, path, "k", schema, "seq")) == [(1, 5), (None, 0), (None, 1)]
