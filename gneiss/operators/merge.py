@@ -51,9 +51,9 @@ def merge_upsert(
     the target, unless ``nulls_oldest`` ranks NULL below all values. Columns the source
     lacks stay untouched on update and are NULL on insert.
 
-    The target keeps the outer side of a left join on unique source keys: a small source
-    is broadcast by Spark without moving the target, a large one is joined by key, and a
-    target key with very many rows can be split by adaptive execution.
+    The target is the outer side of a join on unique source keys: a small source is
+    broadcast by Spark without moving the target, a large one is joined by key, and a
+    target key with very many rows, NULL included, can be split by adaptive execution.
     """
     names, _, _ = merge_columns(keys, source)
     extra = [c for c in source.columns if c not in target.columns]
@@ -66,21 +66,19 @@ def merge_upsert(
 
     plain = newer_by is None and set(source.columns) == set(target.columns) and set(updates) == set(allowed)
     if plain:
-        kept = split_null_keys(target, names)[0].join(source.select(*names), names, "left_anti")
-        return kept.unionByName(split_null_keys(target, names)[1]).unionByName(source).select(*target.columns)
-
-    keyed, unkeyed = split_null_keys(target, names)
-    matching, unmatchable = split_null_keys(source, names)
-    fresh = matching.select(
-        *[F.col(k).alias(f"_source_{k}") for k in names],
-        F.struct(*dict.fromkeys([*updates, *([newer_by] if newer_by else [])]), F.lit(True).alias("_hit")).alias("_source"),
+        kept = target.join(source.select(*names), names, "left_anti")
+        return kept.unionByName(source).select(*target.columns)
+
+    carried = list(dict.fromkeys([*updates, *([newer_by] if newer_by else [])]))
+    fresh = source.select(
+        *[F.col(k).alias(f"_source_{k}") for k in names], F.struct(*carried, F.lit(True).alias("_hit")).alias("_source")
     )
     wins: Column = F.col("_source").isNotNull()
     if newer_by:
         fresh_value, held = F.col(f"_source.{newer_by}"), F.col(newer_by)
         newer = fresh_value > held
         wins = wins & (newer | (held.isNull() & fresh_value.isNotNull()) if nulls_oldest else newer)
-    joined = keyed.join(fresh, _same(keyed, fresh, names), "left").withColumn("_wins", F.coalesce(wins, F.lit(False)))
+    joined = target.join(fresh, _same(target, fresh, names), "left").withColumn("_wins", F.coalesce(wins, F.lit(False)))
     updated = joined.select(
         *[
             F.when(F.col("_wins"), F.col(f"_source.{c}")).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
@@ -88,13 +86,9 @@ def merge_upsert(
         ]
     )
     # Keys the target already holds: reduced to the source's keys before anything is shuffled.
-    present = keyed.select(*names).join(matching.select(*names), names, "left_semi").distinct()
-    inserted = matching.join(present, names, "left_anti").unionByName(unmatchable)
-    return (
-        updated.unionByName(unkeyed)
-        .unionByName(inserted, allowMissingColumns=True)
-        .select(*target.columns)
-    )
+    present = target.select(*names).join(source.select(*names), names, "left_semi").distinct()
+    inserted = source.join(present, names, "left_anti")
+    return updated.unionByName(inserted, allowMissingColumns=True).select(*target.columns)
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:

@@ -8,11 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app="gneiss", master=None, **conf) -> SparkSession:
+PARTITION_BYTES = 256 * 1024**2
+
+
+def build_session(app="gneiss", master=None, input_bytes: int | None = None, **conf) -> SparkSession:
     """A session with the settings the operators assume: UTC, ANSI and adaptive execution.
 
     Skew splitting and runtime broadcast choice are left to adaptive execution, which
-    checks real sizes; nothing in the package forces a broadcast.
+    checks real sizes; nothing in the package forces a broadcast. ``input_bytes`` sizes
+    the shuffles of a job for its input; adaptive execution merges partitions that turn
+    out small.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -23,6 +28,7 @@ def build_session(app="gneiss", master=None, **conf) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        **({"spark.sql.shuffle.partitions": str(max(200, input_bytes // PARTITION_BYTES))} if input_bytes else {}),
         **conf,
     }
     for key, value in settings.items():
@@ -54,5 +60,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def durable(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_root(df.sparkSession)
+    root, context = checkpoint_root(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return df.checkpoint(eager=True)

@@ -174,3 +174,18 @@ def test_rows_without_a_key_are_all_kept(spark, rows, tmp_path):
         tables.write_changes(spark.createDataFrame([(None, batch), (1, None if batch == 0 else 5)], "k INT, seq INT"), path, batch)
         tables.fold_changes(spark, path, "k", schema, "seq")
     assert rows(tables.read_merged(spark, path, "k", schema, "seq")) == [(1, 5), (None, 0), (None, 1)]
+
+
+def test_z_order_narrows_both_columns(spark, tmp_path):
+    df = spark.range(10_000).select(
+        (F.col("id") % 100).alias("a"), F.timestamp_seconds(F.floor(F.col("id") / 100)).alias("b"), F.lit("x").alias("c")
+    )
+    tables.zordered(df, "a", "b", 16).write.parquet(str(tmp_path / "z"))
+    files = readers.with_file_metadata(spark.read.parquet(str(tmp_path / "z"))).groupBy("file_name").agg(
+        (F.max("a") - F.min("a")).alias("da"), (F.max(F.unix_timestamp("b")) - F.min(F.unix_timestamp("b"))).alias("db"), F.count("*").alias("n")
+    ).collect()
+    assert sum(f.n for f in files) == 10_000 and len(files) == 16
+    assert sum(f.da for f in files) / 16 < 50 and sum(f.db for f in files) / 16 < 50
+    with pytest.raises(ValueError):
+        tables.zordered(df, "a", "c", 2)
+    assert tables.zordered(df.limit(0), "a", "b", 2).count() == 0

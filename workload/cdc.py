@@ -52,14 +52,14 @@ def merge_upsert(t):
   UNION ALL SELECT s.* FROM s LEFT JOIN t ON t.post_code = s.post_code AND t.startTime = s.startTime
     WHERE t.post_code IS NULL OR s.audit_update_ts > t.audit_update_ts""")
 def merge_newer(t):
-    return merge.merge_upsert(target(t), source(t), KEY, newer_by="audit_update_ts")
+    return merge.merge_upsert(target(t), source(t), KEY, newer_by="audit_update_ts", check_duplicates=False)
 
 
 @query(loads_sql() + """ SELECT t.* REPLACE (CASE WHEN s.post_code IS NULL THEN t.temperature ELSE s.temperature END AS temperature)
     FROM t LEFT JOIN s ON t.post_code = s.post_code AND t.startTime = s.startTime
   UNION ALL SELECT * FROM s ANTI JOIN t ON t.post_code = s.post_code AND t.startTime = s.startTime""")
 def merge_columns(t):
-    return merge.merge_upsert(target(t), source(t), KEY, update_columns=["temperature"])
+    return merge.merge_upsert(target(t), source(t), KEY, update_columns=["temperature"], check_duplicates=False)
 
 
 @query(loads_sql() + " SELECT * FROM two WHERE audit_update_ts >= (SELECT max(audit_update_ts) FROM one)")
@@ -149,7 +149,8 @@ def scd2_from_snapshots(t):
 
 @query("WITH " + SNAPSHOTS + SCD2)
 def scd2_apply_snapshot(t):
-    past = history.scd2_from_snapshots(t.snapshots().filter("version < 4"), ["o_orderkey"], "version")
+    built = history.scd2_from_snapshots(t.snapshots().filter("version < 4"), ["o_orderkey"], "version")
+    past = tables.materialize(built, scratch_path(t.spark, "history"))
     return history.scd2_apply_snapshot(past, t.snapshot(4), ["o_orderkey"], 4)
 
 
