@@ -112,6 +112,8 @@ def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max") -> DataFra
         log, "flow_progress", "update_progress", "flow_definition", "dataset_definition", "operation_progress"
     )
     kind, at = F.col("event_type"), F.col("timestamp")
+    # Without a pipeline id an update stands alone: other events cannot be matched to it.
+    events = events.filter(F.col("origin.pipeline_id").isNotNull() | (kind == "update_progress"))
     flow, defined = F.col("d.flow_progress"), F.col("d.flow_definition")
     is_flow, is_definition = kind == "flow_progress", kind == "flow_definition"
     flow_status = F.when(is_flow, flow["status"])
