@@ -21,13 +21,13 @@ def moment(as_of) -> Column:
 
 
 def steady_round(value, digits: int = 2) -> Column:
-    """Round a double half up after fixing ten decimals.
+    """Round a double half up after fixing six decimals.
 
     Distributed sums of doubles differ in their last bits from run to run; without the
     intermediate decimal a value lying on a half would round either way.
     """
     fixed = F.col(value) if isinstance(value, str) else value
-    return F.round(fixed.cast("decimal(38,10)"), digits).cast("double")
+    return F.round(fixed.cast("decimal(38,6)"), digits).cast("double")
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -100,8 +100,8 @@ def retry_counts(runtimes: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     )
 
 
-def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max") -> DataFrame:
-    """One row per pipeline that has updates.
+def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max", runtimes: DataFrame | None = None) -> DataFrame:
+    """One row per pipeline that has updates. ``runtimes`` may bring stored run times.
 
     One scan reduces all kinds of events to a row per pipeline before anything is joined;
     the results equal those of joining every event with every other, as only maxima,
@@ -138,7 +138,7 @@ def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max") -> DataFra
         F.max(F.when(is_flow, at)).alias("_last_flow"),
         F.max(F.when(kind == "update_progress", at)).alias("_last_update"),
     )
-    runtimes = update_runtimes(log)
+    runtimes = update_runtimes(log) if runtimes is None else runtimes
     # Of the update that ended last only the run time is shown, so a maximum finds it.
     last_run = F.max(F.when(F.col("runtime_minutes").isNotNull(), F.struct("update_end_time", "runtime_minutes")))
     times = runtimes.groupBy(*PIPELINE).agg(
@@ -155,10 +155,10 @@ def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max") -> DataFra
     }).drop("_last_flow", "_last_update")
 
 
-def pipeline_summary(log: DataFrame, as_of=None, status: str = "max") -> DataFrame:
+def pipeline_summary(log: DataFrame, as_of=None, status: str = "max", runtimes: DataFrame | None = None) -> DataFrame:
     """The daily summary per pipeline name, of pipelines active since yesterday."""
     today = day(as_of)
-    active = pipeline_metrics(log, as_of, status).filter(F.col("most_recent_event_time") >= F.date_sub(today, 1))
+    active = pipeline_metrics(log, as_of, status, runtimes).filter(F.col("most_recent_event_time") >= F.date_sub(today, 1))
     grouped = active.groupBy("pipeline_name").agg(
         F.count_distinct("pipeline_name").alias("total_pipelines"),
         F.sum(F.when(F.col("status") == "FAILED", 1).otherwise(0)).alias("pipelines_failed_today"),

@@ -78,28 +78,49 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     )
 
 
-def resolve_schema(spark: SparkSession, path: str, fmt: str, schema_location: str, **options) -> T.StructType:
+SCHEMAS = "stored_at TIMESTAMP, schema STRING"
+
+
+def resolve_schema(
+    spark: SparkSession, path: str, fmt: str, schema_location: str, overlap: str = "1 minute", **options
+) -> T.StructType:
     """The stored schema widened by columns that new files bring, and stored again.
 
     Known columns keep their stored type. A stream started with the result picks new
-    columns up at its next start. Schemas are kept as rows of a small JSON dataset.
+    columns up at its next start. Only files changed since the last look are inferred
+    from, with some overlap for clocks that differ, so the cost follows what is new. CSV
+    takes its names from the header of one of them, as Spark does.
     """
-    seen = spark.read.format(fmt).options(**options).load(path).schema
-    stored = stored_schema(spark, schema_location)
-    known = {f.name for f in stored.fields} if stored else set()
-    fresh = [f for f in seen.fields if f.name not in known]
-    merged = T.StructType([*(stored.fields if stored else []), *fresh])
-    if fresh:
-        row = spark.range(1).select(F.current_timestamp().alias("stored_at"), F.lit(merged.json()).alias("schema"))
-        row.coalesce(1).write.mode("append").json(schema_location)
+    last = _last_schema(spark, schema_location, overlap)
+    reader = spark.read.format(fmt).options(**options)
+    if last:
+        reader = reader.option("modifiedAfter", last["since"])
+    try:
+        seen = reader.load(path).schema.fields
+    except AnalysisException as error:
+        if not last or error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        seen = []
+    stored = T.StructType.fromJson(json.loads(last["schema"])).fields if last else []
+    known = {f.name for f in stored}
+    merged = T.StructType([*stored, *[f for f in seen if f.name not in known]])
+    row = spark.range(1).select(F.current_timestamp().alias("stored_at"), F.lit(merged.json()).alias("schema"))
+    row.coalesce(1).write.mode("append").json(schema_location)
     return merged
 
 
 def stored_schema(spark: SparkSession, schema_location: str) -> T.StructType | None:
     """The schema stored last."""
-    kept = read_if_any(spark, "json", schema_location, "stored_at TIMESTAMP, schema STRING")
-    newest = kept.orderBy(F.col("stored_at").desc()).first() if kept is not None else None
-    return T.StructType.fromJson(json.loads(newest["schema"])) if newest else None
+    last = _last_schema(spark, schema_location, "0 seconds")
+    return T.StructType.fromJson(json.loads(last["schema"])) if last else None
+
+
+def _last_schema(spark: SparkSession, schema_location: str, overlap: str):
+    kept = read_if_any(spark, "json", schema_location, SCHEMAS)
+    if kept is None:
+        return None
+    since = F.date_format(F.col("stored_at") - F.expr(f"INTERVAL {overlap}"), "yyyy-MM-dd'T'HH:mm:ss")
+    return kept.select("stored_at", "schema", since.alias("since")).orderBy(F.col("stored_at").desc()).first()
 
 
 def read_if_any(spark: SparkSession, fmt: str, path: str, schema) -> DataFrame | None:

@@ -21,6 +21,14 @@ def recent_progress(query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(documents, "document STRING")
 
 
+def save_progress(query: StreamingQuery, path: str) -> None:
+    """Append the documents a query holds to a folder, one per line, for later reports.
+
+    Read them back with ``spark.read.text(path)``; the column is called ``value``.
+    """
+    recent_progress(query).coalesce(1).write.mode("append").text(path)
+
+
 def progress_table(documents: DataFrame, column: str = "document") -> DataFrame:
     """One row per micro-batch; ``falling_behind`` when rows arrive faster than they are processed."""
     p = documents.select(F.from_json(column, PROGRESS_SCHEMA).alias("p")).select("p.*")

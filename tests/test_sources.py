@@ -1,4 +1,7 @@
+import os
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gneiss.plans import ingest
@@ -115,6 +118,10 @@ def test_schema_grows_and_is_kept(spark, tmp_path):
     second = readers.resolve_schema(spark, data, "csv", kept, header="true", inferSchema="true")
     assert first.simpleString() == "struct<a:int,b:string>" and second.simpleString() == "struct<a:int,b:string,c:int>"
     assert readers.stored_schema(spark, kept) == second
+    os.utime(tmp_path / "d" / "1.csv", (0, 0))  # nothing new since the last look
+    assert readers.resolve_schema(spark, data, "csv", kept, header="true", inferSchema="true") == second
+    with pytest.raises(AnalysisException):
+        readers.resolve_schema(spark, str(tmp_path / "none"), "csv", str(tmp_path / "other"))
 
 
 def test_files_and_layout(spark, rows, tmp_path):

@@ -172,3 +172,32 @@ def compact(t):
     t.table("orders").repartition(16).write.parquet(f"{root}/small")
     tables.compact(t.spark, f"{root}/small", f"{root}/packed", ["o_orderdate", "o_orderkey"], 2)
     return t.spark.read.parquet(f"{root}/packed")
+
+
+@query("SELECT * FROM orders")
+def clustered_layout(t):
+    """A full load in clustered layout."""
+    path = scratch_path(t.spark, "clustered")
+    tables.write_clustered(t.table("orders"), path, ["o_orderpriority", "o_orderdate", "o_orderkey"])
+    return t.spark.read.parquet(path)
+
+
+@query("SELECT * FROM orders")
+def zordered_layout(t):
+    """The order book along a Z curve over date and price."""
+    path = scratch_path(t.spark, "zordered")
+    tables.zordered(t.table("orders"), "o_orderdate", "o_totalprice", 8).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query("WITH " + SNAPSHOTS + " SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM snapshots WHERE version = 4")
+def versioned_table(t):
+    """A table written whole, then changed by a batch with deletes, then folded and read."""
+    path = scratch_path(t.spark, "versioned")
+    feed = changes.change_feed(t.snapshot(3), t.snapshot(4), ["o_orderkey"], 4, "2001-08-01")
+    batch = feed.filter(F.col("_change_type") != changes.BEFORE).withColumn("_deleted", F.col("_change_type") == changes.DELETE)
+    schema = t.snapshot(3).schema
+    tables.write_full(t.snapshot(3), path)
+    tables.write_changes(batch.drop(*changes.CHANGE_COLUMNS), path, 0)
+    tables.fold_changes(t.spark, path, ["o_orderkey"], schema)
+    return tables.read_merged(t.spark, path, ["o_orderkey"], schema)
