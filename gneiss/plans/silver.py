@@ -50,24 +50,28 @@ def silver_forecasts(
     """
     if utc_mode not in ("reference", "correct", None) or end_offset not in ("start", "own"):
         raise ValueError("unknown utc_mode or end_offset")
-    start, end = F.col("startTime"), F.col("endTime")
-    offset, own_offset = F.regexp_extract(start, OFFSET, 1), F.regexp_extract(end, OFFSET, 1)
-    local_start, local_end = _without(start, offset), _without(end, own_offset)
-    used = offset if end_offset == "start" else own_offset
-    columns = {"timezoneOffset": offset}
-    if utc_mode:
-        columns["startTimeUTC"] = _shifted(local_start, offset, utc_mode)
-        columns["endTimeUTC"] = _shifted(local_end, used, utc_mode)
-    columns |= {
-        "startTime": local_start,
-        "endTime": local_end,
+    # Patterns are matched in a step of their own, once per row, and their results reused.
+    found = df.withColumns({
+        "timezoneOffset": F.regexp_extract("startTime", OFFSET, 1),
+        "_end_offset": F.regexp_extract("endTime", OFFSET, 1),
+    })
+    offset, own_offset = F.col("timezoneOffset"), F.col("_end_offset")
+    local = found.withColumns({
+        "startTime": _without(F.col("startTime"), offset),
+        "endTime": _without(F.col("endTime"), own_offset),
         "windSpeed": F.regexp_extract("windSpeed", r"(\d+)", 1).try_cast("int"),
         "dewpoint": F.col("dewpoint.value"),
         "probabilityOfPrecipitation": F.col("probabilityOfPrecipitation.value"),
         "relativeHumidity": F.col("relativeHumidity.value"),
         "processed_ts": moment(processed_at),
-    }
-    return df.withColumns(columns)
+    })
+    if utc_mode:
+        used = offset if end_offset == "start" else own_offset
+        local = local.withColumns({
+            "startTimeUTC": _shifted(F.col("startTime"), offset, utc_mode),
+            "endTimeUTC": _shifted(F.col("endTime"), used, utc_mode),
+        })
+    return local.drop("_end_offset")
 
 
 def silver_append(df: DataFrame, utc_mode: str | None = "reference", processed_at=None) -> DataFrame:
