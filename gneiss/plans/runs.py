@@ -116,27 +116,39 @@ def pipeline_metrics(log: DataFrame, as_of=None, status: str = "max", runtimes:
     events = events.filter(F.col("origin.pipeline_id").isNotNull() | (kind == "update_progress"))
     flow, defined = F.col("d.flow_progress"), F.col("d.flow_definition")
     is_flow, is_definition = kind == "flow_progress", kind == "flow_definition"
-    flow_status = F.when(is_flow, flow["status"])
-    if status == "latest":
-        chosen = F.max(F.when(is_flow, F.struct(at, flow["status"].alias("status"))))["status"]
-    elif status == "max":
-        chosen = F.max(flow_status)
-    else:
-        raise ValueError(f"unknown status: {status!r}")
     loads = ((kind == "dataset_definition") & (F.col("d.dataset_definition.source_type") == "autoloader")) | (
         (kind == "operation_progress") & F.col("d.operation_progress.auto_loader_details.num_files_listed").isNotNull()
     )
-    metrics = events.groupBy(
-        F.col("origin.pipeline_id").alias("pipeline_id"), F.col("origin.pipeline_name").alias("pipeline_name")
+    # First reduce by status and table name, of which a pipeline has few: all maxima are of
+    # fixed width here, so the log itself is hashed and never sorted.
+    reduced = events.groupBy(
+        F.col("origin.pipeline_id").alias("pipeline_id"),
+        F.col("origin.pipeline_name").alias("pipeline_name"),
+        kind.alias("_kind"),
+        F.when(is_flow, flow["status"]).alias("_status"),
+        F.when(is_definition, defined["output_dataset"]).alias("_table"),
     ).agg(
+        F.max(at).alias("_at"),
+        F.max(F.when(is_flow, flow["metrics"]["backlog_bytes"])).alias("_backlog"),
+        F.max(F.when(loads, 1).otherwise(0)).alias("_loads"),
+        F.max(F.when(is_definition & defined["is_streaming"], 1).otherwise(0)).alias("_streams"),
+    )
+    of_flow = F.col("_kind") == "flow_progress"
+    if status == "latest":
+        chosen = F.max(F.when(of_flow, F.struct("_at", "_status")))["_status"]
+    elif status == "max":
+        chosen = F.max("_status")
+    else:
+        raise ValueError(f"unknown status: {status!r}")
+    metrics = reduced.groupBy(*PIPELINE).agg(
         chosen.alias("status"),
-        (F.max(F.when(is_flow, flow["metrics"]["backlog_bytes"])) / F.lit(1024.0) / F.lit(1024.0)).alias("streaming_backlog_mb"),
-        F.max(F.when(loads, 1).otherwise(0)).alias("pipelines_with_autoloader"),
-        F.count_distinct(F.when(is_definition, defined["output_dataset"])).alias("tables_created"),
-        F.max(F.when(is_definition & defined["is_streaming"], 1).otherwise(0)).alias("active_streaming_pipelines"),
-        F.max(F.when(flow_status == "FAILED", at)).alias("last_failure_ts"),
-        F.max(F.when(is_flow, at)).alias("_last_flow"),
-        F.max(F.when(kind == "update_progress", at)).alias("_last_update"),
+        (F.max("_backlog") / F.lit(1024.0) / F.lit(1024.0)).alias("streaming_backlog_mb"),
+        F.max("_loads").alias("pipelines_with_autoloader"),
+        F.count_distinct("_table").alias("tables_created"),
+        F.max("_streams").alias("active_streaming_pipelines"),
+        F.max(F.when(F.col("_status") == "FAILED", F.col("_at"))).alias("last_failure_ts"),
+        F.max(F.when(of_flow, F.col("_at"))).alias("_last_flow"),
+        F.max(F.when(F.col("_kind") == "update_progress", F.col("_at"))).alias("_last_update"),
     )
     runtimes = update_runtimes(log) if runtimes is None else runtimes
     # Of the update that ended last only the run time is shown, so a maximum finds it.
