@@ -10,19 +10,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(f):
-    QUERIES[f.__name__] = f
-    return f
+def query(sql: str | None = None):
+    """Register a query under its name, with the SQL that gives the same rows if there is such."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query()
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents and their groups at two bits."""
     from gneiss.llm.simhash import near_groups
 
     groups = near_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: SQL with the words of a text counted, each document's place in its source by hashed id, and the
+#: target of a source as its level times its weight, stopped at twice its size.
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, CASE rank % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap FROM sources),
+levels AS (
+  SELECT a.source, (1.5::DOUBLE * (SELECT sum(source_size) FROM weighted) - coalesce(sum(b.cap) FILTER (b.cap / b.weight < a.cap / a.weight OR b.cap / b.weight = a.cap / a.weight AND b.rank < a.rank), 0))
+      / sum(b.weight) FILTER (b.cap / b.weight > a.cap / a.weight OR b.cap / b.weight = a.cap / a.weight AND b.rank >= a.rank) AS level
+  FROM weighted a, weighted b GROUP BY a.source, a.rank, a.cap, a.weight),
+goals AS (
+  SELECT source, source_size, round(least(cap, (SELECT min(level) FROM levels JOIN weighted w ON levels.source IS NOT DISTINCT FROM w.source WHERE level * w.weight <= w.cap) * weight), 6) AS target
+  FROM weighted),
+placed AS (
+  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS goal,
+    CAST(sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS place
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(greatest(0, least(size, goal - place)) + greatest(0, least(size, goal - source_size - place)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+@query(MIX_SQL)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    from gneiss.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, lines removed as part of repeated chunks, and the digest of the rest."""
+    from gneiss.llm.line_dedup import line_dedup
+
+    rows = line_dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
