@@ -77,3 +77,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = line_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    import public_tokenizers
+    from gneiss.llm.packing import pack_documents
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack_documents(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
