@@ -87,3 +87,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return pack_documents(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
+
+
+@query()
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document, words removed as repeated, and the digest of the rest."""
+    from gneiss.llm.substring_dedup import substring_dedup
+
+    rows = substring_dedup(table(spark, sf_dir, "documents"), k=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
