@@ -11,11 +11,11 @@ from gneiss.llm.simhash import drop_near_duplicates
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays.
 
-    Fingerprints over the set of single words keep copies within few bits, so the tree finds
-    them; a link then asks for a similarity of 0.8 of the five-word shingles. Copies link
-    through each other, and the smallest id of a group stays.
+    Fingerprints over the set of single words keep copies within few bits, and six of them
+    find what one misses; a link then asks for a similarity of 0.8 of the five-word shingles.
+    Copies link through each other, and the smallest id of a group stays.
     """
-    return drop_near_duplicates(docs, shingle=1, distinct=True, bits=5, similarity=0.8, similarity_shingle=5)
+    return drop_near_duplicates(docs, shingle=1, distinct=True, bits=2, number=6, similarity=0.8, similarity_shingle=5)
 
 
 STAGES = [("near_dedup", near_dedup)]

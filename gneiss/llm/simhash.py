@@ -3,7 +3,8 @@
 A fingerprint has 64 bits; a bit is set if it is set in over half of the hashes of the
 document's shingles. Distinct fingerprints are dealt to the leaves of a vantage-point tree
 by Hamming distance. A fingerprint near the border of a branch also visits the other side,
-as the triangle inequality demands, so every pair within the radius meets in some leaf.
+as the triangle inequality demands, in a shard of the border's own, so every pair within the
+radius meets in some leaf.
 
 The tree is fitted on a bounded sample of fingerprints; it only shapes the shards, and the
 result doesn't depend on it. Within a leaf each connected group yields a spanning forest
@@ -13,6 +14,7 @@ rather than all its pairs, and a leaf that is larger than a block is compared bl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -23,14 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 from gneiss.llm.common import components, row_key, stored
 
 #: Fingerprints that shape the tree, members wished for in a leaf, rows compared in one task.
-SAMPLE, LEAF, BLOCK = 8192, 4096, 8192
-#: Slots of the sketch that estimates the similarity of shingle sets, a byte each.
-SLOTS = 256
+SAMPLE, LEAF, BLOCK = 8192, 8192, 16384
+#: Slots of the sketch that estimates the similarity of shingle sets, four bits each.
+SLOTS = 128
 HASH_SEED = 42
 FACTORS, SHIFTS = (np.random.default_rng(HASH_SEED).integers(0, 2**32, (2, SLOTS), np.uint32) | np.array([[1], [0]], np.uint32))
 
 
-def shingle_hashes(words: list[bytes], width: int, distinct: bool) -> np.ndarray:
+def shingle_hashes(words: list[bytes], width: int, distinct: bool, seed: int = HASH_SEED) -> np.ndarray:
     """XXH64 of each run of ``width`` words; fewer words are one shingle, no words none."""
     if not words:
         return np.empty(0, np.uint64)
@@ -40,7 +42,7 @@ def shingle_hashes(words: list[bytes], width: int, distinct: bool) -> np.ndarray
     starts = [0, *ends[: len(words) - width].tolist()]
     stops = (ends[width - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)], np.uint64)
+    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops)], np.uint64)
     return np.unique(hashes) if distinct else hashes
 
 
@@ -53,86 +55,120 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def remixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """The hashes for the fingerprint of that number; those of number 0 are the hashes themselves."""
+    if not number:
+        return hashes
+    x = hashes * np.uint64(2 * number + 1) + np.uint64(number) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def sketch(hashes: np.ndarray) -> bytes:
-    """Min-wise sketch of a set of hashes: for each of the slots' permutations a byte of the least value."""
+    """Min-wise sketch of a set of hashes: for each slot's permutation four bits of the least value."""
     least = np.full(SLOTS, np.iinfo(np.uint32).max, np.uint32)
     for k in range(0, len(hashes), 4096):
         part = (hashes[k : k + 4096] >> np.uint64(32)).astype(np.uint32)
         least = np.minimum(least, (part[:, None] * FACTORS + SHIFTS).min(axis=0))
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+    bits = ((least * np.uint32(0x9E3779B1)) >> np.uint32(28)).astype(np.uint8)
+    return (bits[0::2] | (bits[1::2] << 4)).tobytes()
+
 
+def agreement(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The estimated similarity of each of the sketches to another; slots agree by chance once in 16."""
+    differ = sketches ^ other
+    same = ((differ & 15) == 0).sum(axis=-1) + ((differ >> 4) == 0).sum(axis=-1)
+    return (same / SLOTS - 1 / 16) / (15 / 16)
 
-def fingerprints(docs: DataFrame, shingle: int = 3, distinct: bool = False, sketch_shingle: int | None = None) -> DataFrame:
-    """Per document row: doc_id, key (number of the row's content), fp, and the sketch if asked for.
+
+def fingerprints(docs: DataFrame, shingle: int = 3, distinct: bool = False, sketch_shingle: int | None = None, number: int = 1) -> DataFrame:
+    """Per document row: doc_id, key (number of the row's content), ``number`` fingerprints, and the sketch if asked for.
 
     A-Z are lower-cased, other characters stay. A null or empty text has no words and the
     fingerprint zero. Rows come out as they came in, repeated ones too.
     """
-    schema = "doc_id long, key long, fp long, sketch binary"
+    schema = "doc_id long, key long, fps array<long>, sketch binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps, sketches = [], []
             for text in batch.column("text"):
                 words = (text.as_py() or b"").lower().split()
-                fps.append(fingerprint(shingle_hashes(words, shingle, distinct)))
+                hashes = shingle_hashes(words, shingle, distinct)
+                fps.append([fingerprint(remixed(hashes, i)) for i in range(number)])
                 sketches.append(sketch(shingle_hashes(words, sketch_shingle, True)) if sketch_shingle else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(fps, pa.int64()), pa.array(sketches, pa.binary())],
-                ["doc_id", "key", "fp", "sketch"])
+                [batch.column("doc_id"), batch.column("key"), pa.array(fps, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["doc_id", "key", "fps", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, schema)
 
 
 class Node(NamedTuple):
-    """An inner node of the tree (vantage point, radius, children) or a leaf (number)."""
+    """An inner node of the tree (vantage point, radius, children) or a leaf (number).
+
+    ``border`` is the shard of the pairs that cross the border; nodes below it have none.
+    """
 
     point: int = 0
     radius: int = 0
     inner: "Node | None" = None
     outer: "Node | None" = None
+    border: "Node | None" = None
     leaf: int = -1
 
 
 def fit_tree(sample: np.ndarray, total: int, reach: int, leaf_size: int = LEAF) -> tuple[Node, int]:
     """A vantage-point tree whose leaves would hold about ``leaf_size`` of ``total`` fingerprints.
 
-    The radius is the quantile near the middle whose shell, which visits both sides, is
-    thinnest. A node whose sample doesn't part stays a leaf. Returns the root and the number of leaves.
+    The radius is the quantile near the middle with the fewest fingerprints near the border.
+    A node whose children would each be nearly as large as itself stays a leaf. Returns the root
+    and the number of leaves.
     """
     share, leaves = max(1, total) / max(1, len(sample)), 0
 
-    def grow(part: np.ndarray) -> Node:
+    def split(part: np.ndarray) -> tuple[float, int, int]:
+        best = (1.0, 0, 0)
+        for point in part[:: max(1, len(part) // 16)][:16]:
+            by = np.bincount(np.bitwise_count(part ^ point), minlength=65)
+            below = np.cumsum(by)
+            for radius in np.flatnonzero((below >= 0.3 * len(part)) & (below <= 0.7 * len(part))):
+                near = by[max(0, radius - reach + 1) : radius + reach + 1].sum() / len(part)
+                best = min(best, (near, int(point), int(radius)))
+        return best
+
+    def grow(members: np.ndarray, visitors: np.ndarray | None) -> Node:
         nonlocal leaves
+        part = members if visitors is None else np.concatenate([members, visitors])
         if len(part) * share > leaf_size and len(part) >= 32:
-            best = None
-            for point in part[:: max(1, len(part) // 8)][:8]:
-                far = np.bitwise_count(part ^ point)
-                by = np.bincount(far, minlength=65)
-                below = np.cumsum(by)
-                for radius in range(64):
-                    if 0.3 * len(part) <= below[radius] <= 0.7 * len(part):
-                        shell = by[max(0, radius - reach + 1) : radius + 1].sum() / len(part)
-                        if best is None or shell < best[0]:
-                            best = shell, int(point), radius, far
-            if best and best[0] < 0.3:
-                _, point, radius, far = best
-                return Node(point, radius, grow(part[far <= radius]), grow(part[far > radius]))
+            _, point, radius = split(part)
+            m = np.bitwise_count(members ^ np.uint64(point)).astype(int)
+            inside, outside = members[m <= radius], members[m > radius]
+            if visitors is None:
+                if max(len(inside), len(outside)) < 0.9 * len(part):
+                    border = grow(members[(m > radius) & (m <= radius + reach)], members[(m <= radius) & (m > radius - reach)])
+                    return Node(point, radius, grow(inside, None), grow(outside, None), border)
+            else:
+                v = np.bitwise_count(visitors ^ np.uint64(point)).astype(int)
+                in_too, out_too = visitors[v <= radius + reach], visitors[v > radius - reach]
+                if max(len(inside) + len(in_too), len(outside) + len(out_too)) < 0.9 * len(part):
+                    return Node(point, radius, grow(inside, in_too), grow(outside, out_too))
         leaves += 1
         return Node(leaf=leaves - 1)
 
-    return grow(sample), leaves
+    return grow(sample, None), leaves
 
 
 def route(node: Node, points: np.ndarray, reach: int) -> list[tuple[int, np.ndarray, bool]]:
     """For each leaf the indices of its members (True) and of its visitors (False).
 
-    Members of the inside that lie within ``reach`` of the border visit the outside; the
-    other direction is not needed, since a pair has to meet once only.
+    Of a pair within ``reach`` either both points lie on one side of a border, or one lies
+    inside and one outside and both near it. Such pairs meet in the border's own shard, where
+    the outer point is a member and the inner one visits whatever its ball overlaps.
     """
-    found = []
-    stack = [(node, np.arange(len(points)), np.empty(0, np.int64))]
+    found, nobody = [], np.empty(0, np.int64)
+    stack = [(node, np.arange(len(points)), nobody)]
     while stack:
         at, members, visitors = stack.pop()
         if at.leaf >= 0:
@@ -140,10 +176,12 @@ def route(node: Node, points: np.ndarray, reach: int) -> list[tuple[int, np.ndar
             continue
         point = np.uint64(at.point)
         m, v = np.bitwise_count(points[members] ^ point).astype(int), np.bitwise_count(points[visitors] ^ point).astype(int)
-        crossing = members[(m <= at.radius) & (m > at.radius - reach)]
+        if at.border:
+            outside = members[(m > at.radius) & (m <= at.radius + reach)]
+            stack.append((at.border, outside, members[(m <= at.radius) & (m > at.radius - reach)]))
         stack.append((at.inner, members[m <= at.radius], visitors[v <= at.radius + reach]))
-        stack.append((at.outer, members[m > at.radius], np.concatenate([visitors[v > at.radius - reach], crossing])))
-    return found
+        stack.append((at.outer, members[m > at.radius], visitors[v > at.radius - reach]))
+    return [x for x in found if len(x[1])]
 
 
 def forest(points: np.ndarray, member: np.ndarray, reach: int, sketches: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
@@ -163,7 +201,7 @@ def forest(points: np.ndarray, member: np.ndarray, reach: int, sketches: np.ndar
                 near = np.bitwise_count(points[others] ^ points[at]) <= reach
                 if sketches is not None and near.any():
                     hits = np.flatnonzero(near)
-                    near[hits] = (sketches[others[hits]] == sketches[at]).mean(axis=1) >= similarity
+                    near[hits] = agreement(sketches[others[hits]], sketches[at]) >= similarity
                 if near.any():
                     new = others[near]
                     edges += [(int(at), int(x)) for x in new]
@@ -214,7 +252,7 @@ def links(nodes: DataFrame, reach: int, similarity: float | None = None, block:
         ids = table.column("node").to_numpy()
         sketches = None
         if similarity is not None:
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS // 2)
         pairs = forest(points, member, reach, sketches, similarity or 0)
         a, b = np.array(pairs, np.int64).reshape(-1, 2).T
         return pa.table({"a": ids[a], "b": ids[b]})
@@ -222,18 +260,22 @@ def links(nodes: DataFrame, reach: int, similarity: float | None = None, block:
     return rows.mapInArrow(dealt(parts), schema).groupBy("leaf", "pair").applyInArrow(join, "a long, b long")
 
 
-def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits: int = 2,
+def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits: int = 2, number: int = 1,
                 similarity: float | None = None, similarity_shingle: int = 5) -> DataFrame:
     """Per document row: doc_id, key, fp and component_id, the smallest doc_id reachable by links.
 
-    Equal fingerprints (with ``similarity``: and equal sketches) always link. Rows with a null
-    doc_id take part and get the smallest id of their group, null if it has none. Repeated
-    rows are all returned. An empty table gives no rows.
+    Rows link if one of ``number`` fingerprints differs in at most ``bits`` bits and, with
+    ``similarity``, their shingle sets are that similar by estimate. Rows that agree in all
+    fingerprints (and the sketch) always link. Rows with a null doc_id take part and get the
+    smallest id of their group, null if it has none. Repeated rows are all returned. An empty
+    table gives no rows.
     """
-    rows = stored(fingerprints(docs, shingle, distinct, similarity_shingle if similarity else None), "fingerprints")
-    rows = rows.withColumn("node", F.xxhash64("fp", "sketch") if similarity else F.col("fp"))
-    nodes = stored(rows.groupBy("node", "fp", "sketch").agg(F.min("doc_id").alias("first")), "nodes")
-    groups = components(links(nodes, bits, similarity))
+    rows = stored(fingerprints(docs, shingle, distinct, similarity_shingle if similarity else None, number), "fingerprints")
+    rows = rows.withColumn("fp", F.get("fps", F.lit(0)))
+    rows = rows.withColumn("node", F.xxhash64("fps", "sketch") if similarity or number > 1 else F.col("fp"))
+    nodes = stored(rows.groupBy("node", "fps", "sketch").agg(F.min("doc_id").alias("first")), "nodes")
+    found = [links(nodes.select("node", F.get("fps", F.lit(i)).alias("fp"), "sketch"), bits, similarity) for i in range(number)]
+    groups = components(reduce(DataFrame.union, found))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first")
     named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     names = stored(grouped.join(named, "component").select("node", "component_id"), "names")
