@@ -49,7 +49,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     Of equal chunks the one with the smallest (doc_id, key, start) stays, ids that are null last.
     """
     keyed = docs.select("doc_id", row_key().alias("key"), "text")
-    chunks = with_chunks(keyed).select("doc_id", "key", F.explode("__chunks").alias("c")).where("c.len >= 2")
+    # An outer explode, since the filter derived from an inner one would compute the chunks again.
+    chunks = with_chunks(keyed).select("doc_id", "key", F.explode_outer("__chunks").alias("c")).where("c.len >= 2")
     found = chunks.select("doc_id", "key", "c.*")
     repeated = found.groupBy("hash").count().where("count > 1").select("hash")
     hits = _salted_join(found, repeated, "hash", "key").groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "len")).alias("spans"))
