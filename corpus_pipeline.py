@@ -2,25 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gneiss.llm.common import stored
+from gneiss.llm.line_dedup import line_dedup
+from gneiss.llm.mixing import mixed_documents
+from gneiss.llm.packing import pack_documents
 from gneiss.llm.simhash import drop_near_duplicates
+from gneiss.llm.toxicity import drop_toxic
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays.
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic go. It is trained on the labelled rows of ``docs``."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated chunks of lines go; ``n_chars`` follows the text where it has changed.
+
+    Documents stay, those of which nothing is left too: they are copies of each other to the next stage.
+    """
+    cut = line_dedup(docs)
+    size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id.
 
     Fingerprints over the set of single words keep copies within few bits, and six of them
     find what one misses; a link then asks for a similarity of 0.8 of the five-word shingles.
-    Copies link through each other, and the smallest id of a group stays.
+    Copies link through each other.
     """
     return drop_near_duplicates(docs, shingle=1, distinct=True, bits=2, number=6, similarity=0.8, similarity_shingle=5)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come to their targets: documents appear as often as the mix takes them, in training order."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack_documents(docs, *files, public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", lines), ("near_copies", near_copies), ("mixing", mixing), ("packing", packing)]
 
-#: The stages train models and cluster fingerprints, which SQL can't express.
+#: The stages train models, cluster fingerprints and tokenise, which SQL can't express.
 ORACLE_SQL = None
 
 

@@ -96,3 +96,47 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = substring_dedup(table(spark, sf_dir, "documents"), k=35)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of the categories and the verdict for each document."""
+    from gneiss.llm.toxicity import score, train
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score(docs.select("doc_id", "text"), train(docs, labels)).drop("text")
+
+
+@query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of each document by both views and together, and whether it stays."""
+    from gneiss.llm.cotraining import score_quality, train
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(docs, train(docs, labels))
+
+
+@query()
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.98."""
+    from gneiss.llm.lattice import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts, with the likeness of both and of the next document."""
+    from gneiss.llm.imatch import edit_likeness
+
+    rows = edit_likeness(table(spark, sf_dir, "documents"))
+    return rows.withColumn("edited_sha256", F.sha2("edited", 256)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query()
+def op7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from gneiss.llm.wrappers import main_text
+
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
