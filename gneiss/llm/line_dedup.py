@@ -2,11 +2,11 @@
 
 A rolling hash covers a line and the one before it. A line whose rolling hash is below that of
 both neighbours ends a chunk, so boundaries depend on the nearby lines only and survive shifts;
-chunks have two lines or more. Chunks whose hash repeats are compared byte by byte (they are
-grouped by their text), and of equal chunks the first in the corpus stays.
+chunks have two lines or more. Chunks are compared byte by byte (they are grouped by their
+text), and of equal chunks the first in the corpus stays.
 
-DataFrame functions only. Hashes and coordinates are shuffled for all chunks, texts of chunks
-for the repeated ones.
+DataFrame functions only. Texts are shuffled twice: as chunks to be compared, and as documents
+to be cut.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from gneiss.llm.common import SALTS, row_key
 
 
 def with_chunks(docs: DataFrame) -> DataFrame:
-    """Add ``__lines`` and ``__chunks``, an array of (start, len, hash), to rows with a text."""
+    """Add ``__lines`` and ``__chunks``, an array of (start, len), to rows with a text."""
     lined = docs.withColumn("__lines", F.split("text", "\n", -1))
     hashed = lined.withColumn("__hashes", F.transform("__lines", lambda line: F.xxhash64(line)))
     rolled = hashed.withColumn("__rolled", F.transform(
@@ -29,18 +29,8 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     cut = rolled.withColumn("__cuts", cuts)
     ends = F.concat("__cuts", F.array(last))
     starts = F.concat(F.array(F.lit(0)), F.transform("__cuts", lambda c: c + 1))
-    spans = cut.withColumn("__spans", F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("len"))))
-    chunks = F.transform("__spans", lambda s: F.struct(
-        s["start"].alias("start"), s["len"].alias("len"),
-        F.xxhash64(F.slice(F.col("__hashes"), s["start"] + 1, s["len"])).alias("hash")))
-    return spans.withColumn("__chunks", chunks).drop("__hashes", "__rolled", "__cuts", "__spans")
-
-
-def _salted_join(rows: DataFrame, small: DataFrame, key: str, spread: str) -> DataFrame:
-    """Join on a key that may be hot: its rows are spread over salts, the other side is repeated."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    return left.join(small.withColumn("__salt", salts), [key, "__salt"]).drop("__salt")
+    spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("len")))
+    return cut.withColumn("__chunks", spans).drop("__hashes", "__rolled", "__cuts")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -50,20 +40,19 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select("doc_id", row_key().alias("key"), "text")
     # An outer explode, since the filter derived from an inner one would compute the chunks again.
-    chunks = with_chunks(keyed).select("doc_id", "key", F.explode_outer("__chunks").alias("c")).where("c.len >= 2")
-    found = chunks.select("doc_id", "key", "c.*")
-    repeated = found.groupBy("hash").count().where("count > 1").select("hash")
-    hits = _salted_join(found, repeated, "hash", "key").groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "len")).alias("spans"))
-
-    cut = keyed.alias("t").join(hits.alias("h"), F.col("t.key").eqNullSafe(F.col("h.key")) & F.col("t.doc_id").eqNullSafe(F.col("h.doc_id")))
-    cut = cut.select("t.doc_id", "t.key", F.split("t.text", "\n", -1).alias("lines"), F.explode("h.spans").alias("s"))
-    cut = cut.select("doc_id", "key", "s.*", F.array_join(F.slice("lines", F.col("s.start") + 1, F.col("s.len")), "\n").alias("chunk"))
+    chunks = with_chunks(keyed).select("doc_id", "key", "__lines", F.explode_outer("__chunks").alias("c")).where("c.len >= 2")
+    chunk = F.array_join(F.slice("__lines", F.col("c.start") + 1, F.col("c.len")), "\n")
+    chunks = chunks.select("doc_id", "key", "c.*", chunk.alias("chunk"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "start")
-    # Grouping by the chunk itself compares bytes; its digest then names the group.
-    groups = cut.groupBy("chunk").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    # Grouping by the chunk itself compares bytes; its digest then names the group. Copies of a
+    # chunk are combined before the shuffle.
+    groups = chunks.groupBy("chunk").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     groups = groups.select(F.md5("chunk").alias("digest"), "first")
-    named = cut.select("doc_id", "key", "start", "len", F.md5("chunk").alias("digest"))
-    return _salted_join(named, groups, "digest", "key").where(place != F.col("first")).select("doc_id", "key", "start", "len")
+    named = chunks.select("doc_id", "key", "start", "len", F.md5("chunk").alias("digest"))
+    # A hot chunk is spread over salts.
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = named.withColumn("salt", F.pmod(F.xxhash64("key", "start"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"])
+    return found.where(place != F.col("first")).select("doc_id", "key", "start", "len")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
