@@ -2,29 +2,33 @@
 
 The lexicon has the terms whose inverse document frequency, over all documents, lies within a
 band. A fingerprint has one hash for each of several random subsets of the lexicon: that of the
-document's distinct terms in the subset, sorted. Subsets thin out by halves, so that some of
-them are small enough to survive an edit whatever the size of the document.
+document's distinct terms in the subset. The exclusive or of the terms' hashes stands for the
+hash of the sorted terms, since neither depends on the order they come in. Subsets thin out by
+halves, so that some are small enough to survive an edit whatever the size of the document.
 
 DataFrame functions only. The upper end of the band bounds the lexicon: a term in at least a
 share s of the documents is one of at most (mean distinct terms of a document) / s terms,
-however many documents there are. So it is held as one array that every task reads, and no
-terms are shuffled but for counting them.
+however many documents there are. Its size is checked, and it is broadcast as long as it holds
+``BROADCAST_TERMS`` terms at most; terms of documents are then not shuffled at all, since each
+document's are combined in the task that has its text.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gneiss.llm.common import row_key, shuffle_width
+from gneiss.llm.common import row_key, shuffle_width, stored
 
 #: The band of ln(documents / documents with the term): terms of 10 % to 0.05 % of all documents.
 BAND = (math.log(1 / 0.1), math.log(1 / 0.0005))
-#: Hash buckets of the lexicon.
-BUCKETS = 16384
-#: Subsets: for each family of hash bits the whole lexicon, its half, quarter and so on.
-FAMILIES, LEVELS = (20, 42), 12
+BROADCAST_TERMS = 4_000_000
+#: Subsets of the lexicon: the position of the hash bits that pick it, and their number. One in
+#: 2^number terms is picked; the sizes that most documents have few terms of come four times.
+POSITIONS = (0, 12, 24, 36)
+SUBSETS = [(p, n) for n, times in enumerate((1, 1, 2, 4, 4, 4, 4, 4, 4, 4, 2, 2)) for p in POSITIONS[:times]]
 LEAST = -(2**63)
 
 
@@ -35,36 +39,37 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """One row with an array of buckets, each an array of the hashes of its terms."""
+    """The hashes of the terms in the band: one column, ``term``."""
+    # Outer explodes, since the filter derived from an inner one would compute the terms again.
     counts = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).where("term IS NOT NULL").groupBy("term").count()
     total = docs.agg(F.count("*").alias("total")).scalar()
     # Rounded, so that a term at the very end of the band isn't lost to the last bit.
     idf = F.round(F.log(total / F.col("count")), 9)
-    inside = counts.where((idf >= round(band[0], 9)) & (idf <= round(band[1], 9)))
-    filled = inside.groupBy(F.pmod("term", F.lit(BUCKETS)).alias("bucket")).agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(filled, "bucket", "left")
-    row = every.agg(F.sort_array(F.collect_list(F.struct("bucket", "terms"))).alias("all"))
-    return row.select(F.transform("all", lambda b: F.coalesce(b["terms"], F.array().cast("array<bigint>"))).alias("lexicon"))
+    return counts.where((idf >= round(band[0], 9)) & (idf <= round(band[1], 9))).select("term")
 
 
-def signatures(hashes: Column, lexicon: Column) -> Column:
-    """Per subset the hash of the sorted terms in it, null if it holds none.
+def signatures(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
+    """The rows, without ``text`` and each once, with ``signature``: an array with a hash or null for each subset.
 
-    A document without terms in the band is told by all its terms.
+    A document without terms in the band is told by the first subset's hash, of all its terms.
     """
-    inside = F.filter(hashes, lambda h: F.array_contains(F.get(lexicon, F.pmod(h, F.lit(BUCKETS)).cast("int")), h))
-    chosen = F.array_sort(F.when(F.size(inside) > 0, inside).otherwise(hashes))
-    def signature(terms: Column, family: int, level: int) -> Column:
-        picked = F.filter(terms, lambda h: F.shiftright(h, family).bitwiseAND(F.lit(2**level - 1)) == 0)
-        return F.transform(F.array(picked), lambda p: F.when(F.size(p) > 0, F.xxhash64(p)))[0]
+    rest = [c for c in rows.columns if c != text]
+    small = known.count() <= BROADCAST_TERMS
+    each = rows.select(*rest, F.explode_outer(terms(F.col(text))).alias("term"))
+    each = each.join((F.broadcast(known) if small else known).withColumn("inside", F.lit(True)), "term", "left")
 
-    each = [(family, level) for family in FAMILIES for level in range(LEVELS)]
-    return F.transform(F.array(chosen), lambda t: F.array(*[signature(t, f, k) for f, k in each]))[0]
+    def picked(position: int, bits: int) -> Column:
+        return F.col("inside") & (F.shiftright("term", position).bitwiseAND(F.lit(2**bits - 1)) == 0)
+
+    hashes = [F.bit_xor(F.when(picked(*s), F.hash("term"))).alias(f"__s{i}") for i, s in enumerate(SUBSETS)]
+    found = each.groupBy(*rest).agg(F.bit_xor(F.hash("term")).alias("__all"), F.count("term").alias("__n"), *hashes)
+    first = F.coalesce("__s0", F.when(F.col("__n") > 0, F.col("__all")))
+    return found.select(*rest, F.array(first, *[F.col(f"__s{i}") for i in range(1, len(SUBSETS))]).alias("signature"))
 
 
 def as_text(signature: Column) -> Column:
     """Eight hex digits for each subset, dashes for an empty one."""
-    return F.array_join(F.transform(signature, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), F.lit("-" * 8))), "")
+    return F.array_join(F.transform(signature, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), F.lit("-" * 8))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -85,46 +90,60 @@ def with_next(rows: DataFrame, *columns: str) -> DataFrame:
     """
     ranges = min(2048, 2 * shuffle_width(rows))
     steps = [k / ranges for k in range(1, ranges)]
-    ids = rows.select("doc_id")
-    ends = ids.agg(F.array_distinct(F.coalesce(F.percentile_approx("doc_id", steps), F.array().cast("array<bigint>"))).alias("ends")).scalar()
-    top = ids.agg(F.coalesce(F.max("doc_id"), F.lit(LEAST)).alias("top")).scalar()
+    # At most 2047 quantiles and the largest id come to the driver.
+    head = rows.agg(F.percentile_approx("doc_id", steps).alias("ends"), F.max("doc_id").alias("top")).first()
+    ends = F.from_json(F.lit(json.dumps(sorted(set(head.ends or [])))), "array<bigint>")
+    top = F.lit(LEAST if head.top is None else head.top)
     own = F.coalesce("doc_id", F.lit(LEAST))
     low = F.size(F.filter(ends, lambda e: e < own))
     places = F.array_compact(F.array(
         F.struct(low.alias("range"), F.lit(0).alias("behind")),
         F.when(F.array_contains(ends, own), F.struct((low + 1).alias("range"), F.lit(1).alias("behind"))),
         F.when(own == top, F.struct(F.lit(0).alias("range"), F.lit(2).alias("behind")))))
-    dealt = rows.withColumn("__place", F.explode_outer(places))
+    dealt = rows.withColumn("__places", places)
+    dealt = dealt.select(*rows.columns, F.explode_outer("__places").alias("__place"))
     after = Window.partitionBy("__place.range").orderBy("__place.behind", F.col("doc_id").desc_nulls_last(), "key")
     dealt = dealt.withColumns({f"next_{c}": F.lead(c).over(after) for c in columns})
     return dealt.where("__place.behind = 0").drop("__place")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.withColumn("key", row_key())
+
+
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """Per document row: doc_id, text and signature, an array with a hash or null for each subset.
+    """doc_id, key (number of the row's content) and signature, of each different row.
 
-    A null text is empty. Equal texts have equal signatures, an empty text one of nulls. Repeated
-    rows and null ids are documents like others. An empty table gives no rows.
+    A null text is empty. Equal texts have equal signatures, an empty text one of nulls. Null ids
+    are documents like others. An empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.withColumn("signature", signatures(terms(F.col("text")), lexicon(rows, band).scalar()))
+    rows = _rows(docs)
+    return signatures(rows, "text", stored(lexicon(rows, band), "lexicon"))
 
 
 def edit_likeness(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness.
 
     The edited text has its last half (rounded down) replaced by as many first characters of the
-    next document, by descending doc_id, or all of them. Columns: doc_id, n_chars, edited,
-    fingerprint, edited_fingerprint, near_edited, near_next.
+    next document, by descending doc_id, or all of them. Columns: doc_id, n_chars, edited_sha256,
+    fingerprint, edited_fingerprint, near_edited, near_next. Repeated rows are returned each; the
+    next document of one may be the other.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = lexicon(rows, band).scalar()
-    rows = rows.withColumn("key", row_key()).withColumn("signature", signatures(terms(F.col("text")), known))
-    rows = with_next(rows, "text", "signature").withColumn("n_chars", F.char_length("text").cast("long"))
+    rows = _rows(docs)
+    known = stored(lexicon(rows, band), "lexicon")
+    own = stored(signatures(rows, "text", known), "signatures")
+    rows = with_next(rows, "text", "key", "doc_id").withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
-    rows = rows.withColumn("edited", edited).withColumn("edited_signature", signatures(terms(F.col("edited")), known))
+    rows = rows.select("doc_id", "key", "next_doc_id", "next_key", "n_chars", edited.alias("edited"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
+    rows = signatures(rows, "edited", known).withColumnRenamed("signature", "edited_signature").alias("e")
+    for name, key, doc_id in (("own", "key", "doc_id"), ("next", "next_key", "next_doc_id")):
+        other = own.select(F.col("key").alias(f"{name}__k"), F.col("doc_id").alias(f"{name}__id"), F.col("signature").alias(f"{name}_signature"))
+        rows = rows.join(other, (F.col(key) == F.col(f"{name}__k")) & F.col(doc_id).eqNullSafe(F.col(f"{name}__id")))
     return rows.select(
-        "doc_id", "n_chars", "edited", as_text(F.col("signature")).alias("fingerprint"), as_text(F.col("edited_signature")).alias("edited_fingerprint"),
-        likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
-        likeness(F.col("signature"), F.col("next_signature")).alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own_signature")).alias("fingerprint"),
+        as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        likeness(F.col("own_signature"), F.col("edited_signature")).alias("near_edited"),
+        likeness(F.col("own_signature"), F.col("next_signature")).alias("near_next"))

@@ -129,9 +129,7 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and their edited texts, with the likeness of both and of the next document."""
     from gneiss.llm.imatch import edit_likeness
 
-    rows = edit_likeness(table(spark, sf_dir, "documents"))
-    return rows.withColumn("edited_sha256", F.sha2("edited", 256)).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return edit_likeness(table(spark, sf_dir, "documents"))
 
 
 @query()
