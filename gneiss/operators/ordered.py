@@ -1,123 +1,95 @@
 """Ordered computations within a key that may hold a large share of all rows.
 
-A plain window sends a whole key to one task. When the largest key is small that is the
-best plan. Beyond ``GROUP_ROWS`` the rows are range-partitioned on (key, order) instead,
-so Spark's own sampling splits a large key into even chunks; each chunk is computed by
-itself and receives the little it needs from its neighbours. Results are identical.
+A plain window sends a whole key to one task. Here a key is cut into buckets of its order,
+which depend on the rows' values alone: each bucket is computed by itself and receives the
+little it needs from its neighbours. There is one plan for every size, no job runs while it
+is built, and nothing is checkpointed, since every evaluation finds the same buckets.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from gneiss.operators.keys import key_list
-from gneiss.session import durable
-
-GROUP_ROWS = 2_000_000
-
-
-class GroupSizes(NamedTuple):
-    """Rows of the largest key and of all keys."""
 
-    largest: int
-    total: int
+SLICES = 64
 
 
-def group_sizes(df: DataFrame, keys) -> GroupSizes:
-    """Measured by one aggregation with a partial step; two numbers reach the driver."""
-    counts = df.groupBy(*key_list(keys)).agg(F.count("*").alias("n"))
-    return GroupSizes(*[n or 0 for n in counts.agg(F.max("n"), F.sum("n")).first()])
+def _slice(df: DataFrame, column: str, slices: int) -> Column:
+    """The number of the even slice, between the column's least and greatest value, that a row lies in."""
+    value = F.col(column).cast("double")
+    low, high = df.agg(F.min(value).alias("low")).scalar(), df.agg(F.max(value).alias("high")).scalar()
+    share = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
+    return F.floor(F.coalesce(share, F.lit(-1.0)) * slices).cast("int")
 
 
-def range_chunks(df: DataFrame, keys, order_by, chunks: int) -> DataFrame:
-    """Tag rows with ``_chunk``, an even contiguous range of (keys, order).
-
-    The range bounds come from sampling, so the tags are fixed by a checkpoint before
-    they are used on more than one path of a plan.
-    """
-    ranged = df.repartitionByRange(chunks, *[F.col(k) for k in key_list(keys)], *[F.col(c) for c in order_by])
-    return durable(ranged.withColumn("_chunk", F.spark_partition_id()))
+def order_buckets(df: DataFrame, order_by, slices: int = SLICES) -> dict[str, Column]:
+    """Columns that cut a key along its order: the first order column as it is, such as a day, and
+    even slices of the second one if that is numeric."""
+    first, rest = order_by[0], order_by[1:]
+    buckets = {"_bucket": F.col(first)}
+    if rest and isinstance(df.schema[rest[0]].dataType, NumericType):
+        buckets["_slice"] = _slice(df, rest[0], slices)
+    return buckets
 
 
-def rolling_mean(
-    df: DataFrame, keys, order_by, value: str, frames: dict, group_rows: int = GROUP_ROWS, sizes: GroupSizes | None = None
-) -> DataFrame:
+def rolling_mean(df: DataFrame, keys, order_by, value: str, frames: dict, slices: int = SLICES) -> DataFrame:
     """Means over row frames that look back at most a few rows.
 
     ``frames`` maps an output name to ``(first, last)`` offsets, both at most 0, for
-    instance ``(-7, -1)`` for the previous seven rows. ``order_by`` must be a total order.
-    ``sizes`` spares the measurement where the caller knows a cheaper way; estimates will
-    do, as they only choose the plan.
+    instance ``(-7, -1)`` for the previous seven rows. ``order_by`` must be a total order; its
+    first column should be coarse, a day rather than an instant, as each of its values is a
+    bucket of its own.
     """
     names, order_by = key_list(keys), list(order_by)
     if any(last > 0 or first > last for first, last in frames.values()):
         raise ValueError("frames may only look back")
-    sizes = sizes or group_sizes(df, names)
-    if sizes.largest <= group_rows:
-        return _with_means(df, Window.partitionBy(*names).orderBy(*order_by), value, frames)
-
     reach = -min(first for first, _ in frames.values())
-    chunked = range_chunks(df, names, order_by, _chunks(df, sizes, group_rows))
-    chunk = Window.partitionBy(*names, "_chunk")
-    # The last rows of every chunk, at most `reach` per (key, chunk).
+    buckets = order_buckets(df, order_by, slices)
+    cut = df.withColumns(buckets)
+    bucket = Window.partitionBy(*names, *buckets)
+    # The last rows of every bucket, at most `reach` of each.
     tails = (
-        chunked.withColumn("_back", F.row_number().over(chunk.orderBy(*[F.col(c).desc() for c in order_by])))
+        cut.withColumn("_back", F.row_number().over(bucket.orderBy(*[F.col(c).desc() for c in order_by])))
         .filter(F.col("_back") <= reach)
-        .groupBy(*names, "_chunk")
+        .groupBy(*names, *buckets)
         .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_by, value])))).alias("_tail"))
     )
-    # Each of the `reach` preceding chunks holds a row at least, so together they suffice.
-    before = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(-reach, -1)
+    # Each of the `reach` preceding buckets holds a row at least, so together they suffice.
+    before = Window.partitionBy(*names).orderBy(*buckets).rowsBetween(-reach, -1)
     halo = (
         tails.withColumn("_head", F.flatten(F.collect_list("_tail").over(before)))
         .filter(F.size("_head") > 0)
         .withColumn("_head", F.expr(f"slice(_head, -least({reach}, size(_head)), {reach})"))
-        .select(*names, "_chunk", F.inline("_head"))
+        .select(*names, *buckets, F.inline("_head"))
         .withColumn("_halo", F.lit(True))
     )
-    rows = chunked.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    means = _with_means(rows, chunk.orderBy(*order_by), value, frames)
+    rows = cut.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    ordered = bucket.orderBy(*order_by)
+    means = rows.withColumns({n: F.avg(value).over(ordered.rowsBetween(a, b)) for n, (a, b) in frames.items()})
     return means.filter(~F.col("_halo")).select(*df.columns, *frames)
 
 
-def _chunks(df, sizes, group_rows):
-    """Enough chunks for each to hold about ``group_rows`` rows."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sizes.total // group_rows))
-
-
-def _with_means(df, window, value, frames):
-    return df.withColumns({n: F.avg(value).over(window.rowsBetween(a, b)) for n, (a, b) in frames.items()})
-
-
-def next_at_or_after(
-    df: DataFrame, keys, time: str, marks: dict[str, Column], group_rows: int = GROUP_ROWS, sizes: GroupSizes | None = None
-) -> DataFrame:
+def next_at_or_after(df: DataFrame, keys, time: str, marks: dict[str, Column], bucket: Column | None = None) -> DataFrame:
     """For every row, the earliest ``time`` of a marked row of its key, not before its own.
 
-    ``marks`` maps an output name to a condition. This answers "the next event of that
-    kind" without joining a key's rows with one another. ``sizes`` as in ``rolling_mean``.
+    ``marks`` maps an output name to a condition. This answers "the next event of that kind"
+    without joining a key's rows with one another: the first marked times of each key and bucket
+    are carried back over the buckets, and only a bucket's own rows are ordered. ``bucket``
+    must not fall as the time rises; it is the hour of the time unless given.
     """
     names = key_list(keys)
+    bucket = F.date_trunc("hour", F.col(time)) if bucket is None else bucket
+    cut = df.withColumn("_bucket", bucket)
     marked = {n: F.when(cond, F.col(time)) for n, cond in marks.items()}
-
-    def ahead(*parts):
-        return Window.partitionBy(*parts).orderBy(F.col(time).desc()).rangeBetween(Window.unboundedPreceding, 0)
-
-    sizes = sizes or group_sizes(df, names)
-    if sizes.largest <= group_rows:
-        return df.withColumns({n: F.min(c).over(ahead(*names)) for n, c in marked.items()})
-
-    chunked = range_chunks(df, names, [time], _chunks(df, sizes, group_rows))
-    firsts = chunked.groupBy(*names, "_chunk").agg(*[F.min(c).alias(n) for n, c in marked.items()])
-    later = Window.partitionBy(*names).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = cut.groupBy(*names, "_bucket").agg(*[F.min(c).alias(n) for n, c in marked.items()])
+    later = Window.partitionBy(*names).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = firsts.select(
-        *[F.col(k).alias(f"_key_{k}") for k in [*names, "_chunk"]],
-        *[F.min(n).over(later).alias(f"_later_{n}") for n in marked],
-    )
-    inside = chunked.withColumns({n: F.min(c).over(ahead(*names, "_chunk")) for n, c in marked.items()})
-    same = [inside[k].eqNullSafe(carried[f"_key_{k}"]) for k in [*names, "_chunk"]]
+        *[F.col(k).alias(f"_key_{k}") for k in [*names, "_bucket"]], *[F.min(n).over(later).alias(f"_later_{n}") for n in marked])
+    ahead = Window.partitionBy(*names, "_bucket").orderBy(F.col(time).desc()).rangeBetween(Window.unboundedPreceding, 0)
+    inside = cut.withColumns({n: F.min(c).over(ahead) for n, c in marked.items()})
+    same = [inside[k].eqNullSafe(carried[f"_key_{k}"]) for k in [*names, "_bucket"]]
     both = inside.join(carried, same, "left")
     return both.withColumns({n: F.coalesce(n, f"_later_{n}") for n in marked}).select(*df.columns, *marked)

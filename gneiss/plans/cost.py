@@ -6,24 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, ratio, steady_round
-from gneiss.operators.ordered import GROUP_ROWS, GroupSizes, rolling_mean
-
-JOB = ["pipeline_id", "pipeline_name", "job_id"]
-
+from gneiss.operators.merge import merge_upsert
+from gneiss.operators.ordered import rolling_mean
 
 def runs_per_job(runs: DataFrame) -> DataFrame:
-    """One row per pipeline and job out of one per update."""
-    return runs.groupBy(*JOB).agg(
+    """One row per pipeline and job out of one per update, with the number of pipelines of the job.
+
+    A pipeline's name may be missing on some updates; the greatest one counts.
+    """
+    jobs = runs.filter(F.col("job_id").isNotNull()).groupBy("pipeline_id", "job_id").agg(
+        F.max("pipeline_name").alias("pipeline_name"),
         F.max("output_table").alias("output_table"),
         F.max("cluster_type").alias("cluster_type"),
         F.sum("idle_minutes").alias("idle_minutes"),
         F.sum("active_minutes").alias("active_minutes"),
     )
+    return jobs.withColumn("job_pipelines", F.count("*").over(Window.partitionBy("job_id")))
 
 
-def cleaned_costs(
-    usage: DataFrame, runs: DataFrame, as_of=None, order_by=("usage_id",), reduce_runs: bool = True, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def cleaned_costs(usage: DataFrame, runs: DataFrame, as_of=None, order_by=("usage_id",), reduce_runs: bool = True) -> DataFrame:
     """Usage of the last seven days with pipeline, anomaly flag and forecast.
 
     A cost is an anomaly above twice the mean of the previous seven rows of its pipeline;
@@ -32,17 +33,17 @@ def cleaned_costs(
     comes before the windows, so they never reach back further.
 
     The event-log summary has a row per update, which would repeat each usage row once per
-    update of its job; it is reduced to a row per job first. ``reduce_runs=False`` says the
-    runs already are one per job and joins them as they are.
+    update of its job; it is reduced to a row per job first. A job that serves several
+    pipelines has its usage split among them evenly, so the costs sum to those of the usage.
+    ``reduce_runs=False`` says the runs already are one per job and joins them as they are.
     """
     today = day(as_of)
     date = F.col("usage_start_time").cast("date")
     recent = usage.filter(date.between(F.date_sub(today, 7), today)).withColumn("usage_date", date)
-    jobs = runs_per_job(runs) if reduce_runs else runs
-    joined = recent.join(jobs.filter(F.col("job_id").isNotNull()), "job_id")
-    frames = {"_previous": (-7, -1), "_recent": (-6, 0)}
-    sizes = _pipeline_sizes(recent, jobs, group_rows)
-    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", frames, group_rows, sizes)
+    jobs = runs_per_job(runs) if reduce_runs else runs.withColumn("job_pipelines", F.lit(1)).filter(F.col("job_id").isNotNull())
+    joined = recent.join(jobs, "job_id").withColumns({
+        "dbu_cost": F.col("dbu_cost") / F.col("job_pipelines"), "dbus": F.col("dbus") / F.col("job_pipelines")})
+    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", {"_previous": (-7, -1), "_recent": (-6, 0)})
     cost = F.col("dbu_cost")
 
     def share(kind):
@@ -65,19 +66,6 @@ def cleaned_costs(
     )
 
 
-def _pipeline_sizes(recent: DataFrame, jobs: DataFrame, group_rows: int) -> GroupSizes:
-    """Rows of the largest pipeline, from counts per job.
-
-    No pipeline exceeds all usage, so a small total settles it without a look at the jobs.
-    """
-    total = recent.count()
-    if total <= group_rows:
-        return GroupSizes(total, total)
-    per_job = recent.groupBy("job_id").agg(F.count("*").alias("n"))
-    per_pipeline = per_job.join(jobs, "job_id").groupBy("pipeline_id").agg(F.sum("n").alias("n"))
-    return GroupSizes(*[n or 0 for n in per_pipeline.agg(F.max("n"), F.sum("n")).first()])
-
-
 def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     """The daily summary per pipeline; ``as_of=None`` gives every day in the data.
 
@@ -85,7 +73,8 @@ def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     those with the highest cost of that day. Windows and joins see one row per pipeline
     and day.
     """
-    daily = costs.groupBy(F.col("usage_date").alias("summary_date"), "pipeline_id", "pipeline_name").agg(
+    daily = costs.groupBy(F.col("usage_date").alias("summary_date"), "pipeline_id").agg(
+        F.max("pipeline_name").alias("pipeline_name"),
         F.sum("cost_usd").alias("total_cost_usd"),
         F.sum("dbus").alias("dbus_7d"),
         steady_round(F.avg("cost_usd")).alias("avg_cost_per_pipeline"),
@@ -97,7 +86,7 @@ def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
         F.min("cluster_type").alias("cost_by_cluster"),
         F.max(F.struct("cost_usd", "output_table")).alias("_top_row"),
     )
-    earlier = F.lag("total_cost_usd").over(Window.partitionBy("pipeline_id").orderBy("summary_date", "pipeline_name"))
+    earlier = F.lag("total_cost_usd").over(Window.partitionBy("pipeline_id").orderBy("summary_date"))
     trend = steady_round(ratio(F.col("total_cost_usd") - earlier, earlier) * 100)
     daily = daily.withColumn("cost_trend_pct", trend)
     if as_of is not None:
@@ -125,6 +114,14 @@ def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def upsert_cost_summary(stored: DataFrame, summary: DataFrame) -> DataFrame:
+    """The stored summary with the rows of ``summary`` updated or added, by day and pipeline.
+
+    Merging the same rows again changes nothing.
+    """
+    return merge_upsert(stored, summary, ["summary_date", "pipeline_id"])
+
+
 def cost_kpis(summary: DataFrame, as_of=None) -> DataFrame:
     """The headline cost numbers of one day in a single pass."""
     return summary.filter(F.col("summary_date") == day(as_of)).agg(

@@ -1,8 +1,8 @@
-"""Files that belong to no table, and sample tables to try it on."""
+"""Files that belong to no table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,9 +29,3 @@ def find_orphans(files: DataFrame, tables: DataFrame) -> DataFrame:
     """Folders in which no table is stored."""
     known = tables.select(F.rtrim(F.col("location"), F.lit("/")).alias("path_modified")).distinct()
     return directories(files).join(known, "path_modified", "left_anti")
-
-
-def sample_numeric(spark: SparkSession, rows: int = 10_000, columns: int = 10, seed: int = 0) -> DataFrame:
-    """Random numbers: uniform in odd columns, normal in even ones."""
-    drawn = {f"col{i}": (F.rand if i % 2 else F.randn)(seed + i) for i in range(1, columns + 1)}
-    return spark.range(rows).withColumns(drawn)

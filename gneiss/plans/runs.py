@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions.values import day, steady_round
 from gneiss.operators.keys import has_null_key, latest_per_key
-from gneiss.operators.ordered import GROUP_ROWS, group_sizes, next_at_or_after
+from gneiss.operators.ordered import next_at_or_after
 from gneiss.plans.event_log import parsed_events, update_events
 
 # The states that end an update.
@@ -15,7 +15,7 @@ FINAL_STATES = ["COMPLETED", "FAILED", "CANCELED"]
 PIPELINE = ["pipeline_id", "pipeline_name"]
 
 
-def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def update_runtimes(log: DataFrame) -> DataFrame:
     """For each start of an update and each state seen from then on: end and run time.
 
     The end is the first event of a final state, and the last event of any other state;
@@ -23,23 +23,19 @@ def update_runtimes(log: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 
     An update's events are never joined with each other: the next final event comes from an
     ordered pass, the last event of every other state from an aggregate that is joined once
-    per update and holds one entry per state.
+    per update and holds one entry per state, of which there are few by definition.
     """
     events = update_events(log).select(*PIPELINE, "update_id", "event_time", "update_state")
     update = ["pipeline_id", "update_id"]
     keyed = events.filter(~has_null_key(update))
     state = F.col("update_state")
-    # Group sizes come from the ids alone; no details are parsed for them.
-    sizes = group_sizes(log.filter(F.col("event_type") == "update_progress"), ["origin.pipeline_id", "origin.update_id"])
-
     last_open = (
         keyed.filter(~F.coalesce(state.isin(FINAL_STATES), F.lit(False)))
         .groupBy(*update, "update_state").agg(F.max("event_time").alias("end"))
         .groupBy(*update).agg(F.collect_list(F.struct("update_state", "end")).alias("_open"))
     )
     marks = {f"_next_{s}": state == s for s in FINAL_STATES}
-    ahead = next_at_or_after(keyed, update, "event_time", marks, group_rows, sizes)
-    # Repeated starts fall away within the update's partition, so no further shuffle.
+    ahead = next_at_or_after(keyed, update, "event_time", marks)
     starts = ahead.filter(state == "RUNNING").drop("update_state").distinct()
     finals = [F.struct(F.lit(s).alias("update_state"), F.col(f"_next_{s}").alias("end")) for s in FINAL_STATES]
     seen = F.filter(
@@ -216,37 +212,6 @@ def summarise_registered(registry: DataFrame, log: DataFrame, as_of=None) -> Dat
     return pipeline_summary(kept, as_of)
 
 
-def synthetic_daily_metrics(spark, end_date: str = "2024-12-06", n: int = 100, name: str = "sample") -> DataFrame:
-    """Sample summary rows for the days up to a date, from hashes of the day number."""
-
-    def spread(factor):
-        return F.pmod(F.hash(F.col("n") * factor), F.lit(10000)) / F.lit(10000.0)
-
-    def chance(factor, percent):
-        return F.pmod(F.hash(F.col("n") * factor), F.lit(100)) < percent
-
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("n"))
-    date = F.date_sub(F.lit(end_date).cast("date"), F.col("n"))
-    moment_of_day = F.make_dt_interval(
-        hours=(spread(10) * 24).cast("int"), mins=(spread(11) * 60).cast("int")
-    )
-    return days.select(
-        date.alias("summary_date"),
-        F.lit(name).alias("pipeline_name"),
-        F.lit(1).alias("total_pipelines"),
-        chance(1, 5).cast("int").alias("pipelines_failed_today"),
-        F.round(spread(2) * 500, 2).alias("streaming_backlog_mb"),
-        F.round(10 + spread(3) * 35, 2).alias("avg_runtime_minutes"),
-        F.round(10 + spread(4) * 35, 2).alias("latest_runtime_minutes"),
-        (spread(5) * 3).cast("int").alias("retry_count_7d"),
-        F.round(15 + spread(6) * 45, 2).alias("longest_runtime_minutes"),
-        chance(7, 80).cast("int").alias("pipelines_with_autoloader"),
-        (3 + spread(8) * 5).cast("int").alias("tables_created"),
-        chance(9, 90).cast("int").alias("active_streaming_pipelines"),
-        F.when(chance(1, 5), date.cast("timestamp") + moment_of_day).alias("last_failure_ts"),
-    )
-
-
 def run_kpis(summary: DataFrame, as_of=None) -> DataFrame:
     """The ten headline numbers of one day's summary in a single pass."""
     return summary.filter(F.col("summary_date") == day(as_of)).agg(

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gneiss.plans import cost
 
@@ -25,9 +26,8 @@ def runs(spark):
     ], RUNS)
 
 
-@pytest.mark.parametrize("group_rows", [10**9, 7])
-def test_cleaned_costs_by_hand(spark, group_rows):
-    got = cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30", group_rows=group_rows).collect()
+def test_cleaned_costs_by_hand(spark):
+    got = cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30").collect()
     first, last = dt.date(2024, 1, 23), dt.date(2024, 1, 30)
     pipes = {"j1": "p1", "j2": "p2"}
     want = []
@@ -43,6 +43,26 @@ def test_cleaned_costs_by_hand(spark, group_rows):
     assert {r.idle_minutes for r in got if r.pipeline_id == "p1"} == {20.0}
 
 
+def test_unnamed_updates_and_shared_jobs_keep_the_total(spark):
+    more = runs(spark).union(spark.createDataFrame([
+        ("p1", None, "j1", "t1", "big", 10.0, 30.0, DAY), ("p4", "four", "j1", "t5", "big", 1.0, 1.0, DAY)], RUNS))
+    got = cost.cleaned_costs(usage(spark), more, "2024-01-30")
+    by_pipeline = {r.pipeline_id: (r.names, r.total) for r in got.groupBy("pipeline_id").agg(
+        F.count_distinct("pipeline_name").alias("names"), F.sum("cost_usd").alias("total")).collect()}
+    spent = sum(r.dbu_cost for r in usage(spark).collect() if r.job_id in ("j1", "j2") and dt.date(2024, 1, 23) <= r.usage_start_time.date() <= dt.date(2024, 1, 30))
+    assert sum(total for _, total in by_pipeline.values()) == pytest.approx(spent)
+    assert {names for names, _ in by_pipeline.values()} == {1} and by_pipeline["p1"][1] == pytest.approx(by_pipeline["p4"][1])
+
+
+def test_cost_summary_upsert_is_idempotent(spark, rows):
+    summary = cost.cost_summary(costs(spark))
+    today = cost.cost_summary(costs(spark), "2024-01-30")
+    outdated = summary.filter("pipeline_id <> '2'").withColumn("dbus_7d", F.lit(0.0))
+    once = cost.upsert_cost_summary(outdated, today)
+    assert rows(once.filter("summary_date = '2024-01-30'")) == rows(today)
+    assert rows(cost.upsert_cost_summary(once, today)) == rows(once) and once.count() == summary.count()
+
+
 def test_runs_taken_as_they_are(spark):
     one = cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30").filter("pipeline_id = 'p1'").count()
     assert cost.cleaned_costs(usage(spark), runs(spark), "2024-01-30", reduce_runs=False).filter("pipeline_id = 'p1'").count() == 2 * one

@@ -41,9 +41,3 @@ def test_orphans_with_and_without_slash(spark, rows):
     tables = spark.createDataFrame([("a", "s3://b/a/"), ("view", None)], "tableName STRING, location STRING")
     assert rows(housekeeping.find_orphans(files, tables)) == [("s3://b/folder", 1, 0), ("s3://b/lost", 1, 7)]
     assert rows(housekeeping.table_locations(files, tables), "path_modified", "tableName") == [("s3://b/a", "a"), ("s3://b/folder", None), ("s3://b/lost", None)]
-
-
-def test_sample_numeric_repeats(spark):
-    sample = housekeeping.sample_numeric(spark, 100, 4, seed=9)
-    assert sample.columns == ["id", "col1", "col2", "col3", "col4"] and sample.collect() == housekeeping.sample_numeric(spark, 100, 4, seed=9).collect()
-    assert sample.filter("col1 < 0 OR col1 >= 1").count() == 0 and sample.filter("col2 < 0").count() > 0

@@ -1,4 +1,4 @@
-"""Both plans, one task per key and even chunks of a large key, give the same rows."""
+"""Buckets of a key, few or many, give the rows that brute force gives."""
 
 import random
 
@@ -28,10 +28,10 @@ def rolling_by_hand(data, first, last):
     return out
 
 
-@pytest.mark.parametrize("limit", [10**9, 10])
-def test_rolling_mean(spark, readings, limit):
+@pytest.mark.parametrize("slices", [1, 7, 500])
+def test_rolling_mean(spark, readings, slices):
     df = spark.createDataFrame(readings, SCHEMA).repartition(4)
-    got = ordered.rolling_mean(df, "k", ["day", "id"], "x", {"before": (-7, -1), "with": (-6, 0)}, group_rows=limit).collect()
+    got = ordered.rolling_mean(df, "k", ["day", "id"], "x", {"before": (-7, -1), "with": (-6, 0)}, slices=slices).collect()
     before, including = rolling_by_hand(readings, -7, -1), rolling_by_hand(readings, -6, 0)
     assert len(got) == len(readings)
     for row in got:
@@ -39,9 +39,9 @@ def test_rolling_mean(spark, readings, limit):
         assert row["with"] == pytest.approx(including[row["id"]])
 
 
-def test_rolling_mean_with_chunks_smaller_than_the_frame(spark, readings):
+def test_rolling_mean_with_buckets_smaller_than_the_frame(spark, readings):
     data = [r for r in readings if r[0] in ("hot", "a")][:40]
-    got = ordered.rolling_mean(spark.createDataFrame(data, SCHEMA), "k", ["day", "id"], "x", {"m": (-7, -1)}, group_rows=2).collect()
+    got = ordered.rolling_mean(spark.createDataFrame(data, SCHEMA), "k", ["day", "id"], "x", {"m": (-7, -1)}, slices=500).collect()
     want = rolling_by_hand(data, -7, -1)
     assert {r["id"]: r["m"] for r in got} == {i: m if m is None else pytest.approx(m) for i, m in want.items()}
 
@@ -51,18 +51,28 @@ def test_frames_may_only_look_back(spark):
         ordered.rolling_mean(spark.createDataFrame([], SCHEMA), "k", ["id"], "x", {"m": (-1, 1)})
 
 
-@pytest.mark.parametrize("limit", [10**9, 10])
-def test_next_at_or_after(spark, readings, limit):
+@pytest.mark.parametrize("width", [1, 5, 1000])
+def test_next_at_or_after(spark, readings, width):
     data = [(k, day, i, "end" if x > 40 else "go") for k, day, i, x in readings]
     df = spark.createDataFrame(data, "k STRING, day INT, id INT, s STRING").repartition(4)
-    got = ordered.next_at_or_after(df, "k", "day", {"next_end": F.col("s") == "end"}, group_rows=limit).collect()
+    got = ordered.next_at_or_after(df, "k", "day", {"next_end": F.col("s") == "end"}, F.floor(F.col("day") / width)).collect()
     assert len(got) == len(data)
     for row in got:
         ends = [d for k, d, _, s in data if k == row["k"] and s == "end" and d >= row["day"]]
         assert row["next_end"] == min(ends, default=None)
 
 
-def test_a_hot_key_is_spread_over_chunks(spark, readings):
-    chunks = ordered.range_chunks(spark.createDataFrame(readings, SCHEMA), "k", ["day", "id"], 8)
-    sizes = [r["count"] for r in chunks.filter("k = 'hot'").groupBy("_chunk").count().collect()]
-    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
+def test_building_starts_no_job(spark, readings):
+    tracker, df = spark.sparkContext.statusTracker(), spark.createDataFrame(readings, SCHEMA)
+    spark.sparkContext.setJobGroup("building", "")
+    ordered.rolling_mean(df, "k", ["day", "id"], "x", {"m": (-7, -1)})
+    ordered.next_at_or_after(df, "k", "day", {"n": F.col("x") > 40}, F.col("day"))
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_hot_key_is_spread_over_buckets(spark, readings):
+    df = spark.createDataFrame(readings, SCHEMA)
+    cut = df.withColumns(ordered.order_buckets(df, ["day", "id"]))
+    sizes = [r["count"] for r in cut.filter("k = 'hot'").groupBy("_bucket", "_slice").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 0.1 * sum(sizes)
