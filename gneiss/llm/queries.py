@@ -50,7 +50,7 @@ levels AS (
       / sum(b.weight) FILTER (b.cap / b.weight > a.cap / a.weight OR b.cap / b.weight = a.cap / a.weight AND b.rank >= a.rank) AS level
   FROM weighted a, weighted b GROUP BY a.source, a.rank, a.cap, a.weight),
 goals AS (
-  SELECT source, source_size, round(least(cap, (SELECT min(level) FROM levels JOIN weighted w ON levels.source IS NOT DISTINCT FROM w.source WHERE level * w.weight <= w.cap) * weight), 6) AS target
+  SELECT source, source_size, round(least(cap, (SELECT max(level) FROM levels JOIN weighted w ON levels.source IS NOT DISTINCT FROM w.source WHERE level * w.weight <= w.cap) * weight), 6) AS target
   FROM weighted),
 placed AS (
   SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS goal,
