@@ -10,6 +10,7 @@ every document is scored, over its whole text.
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gneiss.llm.linear import Logistic, labelled_sample, newton, sigmoid
+from gneiss.llm.linear import Logistic, labelled_sample, newton, sigmoid, trained
 
 PER_CLASS, POOL = 2500, 4000
 ROUNDS = 3
@@ -87,6 +88,14 @@ class Views:
     b: float = 0.0
     c: float = 0.0
 
+    def to_json(self) -> str:
+        return json.dumps([self.text.to_list(), self.metadata.to_list(), self.a, self.b, self.c])
+
+    @classmethod
+    def from_json(cls, text: str) -> "Views":
+        words, metadata, a, b, c = json.loads(text)
+        return cls(Logistic.from_list(words), Logistic.from_list(metadata), a, b, c)
+
     def predict(self, text: list[int], metadata: list[int]) -> tuple[float, float, float]:
         t, m = self.text.score(text), self.metadata.score(metadata)
         return float(sigmoid(t)), float(sigmoid(m)), float(sigmoid(self.a * t + self.b * m + self.c))
@@ -128,7 +137,7 @@ FEATURES = "doc_id long, label int, text_features array<long>, metadata_features
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> Views:
     """Co-train on the labelled sample and on the pool: the unlabelled rows with the least hashes.
 
-    The driver gets the feature numbers of these rows, whose number is bounded.
+    One task trains on these rows, whose number is bounded; the driver gets the weights.
     """
     sample = labelled_sample(labels, "quality", per_class)
 
@@ -143,14 +152,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool:
                 ["doc_id", "label", "text_features", "metadata_features"])
 
     columns = ["doc_id", "label", "text", "source", "lang", "n_chars"]
-    rows = docs.join(sample.withColumn("label", F.col("label").cast("int")), "doc_id").select(*columns)
-    got = rows.mapInArrow(run, FEATURES).dropDuplicates(["doc_id"]).collect()
-    labelled = [(r.text_features, r.metadata_features, r.label) for r in sorted(got, key=lambda r: xxhash.xxh64_intdigest(str(r.doc_id)))]
+    marked = sample.withColumn("label", F.col("label").cast("int"))
     # The pool's ids are picked before their texts are read.
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti")
     ids = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(-1))
-    free = docs.join(ids, "doc_id").select(*columns).mapInArrow(run, FEATURES).dropDuplicates(["doc_id"]).collect()
-    return co_train(labelled, [(r.text_features, r.metadata_features) for r in sorted(free, key=lambda r: r.doc_id)])
+    rows = docs.join(marked.union(ids), "doc_id").select(*columns).mapInArrow(run, FEATURES).dropDuplicates(["doc_id"])
+
+    def fit(table: pa.Table) -> str:
+        got = sorted(table.to_pylist(), key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
+        features = [(r["text_features"], r["metadata_features"], r["label"]) for r in got]
+        return co_train([r for r in features if r[2] >= 0], [r[:2] for r in features if r[2] < 0]).to_json()
+
+    return Views.from_json(trained(rows, fit))
 
 
 def score_quality(docs: DataFrame, views: Views, threshold: float = 0.5) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Features kept by a model: those that say most about the label.
@@ -85,12 +86,43 @@ class Logistic:
         w = newton(product, transposed, y, width, penalty)
         return cls(dict(zip(values[kept].tolist(), w[:n].tolist())), tuple(w[n:-1].tolist()), float(w[-1]))
 
+    def to_list(self) -> list:
+        return [[list(x) for x in self.weights.items()], list(self.dense), self.intercept]
+
+    @classmethod
+    def from_list(cls, row: list) -> "Logistic":
+        return cls({int(f): w for f, w in row[0]}, tuple(row[1]), row[2])
+
     def score(self, features, dense=()) -> float:
         """The log-odds of a row."""
         get = self.weights.get
         return self.intercept + sum(get(f, 0.0) for f in features) + sum(a * b for a, b in zip(self.dense, dense))
 
 
+def pruned(rows: list[np.ndarray], least: int = 3) -> list[np.ndarray]:
+    """The rows without features that fewer than ``least`` of them have; most words occur in one text only."""
+    if not rows:
+        return rows
+    lengths = np.array([len(r) for r in rows])
+    flat = np.concatenate(rows)
+    values, counts = np.unique(flat, return_counts=True)
+    often = values[counts >= least]
+    at = np.searchsorted(often, flat)
+    stays = at < len(often)
+    stays[stays] = often[at[stays]] == flat[stays]
+    return [flat[a:b][stays[a:b]] for a, b in zip(np.concatenate([[0], np.cumsum(lengths)[:-1]]), np.cumsum(lengths))]
+
+
+def trained(rows: DataFrame, fit) -> str:
+    """``fit(table)`` of the bounded ``rows`` in one task; the driver gets its result, a text."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table({"model": [fit(table.drop_columns(["one"]))]})
+
+    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(run, "model string").collect()
+    return found[0].model if found else fit(rows.limit(0).toArrow())
+
+
 def labelled_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """doc_id and label of at most ``per_class`` rows of either class, by the hash of the id.
 

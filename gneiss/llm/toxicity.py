@@ -11,6 +11,7 @@ labelled rows (``per_class`` of either class); every document is scored, over it
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gneiss.llm.linear import Logistic, labelled_sample, logit, sigmoid
+from gneiss.llm.linear import Logistic, labelled_sample, logit, pruned, sigmoid, trained
 
 PER_CLASS = 2500
 FOLDS = 5
@@ -70,6 +71,14 @@ class Chain:
             earlier = np.column_stack([earlier, out])
         return cls(names, models, best_threshold(out, y) if names and len(rows) else 0.5)
 
+    def to_json(self) -> str:
+        return json.dumps([self.names, [m.to_list() for m in self.models], self.threshold])
+
+    @classmethod
+    def from_json(cls, text: str) -> "Chain":
+        names, models, threshold = json.loads(text)
+        return cls(names, [Logistic.from_list(m) for m in models], threshold)
+
     def predict(self, features) -> list[float]:
         """The probability of each category, in order."""
         out: list[float] = []
@@ -91,7 +100,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Chain:
     """A chain on the labelled sample: toxic prose, toxic junk (of low quality), toxic.
 
-    The driver gets the feature numbers of the sample, whose rows are bounded by ``per_class``.
+    One task trains on the sample, whose rows are bounded by ``per_class``; the driver gets the weights.
     """
     sample = labelled_sample(labels, "toxic", per_class).withColumnRenamed("label", "toxic")
     quality = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -106,11 +115,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Cha
 
     texts = docs.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "toxic", "quality", "text")
     rows = texts.mapInArrow(run, "doc_id long, toxic int, quality int, features array<long>").dropDuplicates(["doc_id"])
-    got = sorted(rows.collect(), key=lambda r: xxhash.xxh64_intdigest(str(r.doc_id)))
-    toxic = np.array([r.toxic for r in got], int)
-    junk = np.array([r.quality == 0 for r in got], bool)
-    targets = {"toxic_prose": toxic * ~junk, "toxic_junk": toxic * junk, "toxic": toxic}
-    return Chain.fit([np.array(r.features, np.int64) for r in got], targets)
+
+    def fit(table: pa.Table) -> str:
+        order = sorted(range(len(table)), key=lambda i: xxhash.xxh64_intdigest(str(table.column("doc_id")[i].as_py())))
+        table = table.take(pa.array(order, pa.int64()))
+        toxic = table.column("toxic").to_numpy().astype(int)
+        junk = np.array([q == 0 for q in table.column("quality").to_pylist()], bool)
+        found = [f.values.to_numpy() for f in table.column("features")]
+        return Chain.fit(pruned(found), {"toxic_prose": toxic * ~junk, "toxic_junk": toxic * junk, "toxic": toxic}).to_json()
+
+    return Chain.from_json(trained(rows, fit))
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
