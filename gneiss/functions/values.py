@@ -10,7 +10,7 @@ def day(as_of) -> Column:
     """``as_of`` as a DATE column; the clock is used only when nothing is given."""
     if as_of is None:
         return F.current_date()
-    return as_of.cast("date") if isinstance(as_of, Column) else F.lit(str(as_of)[:10]).cast("date")
+    return as_of.cast("date") if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp").cast("date")
 
 
 def moment(as_of) -> Column:

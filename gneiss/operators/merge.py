@@ -95,17 +95,18 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k] == right[f"_source_{k}"] for k in names])
 
 
-def incremental_filter(
-    source: DataFrame, target: DataFrame | None, source_column: str, target_column: str | None = None, cutoff=None
-) -> DataFrame:
-    """Source rows not older than the target's high-water mark, or than ``cutoff`` if given.
+def incremental_filter(source: DataFrame, source_column: str, mark=None, cutoff=None) -> DataFrame:
+    """Source rows not older than the high-water mark, or than ``cutoff`` if given.
 
-    An empty target has no mark and takes the whole source. The mark is one value, read
-    first, so the comparison is a literal that reaches the source scan.
+    Without either the whole source is taken. Both are literals of the column's type, so the
+    comparison reaches the source scan.
     """
-    if cutoff not in (None, ""):
-        return source.filter(F.col(source_column) >= F.lit(cutoff).cast(source.schema[source_column].dataType))
-    if target is None:
+    since = mark if cutoff in (None, "") else cutoff
+    if since is None:
         return source
-    mark = target.agg(F.max(target_column or source_column)).first()[0]
-    return source if mark is None else source.filter(F.col(source_column) >= F.lit(mark))
+    return source.filter(F.col(source_column) >= F.lit(since).cast(source.schema[source_column].dataType))
+
+
+def high_water_mark(target: DataFrame | None, column: str):
+    """The greatest value of a column, for targets that keep no mark; None while it is empty."""
+    return None if target is None else target.agg(F.max(column)).first()[0]

@@ -81,17 +81,17 @@ def test_merge_against_dictionaries(spark, rows, old, new):
 
 def test_incremental_filter(spark, rows):
     source = frame(spark, [(1, 1, "a"), (2, 5, "b"), (3, 6, "c")])
-    target = frame(spark, [(9, 5, "z")])
-    assert rows(merge.incremental_filter(source, target, "ts"), "k") == [(2,), (3,)]
-    assert merge.incremental_filter(source, frame(spark, []), "ts").count() == 3
-    assert merge.incremental_filter(source, None, "ts").count() == 3
-    assert rows(merge.incremental_filter(source, target, "ts", cutoff="6"), "k") == [(3,)]
+    mark = merge.high_water_mark(frame(spark, [(9, 5, "z")]), "ts")
+    assert rows(merge.incremental_filter(source, "ts", mark), "k") == [(2,), (3,)]
+    assert merge.incremental_filter(source, "ts", merge.high_water_mark(frame(spark, []), "ts")).count() == 3
+    assert merge.incremental_filter(source, "ts", merge.high_water_mark(None, "ts")).count() == 3
+    assert rows(merge.incremental_filter(source, "ts", mark, cutoff="6"), "k") == [(3,)]
 
 
 def test_high_water_mark_reaches_the_scan(spark, plan, tmp_path):
     frame(spark, [(1, 1, "a"), (2, 5, "b")]).write.parquet(str(tmp_path / "s"))
     stored = spark.read.parquet(str(tmp_path / "s"))
-    text = plan(merge.incremental_filter(stored, frame(spark, [(9, 5, "z")]), "ts").select("k", "ts"))
+    text = plan(merge.incremental_filter(stored, "ts", "5").select("k", "ts"))
     assert "GreaterThanOrEqual(ts,5)" in text and "ReadSchema: struct<k:int,ts:int>" in text
 
 

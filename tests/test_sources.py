@@ -70,6 +70,42 @@ def test_ingest_incremental_replay_and_full(spark, rows, tmp_path):
     assert rows(ingest.ingest(spark, table_config(tmp_path, cluster_by=["auto"]), False)) == [(5, 1, "x"), (6, 7, "y")]
 
 
+def test_ingest_keeps_columns_the_source_has_lost(spark, rows, tmp_path):
+    cfg, src = table_config(tmp_path), str(tmp_path / "src")
+    put(spark, tmp_path, [(1, 1, "a"), (2, 2, "b")])
+    ingest.ingest(spark, cfg)
+    spark.createDataFrame([(2, 3), (3, 4)], "k INT, ts INT").write.mode("overwrite").parquet(src)
+    assert rows(ingest.ingest(spark, cfg), "k", "ts", "v") == [(1, 1, "a"), (2, 3, "b"), (3, 4, None)]
+    spark.createDataFrame([(4, 5, 1.5)], "k INT, ts INT, w DOUBLE").write.mode("overwrite").parquet(src)
+    want = [(1, 1, "a", None), (2, 3, "b", None), (3, 4, None, None), (4, 5, None, 1.5)]
+    assert rows(ingest.ingest(spark, cfg), "k", "ts", "v", "w") == want
+    tables.fold_changes(spark, cfg.target, ["k"])
+    assert rows(ingest.target_rows(spark, cfg), "k", "ts", "v", "w") == want
+
+
+def test_an_interrupted_batch_is_loaded_again(spark, rows, tmp_path):
+    cfg = table_config(tmp_path)
+    put(spark, tmp_path, [(k, k, "a") for k in range(10)])
+    # A load that stopped while its files were published: some rows, the newest among them, and no commit.
+    spark.createDataFrame([(0, 0, "a"), (9, 9, "a")], "k INT, ts INT, v STRING").write.parquet(f"{cfg.target}/changes/batch_id=0")
+    assert tables.last_batch(spark, cfg.target) == -1 and tables.high_water_mark(spark, cfg.target) is None
+    assert len(rows(ingest.ingest(spark, cfg))) == 10
+
+
+def test_the_mark_is_kept_with_the_commits(spark, rows, tmp_path):
+    cfg = table_config(tmp_path)
+    for data, mark in (([(1, 1, "a"), (2, 7, "b")], "7"), ([(3, 9, "c")], "9"), ([(4, 3, "late")], "9")):
+        put(spark, tmp_path, data)
+        ingest.ingest(spark, cfg)
+        assert tables.high_water_mark(spark, cfg.target) == mark
+    tables.fold_changes(spark, cfg.target, ["k"])
+    assert tables.high_water_mark(spark, cfg.target) == "9"
+    # Folded batches are not read again: the folder of one may go.
+    import shutil
+    shutil.rmtree(f"{cfg.target}/changes")
+    assert rows(ingest.target_rows(spark, cfg)) == [(1, 1, "a"), (2, 7, "b"), (3, 9, "c")]
+
+
 def test_ingest_transforms_and_rejects_duplicates(spark, rows, tmp_path):
     put(spark, tmp_path, [(1, 1, "a")])
     assert rows(ingest.ingest(spark, table_config(tmp_path), transform=lambda df: df.withColumn("v", F.upper("v")))) == [(1, 1, "A")]
@@ -127,8 +163,10 @@ def test_schema_grows_and_is_kept(spark, tmp_path):
 def test_files_and_layout(spark, rows, tmp_path):
     small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
     spark.range(100).repartition(10).write.parquet(small)
-    tables.compact(spark, small, packed, files=2)
-    assert readers.list_files(spark, packed, "*.parquet").count() == 2
+    size = tables.stored_bytes(spark, small)
+    tables.compact(spark, small, packed, ["id"], size // 2 + 1)
+    assert readers.list_files(spark, packed, "*.parquet").count() == 2 and spark.read.parquet(packed).count() == 100
+    assert (tables.file_count(0), tables.file_count(10, 10), tables.file_count(11, 10)) == (1, 1, 2)
     tables.write_clustered(spark.range(100), packed, ["auto"], ["id"], files=3)
     spans = readers.with_file_metadata(spark.read.parquet(packed)).groupBy("file_name").agg(F.min("id").alias("a"), F.max("id").alias("b"))
     edges = sorted((r["a"], r["b"]) for r in spans.collect())

@@ -65,13 +65,13 @@ def merge_columns(t):
 @query(loads_sql() + " SELECT * FROM two WHERE audit_update_ts >= (SELECT max(audit_update_ts) FROM one)")
 def incremental_filter(t):
     rows = silver.silver_forecasts(t.second_load(), processed_at=PROCESSED)
-    return merge.incremental_filter(rows, t.first_load(), "audit_update_ts")
+    return merge.incremental_filter(rows, "audit_update_ts", merge.high_water_mark(t.first_load(), "audit_update_ts"))
 
 
 @query(loads_sql() + " SELECT * FROM two WHERE audit_update_ts >= TIMESTAMP '2024-01-20'")
 def replay_filter(t):
     rows = silver.silver_forecasts(t.second_load(), processed_at=PROCESSED)
-    return merge.incremental_filter(rows, t.first_load(), "audit_update_ts", cutoff="2024-01-20")
+    return merge.incremental_filter(rows, "audit_update_ts", cutoff="2024-01-20")
 
 
 CUSTOMERS = """WITH src AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-01' + c_custkey * INTERVAL 1 MINUTE AS changed_at FROM customer)"""
@@ -88,9 +88,10 @@ def customer_source(t, stale: bool):
     return older.withColumns({"c_acctbal": F.lit(0.0), "changed_at": F.lit("2023-12-31").cast("timestamp")})
 
 
-@query(CUSTOMERS + " SELECT * FROM src")
+@query(CUSTOMERS + """ SELECT * REPLACE (CASE WHEN c_custkey % 10 = 0 THEN changed_at + INTERVAL 60 DAY ELSE changed_at END AS changed_at,
+    CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal) FROM src""")
 def ingest_customer(t):
-    """A stale full load, then an incremental one from the same configuration."""
+    """A stale full load, an incremental one, and one whose source has lost a column, from one configuration."""
     root = scratch_path(t.spark, "ingest")
     config = {
         "source_incremental_column": "changed_at", "target": f"{root}/target", "target_merge_columns": ["c_custkey"],
@@ -98,8 +99,23 @@ def ingest_customer(t):
     }
     for name, stale, incremental in (("old", True, "false"), ("new", False, "true")):
         customer_source(t, stale).write.parquet(f"{root}/{name}")
-        loaded = ingest.ingest(t.spark, TableConfig.from_dict({"source_table": f"{root}/{name}", **config}), incremental)
-    return loaded
+        ingest.ingest(t.spark, TableConfig.from_dict({"source_table": f"{root}/{name}", **config}), incremental)
+    # The last source changes every tenth customer and no longer has the market segment.
+    later = customer_source(t, False).filter("c_custkey % 10 = 0").drop("c_mktsegment").withColumns({
+        "c_acctbal": F.col("c_acctbal") + 1, "changed_at": F.col("changed_at") + F.expr("INTERVAL 60 DAYS")})
+    later.write.parquet(f"{root}/lost")
+    return ingest.ingest(t.spark, TableConfig.from_dict({"source_table": f"{root}/lost", **config}), True)
+
+
+@query(CUSTOMERS + " SELECT * FROM src WHERE changed_at >= TIMESTAMP '2024-01-01 12:00:00'")
+def ingest_staged(t):
+    """An incremental load after a cutoff, staged before it is merged."""
+    root = scratch_path(t.spark, "staged")
+    customer_source(t, False).write.parquet(f"{root}/source")
+    loaded = TableConfig.from_dict({
+        "source_table": f"{root}/source", "source_incremental_column": "changed_at", "target": f"{root}/target",
+        "target_merge_columns": ["c_custkey"], "target_incremental_column": "changed_at"})
+    return ingest.ingest(t.spark, loaded, True, cutoff="2024-01-01 12:00:00", stage_path=f"{root}/stage")
 
 
 @query("WITH " + SNAPSHOTS + """, o AS (SELECT * EXCLUDE (version) FROM snapshots WHERE version = 2), n AS (SELECT * EXCLUDE (version) FROM snapshots WHERE version = 3),
@@ -167,10 +183,10 @@ def check_foreign_key(t):
 
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def compact(t):
-    """Many small files rewritten as a few clustered ones; the rows stay the same."""
-    root = scratch_path(t.spark, "compact")
-    t.table("orders").repartition(16).write.parquet(f"{root}/small")
-    tables.compact(t.spark, f"{root}/small", f"{root}/packed", ["o_orderdate", "o_orderkey"], 2)
+    """Many small files rewritten as clustered ones of the wished size; the rows stay the same."""
+    root, size = scratch_path(t.spark, "compact"), tables.stored_bytes(t.spark, f"{t.sf_dir}/orders.parquet")
+    t.table("orders").repartition(tables.file_count(size, tables.FILE_BYTES // 16), "o_orderkey").write.parquet(f"{root}/small")
+    tables.compact(t.spark, f"{root}/small", f"{root}/packed", ["o_orderdate", "o_orderkey"])
     return t.spark.read.parquet(f"{root}/packed")
 
 
@@ -186,7 +202,8 @@ def clustered_layout(t):
 def zordered_layout(t):
     """The order book along a Z curve over date and price."""
     path = scratch_path(t.spark, "zordered")
-    tables.zordered(t.table("orders"), "o_orderdate", "o_totalprice", 8).write.parquet(path)
+    files = tables.file_count(tables.stored_bytes(t.spark, f"{t.sf_dir}/orders.parquet"))
+    tables.zordered(t.table("orders"), "o_orderdate", "o_totalprice", files).write.parquet(path)
     return t.spark.read.parquet(path)
 
 

@@ -19,8 +19,8 @@ PROCESSED = "2024-02-01 00:00:00"
 class Shapes:
     """Shapes over one folder of test tables."""
 
-    # Folders of shapes that were written out beforehand, by name.
-    stored: dict[str, str] = {}
+    # Folders of shapes that were written out beforehand, by the folder of the tables and name.
+    stored: dict[tuple[str, str], str] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -30,10 +30,10 @@ class Shapes:
         for name in names:
             path = f"{folder}/{name}"
             getattr(self, name)().write.parquet(path)
-            Shapes.stored[name] = path
+            Shapes.stored[self.sf_dir, name] = path
 
     def _stored(self, name: str) -> DataFrame | None:
-        path = Shapes.stored.get(name)
+        path = Shapes.stored.get((self.sf_dir, name))
         return self.spark.read.parquet(path) if path else None
 
     def table(self, name: str) -> DataFrame:
