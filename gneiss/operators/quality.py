@@ -13,15 +13,18 @@ def _holds(predicate) -> Column:
     return F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
 
 
-def expect(df: DataFrame, rules: dict, action: str = "warn") -> DataFrame:
-    """``warn`` keeps every row; ``drop`` keeps the rows that satisfy every rule.
+def expect(df: DataFrame, rules: dict, action: str = "warn", name="expectations") -> DataFrame:
+    """``warn`` keeps every row; ``drop`` keeps the rows that satisfy every rule. Both count violations.
 
-    Works on streams. Counts of violations come from ``expectation_metrics`` on a batch
-    and from ``observe_expectations`` on a stream.
+    Works on streams. The counts are observed under ``name``: a batch reads them from an
+    ``Observation`` given as the name, a stream from its progress (``progress.observed_counts``).
     """
     if action not in ("warn", "drop"):
         raise ValueError(f"unknown action: {action!r}")
-    if action == "warn" or not rules:
+    if not rules:
+        return df
+    df = observe_expectations(df, rules, name)
+    if action == "warn":
         return df
     return df.filter(reduce(lambda a, b: a & b, [_holds(p) for p in rules.values()]))
 

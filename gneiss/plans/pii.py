@@ -39,12 +39,12 @@ def pii_type_distribution(tagged: DataFrame) -> DataFrame:
 def pii_violations(tagged: DataFrame, privileges: DataFrame, distinct_grants: bool = True) -> DataFrame:
     """Personal columns of tables that everyone may read.
 
-    Grants are reduced to the public ones, by default one per table; with
-    ``distinct_grants=False`` each public grant of a table counts.
+    Grants are reduced to one row per table first. With ``distinct_grants=False`` a violation
+    also tells the number of public grants of its table, ``public_grants``. ``tagged`` may be a stream.
     """
-    public = privileges.filter(F.lower("grantee") == "public").select(*TABLE)
-    public = public.distinct() if distinct_grants else public
-    return _pii(tagged).join(public, TABLE).select(*COLUMN, F.lit("Public access to PII").alias("violation_type"))
+    public = privileges.filter(F.lower("grantee") == "public").groupBy(*TABLE).agg(F.count("*").alias("public_grants"))
+    found = _pii(tagged).join(public, TABLE).select(*COLUMN, F.lit("Public access to PII").alias("violation_type"), "public_grants")
+    return found.drop("public_grants") if distinct_grants else found
 
 
 def pii_kpis(tagged: DataFrame, violations: DataFrame) -> DataFrame:

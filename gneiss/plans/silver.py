@@ -97,15 +97,17 @@ def alerts(df: DataFrame, low: int = 20, high: int = 95, precip: int = 80, as_of
 
 
 def names_rows(df: DataFrame, as_of=None) -> DataFrame:
-    """Name counts from CSV rows: typed count, source file and load time.
+    """Name counts from CSV rows: typed count, further columns, source file and load time.
 
-    ``df`` comes straight from a file source, whose hidden metadata names the file.
+    ``df`` comes straight from a file source, whose hidden metadata names the file, or has a
+    ``file_name`` of its own.
     """
-    file_name = F.col("_metadata.file_name").alias("file_name")
-    renamed = [F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in df.columns]
-    rows = df.select(*renamed, file_name)
-    count = F.col("count").try_cast("int").alias("count")
-    return with_audit(rows.select("year", "first_name", "county", "sex", count, "file_name"), as_of)
+    file_name = F.col("file_name" if "file_name" in df.columns else "_metadata.file_name").alias("file_name")
+    names = {c: c.lower().replace(" ", "_") for c in df.columns if c != "file_name"}
+    rows = df.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()], file_name)
+    fixed = ["year", "first_name", "county", "sex"]
+    more = [n for n in names.values() if n not in [*fixed, "count"]]
+    return with_audit(rows.select(*fixed, F.col("count").try_cast("int").alias("count"), *more, "file_name"), as_of)
 
 
 def manual_names(df: DataFrame, first_name: str, sex: str, as_of=None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,44 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     )
 
 
+def csv_headers(spark: SparkSession, paths, **options) -> DataFrame:
+    """The first line of every CSV file: (file_path, header). Files without a line are left out.
+
+    A file's rows come in order within a split, and the split at offset 0 has the first one.
+    """
+    lines = spark.read.options(**options).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("offset"),
+        F.monotonically_increasing_id().alias("at"))
+    return lines.filter("offset = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+
+
+def _csv_groups(spark: SparkSession, paths, limits: dict, options: dict) -> list[DataFrame]:
+    """A frame for all files of the same header, named by it; the driver holds the file names."""
+    groups = csv_headers(spark, paths, **limits).groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    return [spark.read.options(**{**options, "header": "true"}).csv(r["files"]) for r in groups.orderBy("header").collect()]
+
+
+def read_csv_by_header(spark: SparkSession, paths, schema: T.StructType, **options) -> DataFrame:
+    """CSV files whose columns may differ in number and order, each read by its own header.
+
+    Columns of the schema that a file lacks are NULL, values that don't fit their type too; a
+    file's other columns are left out. The file's name is in ``file_name``.
+    """
+    parts = []
+    for part in _csv_groups(spark, paths, {}, {**options, "inferSchema": "false"}):
+        columns = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in part.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
+        parts.append(part.select(*columns, F.col("_metadata.file_name").alias("file_name")))
+    empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
+def stream_file_names(spark: SparkSession, path: str, glob: str | None = None, max_files: int | None = None) -> DataFrame:
+    """The paths of new files as a stream; their contents are not read."""
+    limits = {"pathGlobFilter": glob, "maxFilesPerTrigger": max_files}
+    reader = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY").options(**{k: str(v) for k, v in limits.items() if v is not None})
+    return reader.load(path).select("path")
+
+
 SCHEMAS = "stored_at TIMESTAMP, schema STRING"
 
 
@@ -89,21 +128,22 @@ def resolve_schema(
     Known columns keep their stored type. A stream started with the result picks new
     columns up at its next start. Only files changed since the last look are inferred
     from, with some overlap for clocks that differ, so the cost follows what is new. CSV
-    takes its names from the header of one of them, as Spark does.
+    takes its names from the headers of all of them; read such files with ``read_csv_by_header``.
     """
     last = _last_schema(spark, schema_location, overlap)
-    reader = spark.read.format(fmt).options(**options)
-    if last:
-        reader = reader.option("modifiedAfter", last["since"])
+    limits = {"modifiedAfter": last["since"]} if last else {}
     try:
-        seen = reader.load(path).schema.fields
+        if fmt == "csv" and str(options.get("header")).lower() == "true":
+            found = [part.schema for part in _csv_groups(spark, path, limits, options)]
+        else:
+            found = [spark.read.format(fmt).options(**options, **limits).load(path).schema]
+        seen = [f for schema in found for f in schema.fields]
     except AnalysisException as error:
         if not last or error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise
         seen = []
     stored = T.StructType.fromJson(json.loads(last["schema"])).fields if last else []
-    known = {f.name for f in stored}
-    merged = T.StructType([*stored, *[f for f in seen if f.name not in known]])
+    merged = T.StructType(list({f.name: f for f in [*reversed(seen), *reversed(stored)]}.values())[::-1])
     row = spark.range(1).select(F.current_timestamp().alias("stored_at"), F.lit(merged.json()).alias("schema"))
     row.coalesce(1).write.mode("append").json(schema_location)
     return merged

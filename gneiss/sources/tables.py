@@ -211,6 +211,13 @@ def read_merged(spark: SparkSession, path: str, keys, schema=None, sequence_by:
     return merged.filter(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
 
 
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the committed batches after the current version, with all columns the table ever had."""
+    known, batches = table_schema(spark, path), _batches(spark, path, _folded(current_commit(spark, path)))
+    folders = [f"{path}/changes/batch_id={number}" for number, _ in batches]
+    return spark.read.schema(known).parquet(*folders) if folders else spark.createDataFrame([], known)
+
+
 def _stored(schema) -> T.StructType:
     fields = [f for f in schema.fields if f.name != "_deleted"]
     return T.StructType([*fields, T.StructField("_deleted", T.BooleanType())])

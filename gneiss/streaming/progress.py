@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 # The part of Spark's progress document that the report reads.
 PROGRESS_SCHEMA = (
@@ -14,19 +17,44 @@ PROGRESS_SCHEMA = (
 )
 
 
-def recent_progress(query: StreamingQuery) -> DataFrame:
-    """The progress documents a query still holds (Spark keeps a fixed number) as rows."""
-    spark = SparkSession.active()
-    documents = [(p.json if hasattr(p, "json") else str(p),) for p in query.recentProgress]
-    return spark.createDataFrame(documents, "document STRING")
-
-
-def save_progress(query: StreamingQuery, path: str) -> None:
-    """Append the documents a query holds to a folder, one per line, for later reports.
+class ProgressLog(StreamingQueryListener):
+    """Appends the progress document of every micro-batch to a folder, one per line.
 
+    Spark itself keeps the last few documents only. Register it with ``spark.streams.addListener``
+    before a query starts, and ``flush`` after it ended, as documents arrive a little later.
     Read them back with ``spark.read.text(path)``; the column is called ``value``.
     """
-    recent_progress(query).coalesce(1).write.mode("append").text(path)
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.ended = spark, path, set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        document = self.spark.createDataFrame([(event.progress.json,)], "document STRING")
+        document.coalesce(1).write.mode("append").text(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def flush(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Wait until the documents of an ended query are stored."""
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no end of query {query.runId} was reported")
+            time.sleep(0.05)
+
+
+def observed_counts(documents: DataFrame, name: str, column: str = "document") -> DataFrame:
+    """The counts observed under a name, summed over all micro-batches: (metric, total)."""
+    kept = F.from_json(column, "observedMetrics MAP<STRING, MAP<STRING, BIGINT>>")["observedMetrics"][name]
+    each = documents.select(F.explode_outer(kept).alias("metric", "n")).filter("metric IS NOT NULL")
+    return each.groupBy("metric").agg(F.sum("n").alias("total"))
 
 
 def progress_table(documents: DataFrame, column: str = "document") -> DataFrame:

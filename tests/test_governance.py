@@ -23,7 +23,7 @@ def test_tags_and_types(spark, rows):
 def test_violations_count_a_table_once(spark, rows):
     access = grants(spark, ("t1", "PUBLIC"), ("t1", "public"), ("t2", "analysts"))
     found = pii.pii_violations(tagged(spark), access)
-    assert found.count() == 3 and pii.pii_violations(tagged(spark), access, distinct_grants=False).count() == 6
+    assert found.count() == 3 and {r.public_grants for r in pii.pii_violations(tagged(spark), access, distinct_grants=False).collect()} == {2}
     assert rows(pii.pii_kpis(tagged(spark), found)) == [(2, 2, 5, 1, 3)]
     assert rows(pii.schema_compliance(tagged(spark), found)) == [("s", 5, 3, 40.0)]
     assert rows(pii.top_violating_tables(found)) == [("t1", 3)]

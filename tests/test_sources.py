@@ -160,6 +160,20 @@ def test_schema_grows_and_is_kept(spark, tmp_path):
         readers.resolve_schema(spark, str(tmp_path / "none"), "csv", str(tmp_path / "other"))
 
 
+def test_csv_files_are_read_by_their_own_headers(spark, rows, tmp_path):
+    data, kept = tmp_path / "d", str(tmp_path / "s")
+    data.mkdir()
+    (data / "1.csv").write_text("a,b\n1,x\n")
+    (data / "2.csv").write_text("a,c,b\n2,77,y\n")
+    (data / "3.csv").write_text("b,d\nz,1.5\n")
+    (data / "4.csv").write_text("")
+    schema = readers.resolve_schema(spark, str(data), "csv", kept, header="true", inferSchema="true")
+    assert {f.name: f.dataType.simpleString() for f in schema} == {"a": "int", "b": "string", "c": "int", "d": "double"}
+    got = readers.read_csv_by_header(spark, str(data), schema)
+    assert rows(got, "a", "b", "c", "d", "file_name") == [
+        (1, "x", None, None, "1.csv"), (2, "y", 77, None, "2.csv"), (None, "z", None, 1.5, "3.csv")]
+
+
 def test_files_and_layout(spark, rows, tmp_path):
     small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
     spark.range(100).repartition(10).write.parquet(small)

@@ -63,13 +63,16 @@ def test_scd1_stream_equals_batch_with_deletes_and_late_rows(spark, rows, tmp_pa
 def test_rate_limits_make_batches(spark, tmp_path, land):
     for i in range(3):
         land([(i, i, "x", None)])
-    query = runner.run_stream_append(stream(spark, tmp_path, max_files=1), str(tmp_path / "out"), str(tmp_path / "c"), name="limited")
-    assert runner.wait(query)
-    report = progress.progress_table(progress.recent_progress(query)).filter("input_rows > 0").collect()
+    log = progress.ProgressLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        query = runner.run_stream_append(stream(spark, tmp_path, max_files=1), str(tmp_path / "out"), str(tmp_path / "c"), name="limited")
+        assert runner.wait(query)
+        log.flush(query)
+    finally:
+        spark.streams.removeListener(log)
+    report = progress.progress_table(spark.read.text(str(tmp_path / "log")), "value").filter("input_rows > 0").collect()
     assert [(r.query_name, r.input_rows) for r in report] == [("limited", 1)] * 3 and all(r.late_rows == 0 for r in report)
-    progress.save_progress(query, str(tmp_path / "log"))
-    saved = progress.progress_table(spark.read.text(str(tmp_path / "log")), "value")
-    assert saved.filter("input_rows > 0").count() == 3
     assert runner.find_active(spark, "limited") is None and not runner.stop_active(spark, "limited")
     with pytest.raises(ValueError):
         stream(spark, tmp_path, max_files=1, max_bytes="2mb")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gneiss.operators import shape
-from gneiss.sources.readers import list_files
 from workload.registry import query
 from workload.shapes import PROCESSED
 from workload.sql_shapes import ZIPS
@@ -70,9 +69,3 @@ def nested_to_variant(t):
 def conform(t):
     schema = T.StructType([T.StructField("c_custkey", T.IntegerType()), T.StructField("c_acctbal", T.DecimalType(12, 2))])
     return shape.conform(t.table("customer"), schema)
-
-
-@query()
-def list_data_files(t):
-    """Files of the test tables with their sizes."""
-    return list_files(t.spark, t.sf_dir, "*.parquet").select("name", "size")

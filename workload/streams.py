@@ -5,18 +5,18 @@ Their SQL counterparts are those of the batch plans: a stream must end where a b
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.operators import changes, quality
 from gneiss.plans import pii, silver
 from gneiss.session import scratch_path
 from gneiss.sources import tables
-from gneiss.sources.readers import resolve_schema, stream_files
+from gneiss.sources.readers import read_csv_by_header, resolve_schema, stream_file_names, stream_files
 from gneiss.streaming import merge, progress, runner, windows
 from workload.cdc import KEY, LATEST, order_feed
+from workload.governance import TYPES
 from workload.registry import query
 from workload.shapes import PROCESSED, forecast_rows
 from workload.sql_shapes import FORECASTS, PII, SNAPSHOTS
@@ -72,7 +72,7 @@ def stream_expect(t):
 
     def checked(rows):
         flat = silver.silver_forecasts(rows, end_offset="own", processed_at=PROCESSED)
-        return quality.expect(quality.observe_expectations(flat, silver.SILVER_RULES), silver.SILVER_RULES, "drop")
+        return quality.expect(flat, silver.SILVER_RULES, "drop")
 
     by_week(t, root, lambda rows: runner.append_flow(rows, checked, f"{root}/out", f"{root}/checkpoint"))
     return t.spark.read.parquet(f"{root}/out")
@@ -105,12 +105,15 @@ def stream_scd1(t):
     return merged.drop(*changes.CHANGE_COLUMNS)
 
 
-@query(with_forecasts() + r""", timed AS (SELECT *, CAST(regexp_replace(startTime, '[+-]\d{2}:\d{2}$', '') AS TIMESTAMP) AS start_ts FROM forecasts),
+CLOSED_WINDOWS = with_forecasts() + r""", timed AS (SELECT *, CAST(regexp_replace(startTime, '[+-]\d{2}:\d{2}$', '') AS TIMESTAMP) AS start_ts FROM forecasts),
   slid AS (SELECT *, time_bucket(INTERVAL 30 MINUTE, start_ts) - o * INTERVAL 30 MINUTE AS window_start FROM timed, (VALUES (0), (1)) x(o))
   SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, post_code, avg(temperature) AS avg_temp, max(temperature) AS max_temp,
          min(temperature) AS min_temp, avg(pop) AS avg_precipitation, count(*) AS forecast_count
   FROM slid GROUP BY window_start, post_code
-  HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(start_ts) FROM timed) - INTERVAL 2 HOUR""")
+  HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(start_ts) FROM timed) - INTERVAL 2 HOUR"""
+
+
+@query(CLOSED_WINDOWS)
 def stream_window_stats(t):
     """Windows that the watermark has closed when the stream ends."""
     root = scratch_path(t.spark, "stream-windows")
@@ -130,60 +133,142 @@ def window_stats(t):
     return windows.weather_window_stats(windows.with_start_ts(t.forecasts()))
 
 
+def pii_stream(t, root):
+    """The column metadata as a stream, in batches of the keys' ranges."""
+    columns = t.columns_metadata()
+    columns.repartition("schema_name").write.parquet(f"{root}/columns")
+    return pii.tag_pii(stream_files(t.spark, f"{root}/columns", "parquet", columns.schema, max_files=2))
+
+
+def complete(t, counts, root):
+    """Counts in complete mode; every micro-batch replaces the result."""
+    runner.wait(runner.run_stream_batches(
+        counts, lambda batch, _: tables.materialize(batch, f"{root}/out"), f"{root}/checkpoint", mode="complete"))
+    return t.spark.read.parquet(f"{root}/out")
+
+
 @query("WITH " + PII + " SELECT schema_name, count(*) AS pii_column_count FROM tagged WHERE is_pii = 'Yes' GROUP BY schema_name")
 def stream_pii_by_schema(t):
-    """Running counts in complete mode; every micro-batch replaces the result."""
     root = scratch_path(t.spark, "stream-pii")
-    columns = t.columns_metadata()
-    columns.repartition(4).write.parquet(f"{root}/columns")
-    stream = stream_files(t.spark, f"{root}/columns", "parquet", columns.schema, max_files=2)
-    counts = pii.pii_by_schema(pii.tag_pii(stream))
+    return complete(t, pii.pii_by_schema(pii_stream(t, root)), root)
+
+
+@query("WITH " + PII + TYPES + " SELECT pii_type, count(*) AS column_count FROM typed GROUP BY pii_type")
+def stream_pii_types(t):
+    """Counts in update mode: a batch holds the groups that changed, and the last state of each counts."""
+    root = scratch_path(t.spark, "stream-types")
+    counts = pii.pii_type_distribution(pii_stream(t, root))
     runner.wait(runner.run_stream_batches(
-        counts, lambda batch, _: tables.materialize(batch, f"{root}/out"), f"{root}/checkpoint", mode="complete"
-    ))
+        counts, lambda batch, number: tables.write_changes(batch, f"{root}/table", number), f"{root}/checkpoint", mode="update"))
+    return tables.read_merged(t.spark, f"{root}/table", ["pii_type"])
+
+
+@query("WITH " + PII + " SELECT * FROM pii_hits")
+def stream_pii_violations(t):
+    """Tagged columns as a stream, joined with the grants as they stand."""
+    root = scratch_path(t.spark, "stream-hits")
+    found = pii.pii_violations(pii_stream(t, root), t.privileges())
+    runner.wait(runner.run_stream_append(found, f"{root}/out", f"{root}/checkpoint"))
+    return t.spark.read.parquet(f"{root}/out")
+
+
+@query("WITH " + PII + " SELECT violation_type, count(*) AS total FROM pii_hits GROUP BY ALL")
+def stream_violation_types(t):
+    root = scratch_path(t.spark, "stream-violations")
+    return complete(t, pii.violation_types(pii.pii_violations(pii_stream(t, root), t.privileges())), root)
+
+
+@query(CLOSED_WINDOWS)
+def stream_late_rows(t):
+    """Rows that come again after the watermark has passed them change nothing."""
+    root = scratch_path(t.spark, "stream-late")
+
+    def start(rows):
+        return runner.run_stream_append(windows.weather_window_stats(windows.with_start_ts(rows)), f"{root}/out", f"{root}/checkpoint")
+
+    by_week(t, root, start)
+    late = t.table("events").filter(F.col("ts") < F.lit(WEEKS[0]).cast("timestamp"))
+    late.write.mode("append").parquet(f"{root}/input")
+    runner.wait(start(forecast_rows(stream_files(t.spark, f"{root}/input", "parquet", late.schema, glob="*.parquet"))))
     return t.spark.read.parquet(f"{root}/out")
 
 
 @query("""SELECT 1990 + c_custkey % 30 AS year, c_name AS first_name, 'county_' || c_nationkey AS county, CASE WHEN c_acctbal < 0 THEN 'M' ELSE 'F' END AS sex,
-    CAST(c_custkey % 1000 AS INTEGER) AS count, true AS from_csv, TIMESTAMP '2024-02-01' AS audit_update_ts FROM customer""")
+    CAST(c_custkey % 1000 AS INTEGER) AS count, CASE WHEN c_mktsegment >= 'F' THEN c_mktsegment END AS segment, true AS from_csv,
+    TIMESTAMP '2024-02-01' AS audit_update_ts FROM customer""")
 def names_stream(t):
-    """Names from CSV files, of which later ones carry one more column."""
+    """Names from CSV files, of which later ones carry one more column in the middle."""
     root = scratch_path(t.spark, "names")
     rows = t.table("customer").select(
         (1990 + F.col("c_custkey") % 30).alias("Year"),
         F.col("c_name").alias("First Name"),
+        F.col("c_mktsegment").alias("Segment"),
         F.concat(F.lit("county_"), F.col("c_nationkey").cast("string")).alias("County"),
         F.when(F.col("c_acctbal") < 0, "M").otherwise("F").alias("Sex"),
         (F.col("c_custkey") % 1000).alias("Count"),
-        F.col("c_mktsegment").alias("Segment"),
     )
     early = F.col("Segment") < "F"
     inbox, options = f"{root}/inbox", {"header": "true"}
+
+    def load():
+        schema = resolve_schema(t.spark, inbox, "csv", f"{root}/schema", inferSchema="true", **options)
+
+        def handle(batch, number):
+            # A micro-batch is a list of new files, as many as one trigger takes.
+            files = [r["path"] for r in batch.collect()]
+            named = silver.names_rows(read_csv_by_header(t.spark, files, schema), PROCESSED)
+            tables.write_changes(named, f"{root}/table", number)
+
+        runner.wait(runner.run_stream_batches(stream_file_names(t.spark, inbox, "*.csv", max_files=100), handle, f"{root}/checkpoint"))
+
     rows.filter(early).drop("Segment").write.mode("append").options(**options).csv(inbox)
-    resolve_schema(t.spark, inbox, "csv", f"{root}/schema", inferSchema="true", **options)
+    load()
     rows.filter(~early).write.mode("append").options(**options).csv(inbox)
-    schema = resolve_schema(t.spark, inbox, "csv", f"{root}/schema", inferSchema="true", **options)
-    stream = stream_files(t.spark, inbox, "csv", schema, glob="*.csv", max_files=4, enforceSchema="true", **options)
-    named = silver.names_rows(stream, PROCESSED)
-    runner.wait(runner.run_stream_append(named, f"{root}/out", f"{root}/checkpoint"))
-    loaded = t.spark.read.schema(named.schema).parquet(f"{root}/out")
+    load()
+    loaded = tables.read_appended(t.spark, f"{root}/table")
     return loaded.select(
-        F.col("year").cast("bigint").alias("year"), "first_name", "county", "sex", "count",
+        F.col("year").cast("bigint").alias("year"), "first_name", "county", "sex", "count", "segment",
         F.col("file_name").endswith(".csv").alias("from_csv"), "audit_update_ts",
     )
 
 
+def recorded(t, label, plan, path="out"):
+    """Run four weeks through a plan and return the progress documents of all micro-batches."""
+    root = scratch_path(t.spark, label)
+    log = progress.ProgressLog(t.spark, f"{root}/log")
+    t.spark.streams.addListener(log)
+    runs = []
+
+    def start(rows):
+        runs.append(runner.run_stream_append(plan(rows), f"{root}/{path}", f"{root}/checkpoint", name=label))
+        return runs[-1]
+
+    try:
+        by_week(t, root, start)
+        for run in runs:
+            log.flush(run)
+    finally:
+        t.spark.streams.removeListener(log)
+    return t.spark.read.text(f"{root}/log")
+
+
 @query("""SELECT CASE WHEN ts < TIMESTAMP '2024-01-08' THEN 0 WHEN ts < TIMESTAMP '2024-01-15' THEN 1 WHEN ts < TIMESTAMP '2024-01-22' THEN 2 ELSE 3 END::BIGINT AS batch_id,
     count(*) AS input_rows FROM events GROUP BY ALL""")
 def stream_progress(t):
     """Rows per micro-batch as Spark reports them."""
-    root = scratch_path(t.spark, "stream-progress")
-    runs = []
+    documents = recorded(t, "progress", lambda rows: silver.alerts(rows, as_of=PROCESSED))
+    return progress.progress_table(documents, "value").filter("input_rows > 0").select("batch_id", "input_rows")
 
-    def start(rows):
-        runs.append(runner.run_stream_append(silver.alerts(rows, as_of=PROCESSED), f"{root}/out", f"{root}/checkpoint", name="progress"))
-        return runs[-1]
 
-    by_week(t, root, start)
-    documents = reduce(DataFrame.unionByName, [progress.recent_progress(run) for run in runs])
-    return progress.progress_table(documents).filter("input_rows > 0").select("batch_id", "input_rows")
+@query(with_forecasts(silver_sql(end_offset="own"), "rules AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS metric, ({p}) AS ok FROM silver" for n, p in silver.SILVER_RULES.items()) + ")")
+    + """ SELECT metric, count(*) FILTER (WHERE ok IS NOT TRUE) AS total FROM rules GROUP BY metric
+  UNION ALL SELECT 'total_records', count(*) FROM silver""")
+def stream_expectation_counts(t):
+    """Violations of each rule, counted on a stream that keeps all rows."""
+
+    def checked(rows):
+        return quality.expect(silver.silver_forecasts(rows, end_offset="own", processed_at=PROCESSED), silver.SILVER_RULES, "warn")
+
+    documents = recorded(t, "expectations", checked)
+    return progress.observed_counts(documents, "expectations", "value")
