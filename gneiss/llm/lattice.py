@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gneiss.llm.common import SALTS, components, stored
+from gneiss.llm.common import SALTS, components, shuffle_width, stored
 
 TABLES, PROBES = 4, 10
 #: Scale of the projection against the lattice, whose nearest points are sqrt(2) apart.
@@ -113,45 +113,68 @@ def _meetings(nodes: DataFrame) -> DataFrame:
 
 
 def compare(table: pa.Table, cosine: float) -> pa.Table:
-    """The links of a cell, or of two blocks of it, that count here: rows (node, links, other).
+    """The links that count here, of some whole cells or of two blocks of one: rows (node, links, other).
 
     A row has the links of a node as a number of vectors, or an edge to another node.
     """
-    tab, cell = table.column("tab")[0].as_py(), table.column("cell")[0].as_py()
-    home = table.column("home").to_numpy(zero_copy_only=False)
-    block, copies, ids = (table.column(c).to_numpy() for c in ("block", "copies", "node"))
-    u = _units(_matrix(table.column("embedding"), len(table.column("embedding")[0])))
-    found = cells(u, table.column("salt").to_numpy())[:, : tab + 1]
+    tab = table.column("tab")[0].as_py()
+    table = table.sort_by([("width", "ascending"), ("cell", "ascending")])
     split = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-    links, label, edges = np.zeros(len(u), np.int64), np.arange(len(u)), []
-    for lo in range(0, len(u), CHUNK):
-        i, j = np.nonzero(u[lo : lo + CHUNK] @ u.T >= cosine)
-        i += lo
-        pick = (i < j) & (home[i] | home[j])
-        if split:
-            pick &= block[i] != block[j]
-        i, j = i[pick], j[pick]
-        meets = np.zeros((len(i), tab + 1), bool)
-        for a, b in ((i, j), (j, i)):
-            meets |= (found[a] == found[b][:, :, :1]).any(axis=2)
-        mine = ~meets[:, :tab].any(axis=1)
-        # Within the table a pair may meet in the home cell of either; the smaller number counts.
-        for a, b in ((i, j), (j, i)):
-            here = found[b][:, tab, 0]
-            mine &= ~((found[a][:, tab] == here[:, None]).any(axis=1) & (here < cell))
-        i, j = i[mine], j[mine]
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        for a in np.unique(i):
-            near = j[i == a]
-            for other in np.setdiff1d(label[near], label[a]):
-                edges.append((a, other))
-                label[label == other] = label[a]
-    has = np.flatnonzero(links)
+    nodes, links, edges = [], [], []
+    width, cell = table.column("width").to_numpy(), table.column("cell").to_numpy()
+    for w in np.unique(width):
+        part = table.slice(int(np.searchsorted(width, w)), int((width == w).sum()))
+        found = _compare_cells(part, cell[width == w], tab, split, cosine, int(w))
+        nodes, links, edges = nodes + found[0], links + found[1], edges + found[2]
     a, b = np.array(edges, np.int64).reshape(-1, 2).T
     return pa.table({
-        "node": np.concatenate([ids[has], ids[a]]), "links": np.concatenate([links[has], np.zeros(len(a), np.int64)]),
-        "other": pa.array(np.concatenate([np.zeros(len(has), np.int64), ids[b]]), mask=np.arange(len(has) + len(a)) < len(has))})
+        "node": np.concatenate([np.array(nodes, np.int64), a]), "links": np.concatenate([np.array(links, np.int64), np.zeros(len(a), np.int64)]),
+        "other": pa.array(np.concatenate([np.zeros(len(nodes), np.int64), b]), mask=np.arange(len(nodes) + len(a)) < len(nodes))})
+
+
+def _compare_cells(table: pa.Table, cell: np.ndarray, tab: int, split: bool, cosine: float, width: int) -> tuple[list, list, list]:
+    """Compare the rows of each cell, which stand together; vectors have one length."""
+    home = table.column("home").to_numpy()
+    block, copies, ids, salt = (table.column(c).to_numpy() for c in ("block", "copies", "node", "salt"))
+    u = _units(_matrix(table.column("embedding"), width))
+    nodes, links, edges = [], [], []
+    bounds = [*np.flatnonzero(np.diff(cell, prepend=cell[0] - 1)).tolist(), len(cell)]
+    for start, stop in zip(bounds, bounds[1:]):
+        count, label = np.zeros(stop - start, np.int64), np.arange(stop - start)
+        v, cells_of = u[start:stop], None
+        for lo in range(0, stop - start, CHUNK):
+            i, j = np.nonzero(v[lo : lo + CHUNK] @ v.T >= cosine)
+            i += lo
+            pick = i < j
+            if not pick.any():
+                continue
+            i, j = i[pick], j[pick]
+            pick = home[start + i] | home[start + j]
+            if split:
+                pick &= block[start + i] != block[start + j]
+            i, j = i[pick], j[pick]
+            # Only pairs that link need the cells of the other tables.
+            if cells_of is None:
+                cells_of = cells(v, salt[start:stop])[:, : tab + 1]
+            meets = np.zeros((len(i), tab + 1), bool)
+            for a, b in ((i, j), (j, i)):
+                meets |= (cells_of[a] == cells_of[b][:, :, :1]).any(axis=2)
+            mine = ~meets[:, :tab].any(axis=1)
+            # Within the table a pair may meet in the home cell of either; the smaller number counts.
+            for a, b in ((i, j), (j, i)):
+                here = cells_of[b][:, tab, 0]
+                mine &= ~((cells_of[a][:, tab] == here[:, None]).any(axis=1) & (here < cell[start]))
+            i, j = i[mine], j[mine]
+            np.add.at(count, i, copies[start + j])
+            np.add.at(count, j, copies[start + i])
+            for a in np.unique(i):
+                for other in np.setdiff1d(label[j[i == a]], label[a]):
+                    edges.append((ids[start + a], ids[start + other]))
+                    label[label == other] = label[a]
+        for k in np.flatnonzero(count):
+            nodes.append(ids[start + k])
+            links.append(count[k])
+    return nodes, links, edges
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
@@ -177,9 +200,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     rest = meetings.withColumn("part", F.pmod("node", F.lit(SALTS)).cast("int")).join(spread, ["tab", "cell", "part"])
     rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("tab", "cell", "node", "home", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    full = rest.join(nodes.select("node", "salt", "embedding", "copies"), "node")
-    found = full.groupBy("tab", "cell", "low", "high").applyInArrow(lambda t: compare(t, cosine), "node long, links long, other long")
+    rest = rest.select("tab", "cell", "node", "home", "block", "blocks", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    full = rest.join(nodes.select("node", "salt", "embedding", F.size("embedding").alias("width"), "copies"), "node")
+    # Many cells of one block share a task's call; each pair of blocks of a hot cell has one of its own.
+    whole = F.col("blocks") == 1
+    full = full.withColumn("batch", F.when(whole, F.pmod("cell", F.lit(16 * shuffle_width(vectors)))).otherwise(F.col("cell")))
+    found = full.drop("blocks").groupBy("tab", "batch", "low", "high").applyInArrow(lambda t: compare(t, cosine), "node long, links long, other long")
     found = stored(found, "links")
 
     links = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
