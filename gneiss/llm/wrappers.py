@@ -13,6 +13,7 @@ to their structure; every page is then extracted with its host's wrapper, over i
 
 from __future__ import annotations
 
+import heapq
 import html
 import json
 import re
@@ -21,11 +22,12 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gneiss.llm.common import SALTS
+from gneiss.llm.common import SALTS, stored
 
 PER_HOST = 12
+BROADCAST_BYTES = 64 * 1024**2
 #: Elements below this depth belong to their ancestor at it.
 DEPTH = 100
 
@@ -303,24 +305,31 @@ def _from_tuple(row: list) -> Group:
 
 
 def wrappers(pages: DataFrame, per_host: int = PER_HOST) -> DataFrame:
-    """(host, wrapper): the wrapper of each host as JSON, from its ``per_host`` pages with the least hashes."""
+    """(host, wrapper): the wrapper of each host as JSON, from its ``per_host`` pages with the least hashes.
+
+    Each task keeps the least of its own pages for every host and sends their structure only, so
+    no html is shuffled and a host gets a few pages from each task at most.
+    """
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, list[tuple[int, str]]] = {}
         for batch in batches:
-            trees = [json.dumps(_to_tuple(Group.of(parse(page.as_py())))) for page in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("order"), pa.array(trees)], ["host", "order", "tree"])
+            for name, order, page in zip(*(batch.column(c).to_pylist() for c in ("host", "order", "html"))):
+                kept = least.setdefault(name, [])
+                heapq.heappush(kept, (-order, page or ""))
+                if len(kept) > per_host:
+                    heapq.heappop(kept)
+        for name, kept in least.items():
+            trees = [json.dumps(_to_tuple(Group.of(parse(page)))) for _, page in kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(kept)), pa.array([-order for order, _ in kept], pa.int64()), pa.array(trees)], ["host", "order", "tree"])
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("order", "ascending"), ("tree", "ascending")])
+        table = table.sort_by([("order", "ascending"), ("tree", "ascending")]).slice(0, per_host)
         found = infer([_from_tuple(json.loads(t)) for t in table.column("tree").to_pylist()])
         return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [found.to_json()]})
 
-    # Pages are picked by id and hash before their html is parsed; the rank is limited before the shuffle.
-    order = F.xxhash64("url", "page_id")
-    first = Window.partitionBy("host").orderBy("order")
-    keys = pages.select(host(F.col("url")).alias("host"), order.alias("order"))
-    picked = keys.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_host).select("host", "order").distinct()
-    rows = pages.select(host(F.col("url")).alias("host"), order.alias("order"), "html").join(picked, ["host", "order"], "left_semi")
+    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("url", "page_id").alias("order"), "html")
     return rows.mapInArrow(shrink, "host string, order long, tree string").groupBy("host").applyInArrow(fit, "host string, wrapper string")
 
 
@@ -329,8 +338,9 @@ def main_text(pages: DataFrame, per_host: int = PER_HOST) -> DataFrame:
 
     Character references are decoded, white space within a block becomes one space. A null or
     empty html gives an empty text; pages without a host share a wrapper. Repeated rows and null
-    ids are pages like others; an empty table gives no rows. Wrappers are joined on the host,
-    whose rows are spread over salts, as one host may have a third of all pages.
+    ids are pages like others; an empty table gives no rows. Wrappers of up to ``BROADCAST_BYTES``
+    are broadcast; larger ones are joined on the host, whose rows are spread over salts, as one
+    host may have a third of all pages.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +355,12 @@ def main_text(pages: DataFrame, per_host: int = PER_HOST) -> DataFrame:
                 texts.append(extract(page.as_py(), known[key]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    known = wrappers(pages, per_host).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"), F.pmod(F.xxhash64("url", "page_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    joined = rows.join(known, ["host", "salt"], "left").select("page_id", "url", "html", "wrapper")
-    return joined.mapInArrow(run, "page_id long, url string, text string")
+    known = stored(wrappers(pages, per_host), "wrappers")
+    size = known.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
+    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
+    if size <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(known), "host", "left")
+    else:
+        spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("url", "page_id"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
+    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(run, "page_id long, url string, text string")
