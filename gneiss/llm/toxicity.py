@@ -104,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Cha
     """
     sample = labelled_sample(labels, "toxic", per_class).withColumnRenamed("label", "toxic")
     quality = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = sample.join(quality, "doc_id", "left")
+    marked = quality.join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Cha
                 [*batch.select(["doc_id", "toxic", "quality"]).columns, pa.array(found, pa.list_(pa.int64()))],
                 ["doc_id", "toxic", "quality", "features"])
 
-    texts = docs.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "toxic", "quality", "text")
+    # The sample's size is bounded, so the texts stay where they are.
+    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "quality", "text")
     rows = texts.mapInArrow(run, "doc_id long, toxic int, quality int, features array<long>").dropDuplicates(["doc_id"])
 
     def fit(table: pa.Table) -> str:
