@@ -156,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool:
     # The pool's ids are picked before their texts are read.
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti")
     ids = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(-1))
-    rows = docs.join(marked.union(ids), "doc_id").select(*columns).mapInArrow(run, FEATURES).dropDuplicates(["doc_id"])
+    # Sample and pool are bounded, so the texts stay where they are.
+    rows = docs.join(F.broadcast(marked.union(ids)), "doc_id").select(*columns).mapInArrow(run, FEATURES).dropDuplicates(["doc_id"])
 
     def fit(table: pa.Table) -> str:
         got = sorted(table.to_pylist(), key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
