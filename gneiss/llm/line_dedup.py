@@ -30,7 +30,7 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     ends = F.concat("__cuts", F.array(last))
     starts = F.concat(F.array(F.lit(0)), F.transform("__cuts", lambda c: c + 1))
     spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("len")))
-    return cut.withColumn("__chunks", spans).drop("__hashes", "__rolled", "__cuts")
+    return cut.withColumn("__chunks", F.when(F.col("__lines").isNotNull(), spans)).drop("__hashes", "__rolled", "__cuts")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:

@@ -226,7 +226,7 @@ def infer(roots: list[Group]) -> Wrapper:
     template: list[str] = []
     best: tuple[float, list[str]] = (0.0, [])
 
-    def told(group: Group, path: list[str]) -> tuple[int, int]:
+    def told(group: Group, path: list[str], always: bool) -> tuple[int, int]:
         """Characters and linked characters of the slots below a wanted group; notes constants and the best element."""
         nonlocal best
         own, linked = 0, 0
@@ -236,13 +236,13 @@ def infer(roots: list[Group]) -> Wrapper:
             if part.mark == "#":
                 if part.constant is None:
                     own, linked = own + part.size, linked + part.linked
-                elif not part.optional and len(roots) > 2:
+                elif always and not part.optional and len(roots) > 2:
                     template.append(part.constant)
             elif part.mark.startswith(("p", "h", "li", "ul", "ol", "blockquote", "pre", "table", "t", "d")) and not part.mark.startswith(("header", "div")):
-                size, in_links = told(part, path)
+                size, in_links = told(part, path, always and not part.optional)
                 own, linked = own + size, linked + in_links
             else:
-                told(part, [*path, part.mark])
+                told(part, [*path, part.mark], always and not part.optional)
         if own - 2 * linked > best[0]:
             best = own - 2 * linked, path
         return own, linked
@@ -250,7 +250,7 @@ def infer(roots: list[Group]) -> Wrapper:
     def has_main(group: Group) -> bool:
         return group.wanted and (group.main or any(has_main(g) for g in group.inside))
 
-    told(whole, [])
+    told(whole, [], True)
     return Wrapper([] if has_main(whole) else best[1], template if len(roots) > 2 else [])
 
 
