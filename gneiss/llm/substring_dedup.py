@@ -150,15 +150,18 @@ def repeated_spans(docs: DataFrame, k: int = 35) -> DataFrame:
     known = salted.join(marked.withColumn("salt", salts), ["minimizer", "digest", "salt"])
     known = stored(known.where("n > 1 OR branches > 1").select(
         "doc_id", "key", "start", "windows", "minimizer", "n", "branches", (own == F.col("chosen")).alias("first"),
+        F.monotonically_increasing_id().alias("path"),
         F.when(F.col("branches") > 1, F.col("edges")).alias("edges")), "known")
 
     whole = known.where("n > 1").select("doc_id", "key", "start", "windows")
     branching = known.where("branches > 1")
     edges = branching.where("first").select("minimizer", "n", F.explode("edges").alias("edge"))
     again = edges.groupBy("minimizer", "edge").agg(F.sum("n").alias("n")).where("n > 1").select("minimizer", "edge")
-    single = branching.where("n = 1").select("doc_id", "key", "start", "minimizer", F.posexplode("edges").alias("i", "edge"))
-    single = single.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)).cast("int"))
-    parts = single.join(again.withColumn("salt", salts), ["minimizer", "edge", "salt"])
+    # Only the number of a path goes with its edges; its coordinates follow for the edges that repeat.
+    single = branching.where("n = 1").select("path", "minimizer", F.posexplode("edges").alias("i", "edge"))
+    single = single.withColumn("salt", F.pmod(F.col("path"), F.lit(SALTS)).cast("int"))
+    parts = single.join(again.withColumn("salt", salts), ["minimizer", "edge", "salt"]).select("path", "i")
+    parts = parts.join(branching.where("n = 1").select("path", "doc_id", "key", "start"), "path")
     return whole.union(parts.select("doc_id", "key", F.col("start") + F.col("i"), F.lit(1)))
 
 
