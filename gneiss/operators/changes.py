@@ -105,7 +105,11 @@ def scd1_apply(
             F.col(sequence_by).alias("_stored_seq"), F.lit(True).alias("_buried"),
         )
         stored = stored.unionByName(graves)
-    both = stored.join(incoming, names, "full_outer")
+    # The stored state is the outer side, so a small set of changes is broadcast and does not move it;
+    # keys it lacks are found from its keys reduced to those of the changes.
+    present = stored.select(*names).join(incoming.select(*names), names, "left_semi").distinct()
+    added = incoming.join(present, names, "left_anti")
+    both = stored.join(incoming, names, "left").unionByName(added, allowMissingColumns=True)
     newer = F.coalesce(
         F.col("_incoming_seq").isNotNull()
         & (F.col("_stored_seq").isNull() | (F.col("_incoming_seq") > F.col("_stored_seq"))),

@@ -28,17 +28,18 @@ def read_source(spark: SparkSession, config: TableConfig) -> DataFrame:
 
 
 def jdbc_reader(
-    spark: SparkSession, url: str, partition_column=None, lower=None, upper=None, num_partitions=None, **properties
+    spark: SparkSession, url: str, partition_column=None, lower=None, upper=None, num_partitions=None, single_task=False, **properties
 ) -> DataFrameReader:
-    """A JDBC reader; with a partition column the table is read by many tasks at once.
+    """A JDBC reader that reads a table by many tasks at once, split by a column.
 
-    The bounds only place the cuts between tasks, they filter nothing.
+    The bounds only place the cuts between tasks, they filter nothing. ``single_task=True``
+    says that one task may read it all, as for a small table; without it the split is required.
     """
     reader = spark.read.format("jdbc").option("url", url).options(**properties)
     split = {"partitionColumn": partition_column, "lowerBound": lower, "upperBound": upper, "numPartitions": num_partitions}
     given = [name for name, value in split.items() if value is not None]
-    if given and len(given) < len(split):
-        raise ValueError(f"a split read needs all of {list(split)}")
+    if len(given) < len(split) and (given or not single_task):
+        raise ValueError(f"a split read needs all of {list(split)}; single_task=True reads without a split")
     return reader.options(**split) if given else reader
 
 

@@ -65,3 +65,13 @@ def test_preimages_never_win(spark, rows):
     feed = frame(spark, [(1, "old", 2, "update_preimage"), (1, "new", 2, "update_postimage")], "k INT, v STRING, seq INT, _change_type STRING")
     assert rows(changes.newest_changes(feed, "k", "seq"), "v") == [("new",)]
     assert rows(changes.upsert_rows(feed), "v") == [("new",)]
+
+
+def test_small_changes_do_not_move_the_target(spark, plan, tmp_path):
+    spark.range(1000).selectExpr("id AS k", "1 AS seq", "'a' AS v").write.parquet(str(tmp_path / "t"))
+    spark.range(3).selectExpr("id * 900 AS k", "2 AS seq", "'b' AS v").write.parquet(str(tmp_path / "c"))
+    stored, new = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "c"))
+    alive, _ = changes.scd1_apply(stored, new, ["k"], "seq")
+    assert alive.count() == 1001 and alive.filter("v = 'b'").count() == 3
+    text = plan(alive)
+    assert "FullOuter" not in text and "SortMergeJoin" not in text

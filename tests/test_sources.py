@@ -38,6 +38,9 @@ def test_jdbc_options_are_all_or_nothing(spark):
     readers.jdbc_reader(spark, "jdbc:x:y", "id", 0, 100, 8, user="u")
     with pytest.raises(ValueError):
         readers.jdbc_reader(spark, "jdbc:x:y", partition_column="id")
+    with pytest.raises(ValueError):
+        readers.jdbc_reader(spark, "jdbc:x:y")
+    readers.jdbc_reader(spark, "jdbc:x:y", single_task=True)
 
 
 def table_config(tmp_path, **more):
