@@ -59,7 +59,7 @@ def remixed(hashes: np.ndarray, number: int) -> np.ndarray:
     """The hashes for the fingerprint of that number; those of number 0 are the hashes themselves."""
     if not number:
         return hashes
-    x = hashes * np.uint64(2 * number + 1) + np.uint64(number) * np.uint64(0x9E3779B97F4A7C15)
+    x = hashes * np.uint64(2 * number + 1) + np.uint64(number * 0x9E3779B97F4A7C15 % 2**64)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
@@ -261,11 +261,11 @@ def links(nodes: DataFrame, reach: int, similarity: float | None = None, block:
 
 
 def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits: int = 2, number: int = 1,
-                similarity: float | None = None, similarity_shingle: int = 5) -> DataFrame:
+                similarity: float | None = None, similarity_shingle: int = 5, margin: float = 0.02) -> DataFrame:
     """Per document row: doc_id, key, fp and component_id, the smallest doc_id reachable by links.
 
     Rows link if one of ``number`` fingerprints differs in at most ``bits`` bits and, with
-    ``similarity``, their shingle sets are that similar by estimate. Rows that agree in all
+    ``similarity``, their shingle sets are that similar by an estimate, which may fall short by ``margin``. Rows that agree in all
     fingerprints (and the sketch) always link. Rows with a null doc_id take part and get the
     smallest id of their group, null if it has none. Repeated rows are all returned. An empty
     table gives no rows.
@@ -274,7 +274,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits:
     rows = rows.withColumn("fp", F.get("fps", F.lit(0)))
     rows = rows.withColumn("node", F.xxhash64("fps", "sketch") if similarity or number > 1 else F.col("fp"))
     nodes = stored(rows.groupBy("node", "fps", "sketch").agg(F.min("doc_id").alias("first")), "nodes")
-    found = [links(nodes.select("node", F.get("fps", F.lit(i)).alias("fp"), "sketch"), bits, similarity) for i in range(number)]
+    found = [links(nodes.select("node", F.get("fps", F.lit(i)).alias("fp"), "sketch"), bits, similarity - margin if similarity else None)
+             for i in range(number)]
     groups = components(reduce(DataFrame.union, found))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first")
     named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
