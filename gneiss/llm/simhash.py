@@ -14,7 +14,6 @@ rather than all its pairs, and a leaf that is larger than a block is compared bl
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -213,42 +212,50 @@ def forest(points: np.ndarray, member: np.ndarray, reach: int, sketches: np.ndar
 def links(nodes: DataFrame, reach: int, similarity: float | None = None, block: int = BLOCK, leaf_size: int = LEAF) -> DataFrame:
     """Edges (a, b) between ``node`` numbers that connect all nodes linked by fingerprint.
 
-    ``nodes`` has node, fp and sketch, once per node. Two nodes link if their fingerprints
-    differ in at most ``reach`` bits and, with ``similarity``, their sketches agree in that share of slots.
+    ``nodes`` has node, fps and sketch, once per node. Two nodes link if one of their fingerprints
+    differs in at most ``reach`` bits and, with ``similarity``, their sketches agree in that share
+    of slots. Each number of fingerprint has a tree of its own; all trees are searched in one job.
     """
-    head = nodes.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
-    sample = np.unique(np.array([r.fp for r in head], np.int64)).view(np.uint64)
-    tree, leaves = fit_tree(sample, nodes.count(), reach, leaf_size)
+    head = nodes.select("fps").orderBy(F.xxhash64("fps")).limit(SAMPLE).collect()
+    columns = np.array([r.fps for r in head], np.int64).view(np.uint64).T if head else []
+    total, trees, first = nodes.count(), [], 0
+    for column in columns:
+        tree, leaves = fit_tree(np.unique(column), total, reach, leaf_size)
+        trees.append((tree, first))
+        first += leaves
 
     def dealt(parts: dict[int, int]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                points = batch.column("fp").to_numpy().view(np.uint64)
+                every = batch.column("fps").flatten().to_numpy().reshape(-1, len(trees))
                 ids = batch.column("node").to_numpy()
-                for leaf, index, member in route(tree, points, reach):
-                    k = parts.get(leaf, 1)
-                    own = ids[index] % k
-                    # Blocks i and j of a large leaf meet in the task (i, j); a leaf of one block is the task (0, 0).
-                    for other in range(k):
-                        pick = index if k == 1 else index[own != other]
-                        if len(pick):
-                            mine = ids[pick] % k
-                            low, high = np.minimum(mine, other), np.maximum(mine, other)
-                            rows = batch.take(pa.array(pick))
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(pick), leaf)), pa.array(low * k + high), pa.array(np.full(len(pick), member)), *rows.columns],
-                                ["leaf", "pair", "member", *rows.schema.names])
+                rest = batch.select(["node", "sketch"])
+                for (tree, first), column in zip(trees, every.T):
+                    points = np.ascontiguousarray(column)
+                    for leaf, index, member in route(tree, points.view(np.uint64), reach):
+                        k = parts.get(first + leaf, 1)
+                        own = ids[index] % k
+                        # Blocks i and j of a large leaf meet in the task (i, j); a leaf of one block is the task (0, 0).
+                        for other in range(k):
+                            pick = index if k == 1 else index[own != other]
+                            if len(pick):
+                                mine = ids[pick] % k
+                                low, high = np.minimum(mine, other), np.maximum(mine, other)
+                                rows = rest.take(pa.array(pick))
+                                yield pa.RecordBatch.from_arrays(
+                                    [pa.array(np.full(len(pick), first + leaf)), pa.array(low * k + high), pa.array(np.full(len(pick), member)),
+                                     *rows.columns, pa.array(points[pick])], ["leaf", "pair", "member", "node", "sketch", "fp"])
         return run
 
-    rows = nodes.select("node", "fp", "sketch")
-    schema = "leaf long, pair long, member boolean, node long, fp long, sketch binary"
-    # One row for each leaf, and a leaf for every 32 sampled fingerprints at most.
-    sizes = rows.mapInArrow(dealt({}), schema).groupBy("leaf").count().collect()
+    rows = nodes.select("node", "fps", "sketch")
+    schema = "leaf long, pair long, member boolean, node long, sketch binary, fp long"
+    # One row for each leaf; the sample bounds their number.
+    sizes = rows.select("node", "fps", F.lit(None).cast("binary").alias("sketch")).mapInArrow(dealt({}), schema).groupBy("leaf").count().collect()
     parts = {r["leaf"]: -(-2 * r["count"] // block) for r in sizes if r["count"] > block}
 
     def join(table: pa.Table) -> pa.Table:
         points = table.column("fp").to_numpy().view(np.uint64)
-        member = table.column("member").to_numpy(zero_copy_only=False)
+        member = table.column("member").to_numpy()
         ids = table.column("node").to_numpy()
         sketches = None
         if similarity is not None:
@@ -274,9 +281,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits:
     rows = rows.withColumn("fp", F.get("fps", F.lit(0)))
     rows = rows.withColumn("node", F.xxhash64("fps", "sketch") if similarity or number > 1 else F.col("fp"))
     nodes = stored(rows.groupBy("node", "fps", "sketch").agg(F.min("doc_id").alias("first")), "nodes")
-    found = [links(nodes.select("node", F.get("fps", F.lit(i)).alias("fp"), "sketch"), bits, similarity - margin if similarity else None)
-             for i in range(number)]
-    groups = components(reduce(DataFrame.union, found))
+    groups = components(links(nodes, bits, similarity - margin if similarity else None))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first")
     named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     names = stored(grouped.join(named, "component").select("node", "component_id"), "names")

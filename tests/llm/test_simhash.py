@@ -57,7 +57,7 @@ def test_groups_of_a_split_tree_equal_all_pairs(spark, monkeypatch, leaf_size, b
             near ^= 1 << rng.randrange(64)
         points.append(near)
     signed = np.array(points, np.uint64).view(np.int64).tolist()
-    nodes = spark.createDataFrame([(i, p, None) for i, p in enumerate(signed)], "node BIGINT, fp BIGINT, sketch BINARY")
+    nodes = spark.createDataFrame([(i, [p], None) for i, p in enumerate(signed)], "node BIGINT, fps ARRAY<BIGINT>, sketch BINARY")
     edges = simhash.links(nodes, reach, block=block, leaf_size=leaf_size).collect()
     assert len(edges) < 6 * len(points)
     assert all(bin(points[e.a] ^ points[e.b]).count("1") <= reach for e in edges)
