@@ -131,8 +131,10 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """The rows of ``docs`` with ``p_<category>`` for each category and the verdict ``is_toxic``.
 
     A null or empty text has no features and gets the models' intercepts. Rows, ids and other
-    columns stay as they are, repeated rows too; an empty table gives no rows.
+    columns stay as they are, repeated rows too; columns of the added names are replaced. An empty
+    table gives no rows.
     """
+    docs = docs.drop("is_toxic", *[f"p_{n}" for n in chain.names])
     known = set().union(*(m.weights for m in chain.models)) if chain.models else set()
     names = [f"p_{n}" for n in chain.names]
 
@@ -160,5 +162,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """The documents that the chain doesn't call toxic."""
-    return score(docs, train(docs, labels, per_class)).where(~F.col("is_toxic")).select(*docs.columns)
+    """The documents that the chain doesn't call toxic, with all their columns whatever their names."""
+    names = ["text" if c == "text" else f"__{i}" for i, c in enumerate(docs.columns)]
+    scored = score(docs.toDF(*names), train(docs, labels, per_class))
+    return scored.where(~F.col("is_toxic")).select(*names).toDF(*docs.columns)
