@@ -33,6 +33,16 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def salted_join(rows: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    """Join on keys that may be hot in ``rows`` and are unique in ``small``.
+
+    The rows of a key are spread over salts by the number ``spread``; the other side is repeated for each.
+    """
+    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread_rows = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    return spread_rows.join(repeated, [*keys, "__salt"]).drop("__salt")
+
+
 def _with_least(pairs: DataFrame) -> DataFrame:
     """Rows (u, v) with the least node m among u and all its v; a hot u is spread over salts."""
     least = pairs.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gneiss.llm.common import SALTS, row_key, stored
+from gneiss.llm.common import SALTS, row_key, salted_join, stored
 
 #: Words of the runs whose least hash is a window's minimizer.
 RUN = 8
@@ -143,7 +143,8 @@ def repeated_spans(docs: DataFrame, k: int = 35) -> DataFrame:
     own = F.xxhash64("key", "start")
     groups = paths.groupBy("minimizer", "digest").agg(F.count("*").alias("n"), F.min(own).alias("chosen"))
     branches = groups.groupBy("minimizer").agg(F.count("*").alias("branches"), F.sum("n").alias("paths"))
-    marked = groups.join(branches.where("paths > 1").select("minimizer", "branches"), "minimizer")
+    # The minimizer at the end of a common passage has as many branches as there are documents with it.
+    marked = salted_join(groups, branches.where("paths > 1").select("minimizer", "branches"), ["minimizer"], "digest")
     # A hot path is spread over salts.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = paths.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)).cast("int"))
