@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gneiss.llm.common import components, row_key, stored
+from gneiss.llm.common import components, row_key, salted_join, stored
 
 #: Fingerprints that shape the tree, members wished for in a leaf, rows compared in one task.
 SAMPLE, LEAF, BLOCK = 8192, 8192, 16384
@@ -284,7 +284,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits:
     groups = components(links(nodes, bits, similarity - margin if similarity else None))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first")
     named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    names = stored(grouped.join(named, "component").select("node", "component_id"), "names")
+    names = stored(salted_join(grouped, named, ["component"], "node").select("node", "component_id"), "names")
     return rows.join(names, "node").select("doc_id", "key", "fp", "component_id")
 
 
