@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gneiss.llm.common import SALTS, components, shuffle_width, stored
+from gneiss.llm.common import SALTS, components, salted_join, shuffle_width, stored
 
 TABLES, PROBES = 4, 10
 #: Scale of the projection against the lattice, whose nearest points are sqrt(2) apart.
@@ -213,7 +213,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     known = nodes.select("node", "copies", "first").join(groups, "node", "left").join(links, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
     firsts = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    known = stored(known.join(firsts, "component").select(
+    known = stored(salted_join(known, firsts, ["component"], "node").select(
         "node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "known")
     out = rows.join(known, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
