@@ -18,11 +18,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; ``n_chars`` follows the text where it has changed.
+    """Repeated chunks and runs of lines go; ``n_chars`` follows the text where it has changed.
 
     Documents stay, those of which nothing is left too: they are copies of each other to the next stage.
     """
-    cut = line_dedup(docs)
+    cut = line_dedup(docs, whole_runs=True)
     size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", size).select(*docs.columns)
 

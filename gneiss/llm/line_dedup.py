@@ -5,8 +5,12 @@ both neighbours ends a chunk, so boundaries depend on the nearby lines only and
 chunks have two lines or more. Chunks are compared byte by byte (they are grouped by their
 text), and of equal chunks the first in the corpus stays.
 
+A chunk ends at the borders of a repeated passage only by luck, so with ``whole_runs`` every
+pair of consecutive lines is compared too, by 128 bits of hashes: each repeated run of two lines
+or more is made of repeated pairs, so runs are found whole, however short and wherever they stand.
+
 DataFrame functions only. Texts are shuffled twice: as chunks to be compared, and as documents
-to be cut.
+to be cut. Of line pairs only hashes and places move.
 """
 
 from __future__ import annotations
@@ -55,23 +59,48 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return found.where(place != F.col("first")).select("doc_id", "key", "start", "len")
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """The pairs of consecutive lines to remove: doc_id, key, start and len, which is two.
+
+    Of equal pairs the first stays, as in :func:`repeated_chunks`. A line goes if a pair that
+    covers it has stood before, so the first occurrence of every line stays somewhere.
+    """
+    keyed = docs.select("doc_id", row_key().alias("key"), F.split("text", "\n", -1).alias("lines")).where(F.size("lines") >= 2)
+    hashed = keyed.select("doc_id", "key", F.transform("lines", lambda line: F.struct(
+        F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))).alias("hashes"))
+    twos = F.zip_with(F.slice("hashes", 1, F.size("hashes") - 1), F.slice("hashes", 2, F.size("hashes") - 1), lambda x, y: F.struct(
+        F.xxhash64(x["a"], y["a"]).alias("a"), F.xxhash64(x["b"], y["b"]).alias("b")))
+    pairs = hashed.select("doc_id", "key", F.posexplode(twos).alias("start", "pair")).select("doc_id", "key", "start", "pair.*")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "start")
+    groups = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    # A hot pair is spread over salts.
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = pairs.withColumn("salt", F.pmod(F.xxhash64("key", "start"), F.lit(SALTS)).cast("int")).join(salted, ["a", "b", "salt"])
+    return found.where(place != F.col("first")).select("doc_id", "key", "start", F.lit(2).alias("len"))
+
+
+def line_dedup(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
     """The documents without repeated chunks, with ``n_lines`` and ``n_removed`` added.
 
+    With ``whole_runs`` every line of a repeated run of two lines or more goes, not only whole chunks.
+
     Lines are what ``\\n`` separates; what stays is joined by ``\\n`` again. Documents of one line
     stay as they are. A null text stays null with 0 lines, an empty text is one line. Repeated
     rows (equal id and text) are copies of each other that can't be told apart: their chunks
     stay in each of them once. An empty table gives no rows. Other columns are kept.
     """
-    gone = repeated_chunks(docs).distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "len")).alias("__gone"))
+    gone = repeated_chunks(docs)
+    gone = gone.union(repeated_pairs(docs)) if whole_runs else gone
+    gone = gone.distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "len")).alias("__gone"))
     gone = gone.withColumnsRenamed({"doc_id": "__id", "key": "__k"})
     rows = docs.withColumn("__key", row_key())
     rows = rows.join(gone, rows["__key"].eqNullSafe(gone["__k"]) & rows["doc_id"].eqNullSafe(gone["__id"]), "left")
     rows = rows.withColumn("__lines", F.split("text", "\n", -1))
-    kept = F.filter("__lines", lambda line, i: ~F.exists("__gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["len"])))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.aggregate("__gone", F.lit(0), lambda n, g: n + g["len"])
+    numbers = F.flatten(F.transform("__gone", lambda g: F.sequence(g["start"], g["start"] + g["len"] - 1)))
+    rows = rows.withColumn("__stay", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), numbers))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n"))
+    removed = F.size("__lines") - F.size("__stay")
     return rows.select(
         *[text.alias("text") if c == "text" else rows[c] for c in docs.columns],
         F.greatest(F.coalesce(F.size("__lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"))
+        F.when(F.col("__gone").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"))

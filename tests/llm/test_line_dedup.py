@@ -75,3 +75,25 @@ def test_odd_rows(spark, odd):
     # Long texts of one line are no multi-line chunks.
     assert {r[0] for r in got if r[3]} <= {8}
     assert line_dedup.line_dedup(odd.limit(0)).count() == 0
+
+
+def test_whole_runs_equal_all_pairs(documents):
+    rng = random.Random(11)
+    passages = [[f"run {k} {i} {rng.random()}" for i in range(2 + k % 4)] for k in range(12)]
+    rows = []
+    for i in range(80):
+        lines = [f"own {i} {j} {rng.random()}" for j in range(rng.randint(2, 9))]
+        at = rng.randint(0, len(lines))
+        lines[at:at] = passages[i % 12]
+        rows.append((i, "\n".join(lines)))
+    seen, want = set(), {}
+    for i, text in rows:
+        lines, gone = text.split("\n"), set()
+        for j, pair in enumerate(zip(lines, lines[1:])):
+            gone |= {j, j + 1} if pair in seen else set()
+            seen.add(pair)
+        want[i] = "\n".join(line for j, line in enumerate(lines) if j not in gone)
+    got = line_dedup.line_dedup(documents(rows), whole_runs=True).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert all(not (i >= 12 and f"run {i % 12} " in want[i]) and f"own {i} " in want[i] for i in want)
+    assert {r.doc_id: r.n_removed for r in got} == {i: 0 if i < 12 else len(passages[i % 12]) for i in want}
