@@ -31,7 +31,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
     Fingerprints over the set of single words keep copies within few bits, and ten of them
-    find what one misses; a link then asks for a similarity of 0.8 of the five-word shingles.
+    find what one misses; a link then asks for a similarity of 0.8 of the sets of five-word shingles.
     Copies link through each other.
     """
     return drop_near_duplicates(docs, shingle=1, distinct=True, bits=2, number=10, similarity=0.8, similarity_shingle=5)

@@ -9,6 +9,9 @@ radius meets in some leaf.
 The tree is fitted on a bounded sample of fingerprints; it only shapes the shards, and the
 result doesn't depend on it. Within a leaf each connected group yields a spanning forest
 rather than all its pairs, and a leaf that is larger than a block is compared block by block.
+
+Where links also ask for a similarity of shingle sets, a sketch picks the candidates, well below
+the similarity; the sets themselves are then compared within each component of candidates.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from gneiss.llm.common import components, row_key, salted_join, stored
 
 #: Fingerprints that shape the tree, members wished for in a leaf, rows compared in one task.
 SAMPLE, LEAF, BLOCK = 8192, 8192, 16384
+#: Texts compared by their shingle sets in one task.
+TEXTS = 1024
 #: Slots of the sketch that estimates the similarity of shingle sets, four bits each.
 SLOTS = 128
 HASH_SEED = 42
@@ -81,24 +86,26 @@ def agreement(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, distinct: bool = False, sketch_shingle: int | None = None, number: int = 1) -> DataFrame:
-    """Per document row: doc_id, key (number of the row's content), ``number`` fingerprints, and the sketch if asked for.
+    """Per document row: doc_id, key (number of the row's content), ``number`` fingerprints, and the sketch and a number for the shingle set if asked for.
 
     A-Z are lower-cased, other characters stay. A null or empty text has no words and the
     fingerprint zero. Rows come out as they came in, repeated ones too.
     """
-    schema = "doc_id long, key long, fps array<long>, sketch binary"
+    schema = "doc_id long, key long, fps array<long>, sketch binary, shingles long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sketches = [], []
+            fps, sketches, sets = [], [], []
             for text in batch.column("text"):
                 words = (text.as_py() or b"").lower().split()
                 hashes = shingle_hashes(words, shingle, distinct)
                 fps.append([fingerprint(remixed(hashes, i)) for i in range(number)])
-                sketches.append(sketch(shingle_hashes(words, sketch_shingle, True)) if sketch_shingle else None)
+                shingles = shingle_hashes(words, sketch_shingle, True) if sketch_shingle else None
+                sketches.append(None if shingles is None else sketch(shingles))
+                sets.append(None if shingles is None else xxhash.xxh3_64_intdigest(shingles.tobytes()) >> 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(fps, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["doc_id", "key", "fps", "sketch"])
+                [batch.column("doc_id"), batch.column("key"), pa.array(fps, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(sets, pa.int64())],
+                ["doc_id", "key", "fps", "sketch", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, schema)
@@ -267,21 +274,78 @@ def links(nodes: DataFrame, reach: int, similarity: float | None = None, block:
     return rows.mapInArrow(dealt(parts), schema).groupBy("leaf", "pair").applyInArrow(join, "a long, b long")
 
 
+def overlaps(shingles: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """The Jaccard similarity of a sorted set of hashes to each of the others; two empty sets are equal."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(shingles, flat), max(0, len(shingles) - 1))
+    hit = shingles[at] == flat if len(shingles) else np.zeros(len(flat), bool)
+    shared = np.diff(np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(sizes)])])
+    union = len(shingles) + sizes - shared
+    return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
+
+
+def exact_forest(sketches: np.ndarray, sets: list[np.ndarray], loose: float, similarity: float) -> list[tuple[int, int]]:
+    """Index pairs that connect whatever pairs of at least that similarity connect; sketches only spare comparisons."""
+    edges, rest = [], np.arange(len(sets))
+    while len(rest):
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            at = queue.pop()
+            near = agreement(sketches[rest], sketches[at]) >= loose
+            if near.any():
+                near[near] = overlaps(sets[at], [sets[i] for i in rest[near]]) >= similarity - 1e-9
+                new = rest[near]
+                edges += [(int(at), int(x)) for x in new]
+                queue += new.tolist()
+                rest = rest[~near]
+    return edges
+
+
+def exact_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, similarity: float, loose: float, shingle: int, block: int = TEXTS) -> DataFrame:
+    """Edges (a, b) that connect the nodes of each component whose shingle sets are that similar.
+
+    ``nodes`` has node, sketch and the key of one of its rows, ``groups`` the node and component of
+    candidates. Each text moves to its component; one of more than ``block`` is compared in pairs of blocks.
+    """
+    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
+    members = salted_join(groups, sizes, ["component"], "node").join(nodes.select("node", "sketch", "key"), "node")
+    members = members.withColumn("k", F.when(F.col("n") > block, F.ceil(2 * F.col("n") / block)).otherwise(1).cast("int")).drop("n")
+    texts = docs.select(row_key().alias("key"), F.col("text").cast("binary").alias("text"))
+    rows = texts.join(members, "key").dropDuplicates(["node"])
+    own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda i: (F.col("k") == 1) | (i != own))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    rows = rows.withColumn("pair", F.least("own", "other").cast("long") * F.col("k") + F.greatest("own", "other"))
+
+    def join(table: pa.Table) -> pa.Table:
+        ids = table.column("node").to_numpy()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS // 2)
+        sets = [shingle_hashes((t.as_py() or b"").lower().split(), shingle, True) for t in table.column("text")]
+        a, b = np.array(exact_forest(sketches, sets, loose, similarity), np.int64).reshape(-1, 2).T
+        return pa.table({"a": ids[a], "b": ids[b]})
+
+    return rows.select("component", "pair", "node", "sketch", "text").groupBy("component", "pair").applyInArrow(join, "a long, b long")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, distinct: bool = False, bits: int = 2, number: int = 1,
-                similarity: float | None = None, similarity_shingle: int = 5, margin: float = 0.02) -> DataFrame:
+                similarity: float | None = None, similarity_shingle: int = 5, margin: float = 0.15) -> DataFrame:
     """Per document row: doc_id, key, fp and component_id, the smallest doc_id reachable by links.
 
-    Rows link if one of ``number`` fingerprints differs in at most ``bits`` bits and, with
-    ``similarity``, their shingle sets are that similar by an estimate, which may fall short by ``margin``. Rows that agree in all
-    fingerprints (and the sketch) always link. Rows with a null doc_id take part and get the
+    Rows link if one of ``number`` fingerprints differs in at most ``bits`` bits. With ``similarity``
+    such links are candidates if an estimate of their shingle sets' similarity falls short by ``margin``
+    at most, and of the rows that candidates connect those link whose sets are that similar.
+    Rows that agree in all fingerprints (and the shingle set) always link. Rows with a null doc_id take part and get the
     smallest id of their group, null if it has none. Repeated rows are all returned. An empty
     table gives no rows.
     """
     rows = stored(fingerprints(docs, shingle, distinct, similarity_shingle if similarity else None, number), "fingerprints")
     rows = rows.withColumn("fp", F.get("fps", F.lit(0)))
-    rows = rows.withColumn("node", F.xxhash64("fps", "sketch") if similarity or number > 1 else F.col("fp"))
-    nodes = stored(rows.groupBy("node", "fps", "sketch").agg(F.min("doc_id").alias("first")), "nodes")
+    rows = rows.withColumn("node", F.xxhash64("fps", "sketch", "shingles") if similarity or number > 1 else F.col("fp"))
+    nodes = stored(rows.groupBy("node", "fps", "sketch").agg(F.min("doc_id").alias("first"), F.min("key").alias("key")), "nodes")
     groups = components(links(nodes, bits, similarity - margin if similarity else None))
+    if similarity:
+        groups = components(exact_links(docs, nodes, stored(groups, "candidates"), similarity, similarity - margin, similarity_shingle))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first")
     named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     names = stored(salted_join(grouped, named, ["component"], "node").select("node", "component_id"), "names")

@@ -111,3 +111,50 @@ def test_dropping_keeps_columns_and_one_of_repeated_rows(spark, odd):
     got = kept.collect()
     assert sorted((r.doc_id for r in got if r.text == "a"), key=str) == [4] and len([r for r in got if r.doc_id in (5, 6)]) == 1
     assert simhash.drop_near_duplicates(odd.limit(0)).count() == 0
+
+
+def jaccard(a, b, width=5):
+    one, two = ({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} for w in (a.split(), b.split()))
+    return len(one & two) / len(one | two)
+
+
+@pytest.mark.parametrize("block", [4096, 8])
+def test_links_ask_for_the_similarity_of_the_sets_themselves(spark, documents, monkeypatch, block):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(60):
+        words = rng.choices(vocabulary, k=300)
+        copy = list(words)
+        # Equal words in another order keep the fingerprints, so the shingles alone decide: 0.74 to 0.86 similar.
+        for at in range(10, 10 + 12 * (5 + i % 5), 12):
+            copy[at], copy[at + 1] = copy[at + 1], copy[at]
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+    monkeypatch.setattr(simhash.exact_links, "__defaults__", (block,))
+    got = simhash.near_groups(documents(rows), shingle=1, distinct=True, bits=2, number=2, similarity=0.8).collect()
+    group, texts = {r.doc_id: r.component_id for r in got}, dict(rows)
+    similar = {i: jaccard(texts[i], texts[1000 + i]) for i in range(60)}
+    assert {s >= 0.8 for s in similar.values()} == {True, False}
+    assert {i: group[1000 + i] == group[i] for i in similar} == {i: s >= 0.8 for i, s in similar.items()}
+
+
+@pytest.mark.parametrize("block", [10**6, 10])
+def test_a_component_in_blocks_links_as_whole(spark, documents, block):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 40):
+        # Each differs a little more: neighbours link, the ends don't.
+        words[i * 9] = f"x{rng.random()}"
+        rows.append((i, " ".join(words)))
+    docs = documents(rows)
+    nodes = simhash.fingerprints(docs, 1, True, 5).selectExpr("doc_id AS node", "key", "sketch")
+    groups = docs.selectExpr("doc_id AS node", "0L AS component")
+    edges = simhash.exact_links(docs, nodes, groups, 0.8, 0.65, 5, block).collect()
+    texts = dict(rows)
+    assert edges and all(jaccard(texts[e.a], texts[e.b]) >= 0.8 for e in edges)
+    group = list(range(40))
+    for _ in range(40):
+        for e in edges:
+            group[e.a] = group[e.b] = min(group[e.a], group[e.b])
+    assert set(group) == {0}
