@@ -41,6 +41,11 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 UNWANTED = set("ad ads adv advert adverts advertisement banner sponsor sponsored promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs cookie "
                "cookies consent gdpr notice notices alert footer masthead comment comments respond disqus share sharing social related newsletter subscribe "
                "signup login popup modal overlay widget contentinfo complementary search".split())
+#: Of these, words that articles use too: within the main part, text that varies over the host's pages overrules them.
+WEAK = set("alert banner notice notices related search widget".split())
+#: First parts of names that tell of something elsewhere, as in with-sidebar.
+ABOUT = set("with without has no not is".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 MAIN = set("article main".split())
 
 TOKEN = re.compile(
@@ -58,6 +63,7 @@ class Element:
     inside: list = field(default_factory=list)
     wanted: bool = True
     main: bool = False
+    weak: bool = False
 
 
 @dataclass
@@ -123,11 +129,16 @@ def parse(page: str | None) -> Element:
             while stack[-1].name in closed and len(stack) > 1:
                 stack.pop()
             found = {a[0].lower(): (a[1] or a[2] or a[3]).lower() for a in ATTRIBUTE.findall(token["attrs"])}
-            words = set(re.split(r"[\s_-]+", " ".join(found.get(k, "") for k in ("class", "id", "role"))))
             inner = any(e.main for e in stack)
+            # Ids of headings and within the main part are anchors, named after what is written there.
+            named = ("class", "role") if inner or tag in HEADINGS else ("class", "id", "role")
+            names = [re.split(r"[_-]+", name) for name in " ".join(found.get(k, "") for k in named).split()]
+            words = {word for parts in names if parts[0] not in ABOUT for word in parts} & UNWANTED
             element = Element(tag, " ".join([tag, found.get("class", ""), found.get("role", "")]).strip())
             element.main = tag in MAIN or found.get("role") in MAIN or found.get("itemprop") == "articlebody"
-            element.wanted = tag not in OUTSIDE and not (words & UNWANTED) and (tag != "header" or inner)
+            placed = tag not in OUTSIDE and (tag != "header" or inner)
+            element.wanted = placed and not words
+            element.weak = placed and bool(words) and words <= WEAK
             if tag == "hr":
                 split()
             else:
@@ -151,6 +162,7 @@ class Group:
     linked: int = 0
     main: bool = False
     wanted: bool = True
+    weak: bool = False
     inside: list["Group"] = field(default_factory=list)
 
     @classmethod
@@ -159,13 +171,13 @@ class Group:
             value = item.value()
             return cls("#", constant=xxhash.xxh3_64_hexdigest(value), size=len(value), linked=item.linked)
         parts = [cls.of(x) for x in item.inside if x is not None and (isinstance(x, Element) or x.value())]
-        return cls(item.mark, main=item.main, wanted=item.wanted, inside=collapse(parts))
+        return cls(item.mark, main=item.main, wanted=item.wanted, weak=item.weak, inside=collapse(parts))
 
     def merge(self, other: "Group") -> "Group":
         """The expression that matches what either matches."""
         same = self.constant if self.constant == other.constant else None
         return Group(self.mark, self.optional or other.optional, self.repeated or other.repeated, same, self.size + other.size,
-                     self.linked + other.linked, self.main or other.main, self.wanted and other.wanted, align(self.inside, other.inside))
+                     self.linked + other.linked, self.main or other.main, self.wanted and other.wanted, self.weak and other.weak, align(self.inside, other.inside))
 
 
 def collapse(parts: list[Group]) -> list[Group]:
@@ -209,13 +221,15 @@ def _optional(part: Group) -> Group:
 
 @dataclass
 class Wrapper:
-    """What extraction needs of a wrapper: the marks from the root to the main part, and the template's texts."""
+    """What extraction needs of a wrapper: the marks from the root to the main part, the template's texts, and the
+    marks of elements in the main part whose slots overrule a weak word."""
 
     path: list[str]
     template: list[str]
+    overruled: list[str] = field(default_factory=list)
 
     def to_json(self) -> str:
-        return json.dumps([self.path, self.template])
+        return json.dumps([self.path, self.template, self.overruled])
 
 
 def infer(roots: list[Group]) -> Wrapper:
@@ -250,25 +264,45 @@ def infer(roots: list[Group]) -> Wrapper:
     def has_main(group: Group) -> bool:
         return group.wanted and (group.main or any(has_main(g) for g in group.inside))
 
+    def slots(group: Group) -> tuple[int, int]:
+        """Characters and linked characters of all slots below a group."""
+        found = [(p.size, p.linked) if p.mark == "#" and p.constant is None else slots(p) for p in group.inside]
+        return sum(x[0] for x in found), sum(x[1] for x in found)
+
+    overruled: set[str] = set()
+
+    def overrule(group: Group, path: list[str], inner: bool) -> None:
+        inner = inner or group.main or bool(start) and path == start
+        if inner and group.weak:
+            size, linked = slots(group)
+            if size > 2 * linked:
+                overruled.add(group.mark)
+        for part in group.inside:
+            overrule(part, [*path, part.mark], inner)
+
     told(whole, [], True)
-    return Wrapper([] if has_main(whole) else best[1], template if len(roots) > 2 else [])
+    start = [] if has_main(whole) else best[1]
+    overrule(whole, [], False)
+    return Wrapper(start, template if len(roots) > 2 else [], sorted(overruled))
 
 
 def extract(page: str | None, wrapper: Wrapper | None) -> str:
     """The main text: the wanted blocks of the article or main elements, or else of the wrapper's main part."""
     root = parse(page)
 
-    def mains(element: Element) -> list[Element]:
-        if not element.wanted:
+    def mains(element: Element, named: bool = False) -> list[Element]:
+        """The main elements; with ``named`` also those that are only kept out by a word of a name around them."""
+        if not element.wanted and not (named and element.name not in OUTSIDE and element.name != "header"):
             return []
-        return [element] if element.main else [m for e in element.inside if isinstance(e, Element) for m in mains(e)]
+        return [element] if element.main else [m for e in element.inside if isinstance(e, Element) for m in mains(e, named)]
 
     def reached(element: Element, path: list[str]) -> list[Element]:
         if not path:
             return [element]
         return [x for e in element.inside if isinstance(e, Element) and e.mark == path[0] for x in reached(e, path[1:])]
 
-    starts, template = mains(root), set()
+    starts, template = mains(root) or mains(root, True), set()
+    overruled = set(wrapper.overruled) if wrapper else set()
     if not starts:
         starts = reached(root, wrapper.path) if wrapper and wrapper.path else []
         template = set(wrapper.template) if wrapper else set()
@@ -278,7 +312,7 @@ def extract(page: str | None, wrapper: Wrapper | None) -> str:
     def walk(element: Element) -> None:
         for part in element.inside:
             if isinstance(part, Element):
-                if part.wanted:
+                if part.wanted or part.weak and part.mark in overruled:
                     walk(part)
             elif part is not None:
                 value = part.value()
@@ -296,12 +330,12 @@ def host(url: Column) -> Column:
 
 
 def _to_tuple(group: Group) -> list:
-    return [group.mark, group.repeated, group.constant, group.size, group.linked, group.main, group.wanted, [_to_tuple(g) for g in group.inside]]
+    return [group.mark, group.repeated, group.constant, group.size, group.linked, group.main, group.wanted, group.weak, [_to_tuple(g) for g in group.inside]]
 
 
 def _from_tuple(row: list) -> Group:
-    mark, repeated, constant, size, linked, main, wanted, inside = row
-    return Group(mark, False, repeated, constant, size, linked, main, wanted, [_from_tuple(g) for g in inside])
+    mark, repeated, constant, size, linked, main, wanted, weak, inside = row
+    return Group(mark, False, repeated, constant, size, linked, main, wanted, weak, [_from_tuple(g) for g in inside])
 
 
 def wrappers(pages: DataFrame, per_host: int = PER_HOST) -> DataFrame:

@@ -97,3 +97,22 @@ def test_odd_rows(spark):
     hosts = [r[0] for r in df.select(wrappers.host(df.url)).collect()]
     assert hosts == ["", "", "", "", "h.example", "h.example"]
     assert wrappers.main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div class="layout with-sidebar"><article><p>a</p></article></div>', "a"), ('<div class="page sidebar"><div><article><p>a</p></article></div></div>', "a"),
+    ('<article><h2 id="related-work">Related work</h2><p>a</p></article>', "Related work\na"),
+    ('<article><section id="search-algorithms"><p>a</p></section></article>', "a"),
+    ('<article><p>a</p></article><div class="related"><article><p>teaser</p></article></div>', "a"),
+    ('<article><p>a</p></article><aside><article><p>no</p></article></aside>', "a"), ('<article><p>a</p><div class="social-share">no</div></article>', "a"),
+])
+def test_names_do_not_drop_the_article(page, text):
+    assert wrappers.extract(page, None) == text
+
+
+def test_varying_text_overrules_a_weak_word_within_the_article(spark):
+    rows = [(i, f"http://c.example/{i}", f'<article><p>text {i}</p><div class="alert"><p>Mind step {i} of the recipe</p></div>'
+             f'<div class="notice">Subscribe now</div><div class="related"><a href="/{i}">Other page {i}</a></div>'
+             f'<section class="comments"><p>Reader {i} says</p></section></article>') for i in range(20)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"text {i}\nMind step {i} of the recipe" for i in range(20)}
