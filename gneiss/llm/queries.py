@@ -138,3 +138,30 @@ def op7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gneiss.llm.wrappers import main_text
 
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query()
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in all documents, with corpus-wide counts of id pairs."""
+    import public_tokenizers
+    from gneiss.llm.alignment import align_tokenizers
+
+    a_file, a_ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return align_tokenizers(table(spark, sf_dir, "documents"), a_file, a_ranks, public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all damaged conversations, and the cheapest edits that repair their structure."""
+    from gneiss.llm.conversations import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by models of the documents that are not held out."""
+    from gneiss.llm.language import identify, remainder
+
+    found = identify(table(spark, sf_dir, "documents"), learn=remainder().isin(0, 1), calibrate=remainder() == 3)
+    return found.select("doc_id", (remainder() == 2).alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy", "n_letters")
