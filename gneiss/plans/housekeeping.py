@@ -1,31 +1,79 @@
-"""Files that belong to no table."""
+"""Files that belong to no table.
+
+A table owns its folder and everything below it: partition folders, its log, files of older versions.
+So a folder is compared with the tables by all folders it lies in, never by its own name alone.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def directories(files: DataFrame) -> DataFrame:
-    """Files rolled up to the folder they lie in, without a closing slash.
+def folder_of(path: Column) -> Column:
+    """The folder a file lies in, without a closing slash; an entry that ends in a slash is a folder itself."""
+    return F.when(path.endswith("/"), F.rtrim(path, F.lit("/"))).otherwise(F.regexp_replace(path, "/[^/]*$", ""))
 
-    An entry whose path ends in a slash is a folder itself.
-    """
-    folder = F.when(F.col("path").endswith("/"), F.rtrim(F.col("path"), F.lit("/"))).otherwise(
-        F.regexp_replace("path", "/[^/]*$", "")
-    )
-    return files.groupBy(folder.alias("path_modified")).agg(
+
+def directories(files: DataFrame) -> DataFrame:
+    """Files rolled up to the folder they lie in."""
+    return files.groupBy(folder_of(F.col("path")).alias("path_modified")).agg(
         F.count("*").alias("files"), F.sum("size").alias("bytes")
     )
 
 
+def prefixes(path: Column) -> Column:
+    """A folder and all folders it lies in, the outermost first, the scheme and bucket being one."""
+    top = F.regexp_extract(path, "^(?:[^:/]+:/+)?[^/]*", 0)
+    below = F.filter(F.split(F.substring(path, F.length(top) + 1, F.length(path)), "/+"), lambda part: part != "")
+    return F.transform(F.sequence(F.lit(0), F.size(below)), lambda n: F.concat_ws("/", top, F.slice(below, F.lit(1), n)))
+
+
+def known_locations(tables: DataFrame) -> DataFrame:
+    """Tables with a location, written without a closing slash."""
+    known = tables.filter(F.col("location").isNotNull())
+    return known.select(F.rtrim(F.col("location"), F.lit("/")).alias("_home"), "tableName", "location")
+
+
+def homes(folders: DataFrame, tables: DataFrame) -> DataFrame:
+    """For each folder inside a table the innermost location that holds it: (path_modified, _home).
+
+    Each folder meets locations by equality, once for every folder above it, of which there are
+    as many as its path is deep; only the ones that are locations go on to the grouping.
+    """
+    above = folders.select("path_modified", F.explode(prefixes(F.col("path_modified"))).alias("_home"))
+    inside = above.join(known_locations(tables).select("_home").distinct(), "_home")
+    return inside.groupBy("path_modified").agg(F.max_by("_home", F.length("_home")).alias("_home"))
+
+
 def table_locations(files: DataFrame, tables: DataFrame) -> DataFrame:
-    """Every folder with the table stored there, if any."""
-    known = tables.select(F.rtrim(F.col("location"), F.lit("/")).alias("path_modified"), "tableName", "location")
-    return directories(files).join(known, "path_modified", "left")
+    """Every folder with the table it is stored in, if any; of nested tables the innermost."""
+    folders = directories(files)
+    owned = homes(folders, tables).join(known_locations(tables), "_home").drop("_home")
+    return folders.join(owned, "path_modified", "left")
 
 
 def find_orphans(files: DataFrame, tables: DataFrame) -> DataFrame:
-    """Folders in which no table is stored."""
-    known = tables.select(F.rtrim(F.col("location"), F.lit("/")).alias("path_modified")).distinct()
-    return directories(files).join(known, "path_modified", "left_anti")
+    """Folders that lie in no table's location."""
+    folders = directories(files)
+    return folders.join(homes(folders, tables), "path_modified", "left_anti")
+
+
+def orphan_roots(files: DataFrame, tables: DataFrame) -> DataFrame:
+    """Orphans rolled up to the outermost folder that holds no table: what may be removed whole.
+
+    Files beside a table, in a folder that leads to its location, are counted under that folder with
+    ``whole`` false: the folder itself must stay.
+    """
+    orphans = find_orphans(files, tables)
+    leading = known_locations(tables).select(F.explode(prefixes(F.col("_home"))).alias("_above")).distinct()
+    above = orphans.select("path_modified", F.explode(prefixes(F.col("path_modified"))).alias("_above"))
+    kept = above.join(leading, "_above").groupBy("path_modified").agg(F.max(F.length("_above")).alias("_kept"))
+    own = prefixes(F.col("path_modified"))
+    # The first folder from outside that leads to no table.
+    free = F.element_at(F.filter(own, lambda p: F.length(p) > F.coalesce("_kept", F.lit(-1))), 1)
+    placed = orphans.join(kept, "path_modified", "left").withColumn(
+        "whole", F.length("path_modified") > F.coalesce("_kept", F.lit(-1)))
+    root = F.when(F.col("whole"), free).otherwise(F.col("path_modified"))
+    return placed.groupBy(root.alias("root"), "whole").agg(
+        F.count("*").alias("folders"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))

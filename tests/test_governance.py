@@ -41,3 +41,17 @@ def test_orphans_with_and_without_slash(spark, rows):
     tables = spark.createDataFrame([("a", "s3://b/a/"), ("view", None)], "tableName STRING, location STRING")
     assert rows(housekeeping.find_orphans(files, tables)) == [("s3://b/folder", 1, 0), ("s3://b/lost", 1, 7)]
     assert rows(housekeeping.table_locations(files, tables), "path_modified", "tableName") == [("s3://b/a", "a"), ("s3://b/folder", None), ("s3://b/lost", None)]
+
+
+def test_nothing_below_a_location_is_an_orphan(spark, rows):
+    paths = ["s3://b/a/date=1/x.parquet", "s3://b/a/_log/0.json", "s3://b/ab/x", "s3://b/lost/d=1/x", "s3://b/lost/d=2/x", "s3://b/deep/in/t/x", "s3://b/deep/y", "s3://c/x",
+             "s3://b/a/inner/k=1/x", "dbfs:/m/t/x", "/local/t/p=1/x", "/local/u/x", "s3://b//twice/x"]
+    files = spark.createDataFrame([(p, 1) for p in paths], "path STRING, size BIGINT")
+    tables = spark.createDataFrame([("a", "s3://b/a/"), ("inner", "s3://b/a/inner"), ("t", "s3://b/deep/in/t"), ("m", "dbfs:/m/t"), ("l", "/local/t"), ("v", None)], "tableName STRING, location STRING")
+    orphans = {r.path_modified for r in housekeeping.find_orphans(files, tables).collect()}
+    assert orphans == {"s3://b/ab", "s3://b/lost/d=1", "s3://b/lost/d=2", "s3://b/deep", "s3://c", "/local/u", "s3://b//twice"}
+    held = dict(rows(housekeeping.table_locations(files, tables), "path_modified", "tableName"))
+    assert held["s3://b/a/date=1"] == "a" and held["s3://b/a/inner/k=1"] == "inner" and held["/local/t/p=1"] == "l" and held["s3://b/ab"] is None
+    roots = {r.root: (r.whole, r.folders) for r in housekeeping.orphan_roots(files, tables).collect()}
+    assert roots["s3://b/lost"] == (True, 2) and roots["s3://b/deep"] == (False, 1) and roots["s3://c"] == (True, 1) and roots["/local/u"] == (True, 1)
+    assert not any(p.startswith(r + "/") for p in ("s3://b/a/date=1", "s3://b/deep/in/t") for r, (whole, _) in roots.items() if whole)

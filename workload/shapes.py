@@ -149,6 +149,26 @@ class Shapes:
             F.col("l_quantity").cast("bigint").alias("size"),
         )
 
+    def partitioned_listing(self) -> DataFrame:
+        """One file per line item below a folder per part, year and month, a log folder for each part, and loose files."""
+        part = F.concat(F.lit("s3://lake/raw/part_"), F.col("l_partkey").cast("string"))
+        number = F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
+        files = self.table("lineitem").select(
+            F.concat(part, F.lit("/year="), F.year("l_shipdate").cast("string"), F.lit("/month="), F.month("l_shipdate").cast("string"),
+                     F.lit("/f_"), number, F.lit(".parquet")).alias("path"), F.col("l_quantity").cast("bigint").alias("size"))
+        size = F.lit(10).cast("bigint").alias("size")
+        key = F.col("p_partkey").cast("string")
+        logs = self.table("part").select(F.concat(F.lit("s3://lake/raw/part_"), key, F.lit("/_log/0.json")).alias("path"), size)
+        loose = self.table("part").select(F.concat(F.lit("s3://lake/raw/loose_"), key).alias("path"), size)
+        return files.unionByName(logs).unionByName(loose)
+
+    def nested_tables(self) -> DataFrame:
+        """Tables in the folders of the smaller parts; of some larger parts one year's folder is a table."""
+        small = F.col("p_size") <= 25
+        part = F.concat(F.lit("s3://lake/raw/part_"), F.col("p_partkey").cast("string"))
+        return self.table("part").filter(small | (F.col("p_size") <= 30)).select(
+            F.col("p_name").alias("tableName"), F.when(small, F.concat(part, F.lit("/"))).otherwise(F.concat(part, F.lit("/year=1996"))).alias("location"))
+
     def table_list(self) -> DataFrame:
         """Tables stored in the folders of the smaller parts."""
         return self.table("part").filter("p_size <= 25").select(
