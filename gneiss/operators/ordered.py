@@ -10,66 +10,69 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
+from gneiss.operators.cuts import place
 from gneiss.operators.keys import key_list
 
-SLICES = 64
+#: Buckets at most, rows that make a bucket worthwhile, and rows of the sample that fixes the cuts.
+BUCKETS, BUCKET_ROWS, SAMPLE = 1024, 20_000, 8192
 
 
-def _slice(df: DataFrame, column: str, slices: int) -> Column:
-    """The number of the even slice, between the column's least and greatest value, that a row lies in."""
-    value = F.col(column).cast("double")
-    low, high = df.agg(F.min(value).alias("low")).scalar(), df.agg(F.max(value).alias("high")).scalar()
-    share = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
-    return F.floor(F.coalesce(share, F.lit(-1.0)) * slices).cast("int")
+def order_cuts(df: DataFrame, order_by, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Values of a total order, of any types, that cut the rows into parts of about equal size, as an array.
 
+    The rows with the least hashes are a sample that is the same for every evaluation. How far their hashes
+    reach tells the number of rows, so one pass over the order's columns is enough. There are as many
+    cuts as make parts of ``bucket_rows``, and fewer than ``buckets``.
+    """
+    size = max(SAMPLE, 8 * buckets)
+    rows = df.select(F.struct(*order_by).alias("_at"), F.xxhash64(*order_by).alias("_hash"))
+    sample = rows.orderBy("_hash", "_at").limit(size).agg(
+        F.array_sort(F.collect_list("_at")).alias("at"), F.count("*").alias("n"), F.max("_hash").alias("reach"))
+    # The share of all 2^64 hashes that lies at or below the greatest of the sample.
+    share = (F.col("reach") + F.lit(2.0**63)) / F.lit(2.0**64)
+    total = F.when(F.col("n") < size, F.col("n")).otherwise(F.col("n") / share)
+    parts = F.least(F.lit(buckets), F.floor(total / bucket_rows) + 1, F.col("n") + 1).cast("int")
+    cuts = F.when(parts > 1, F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("at", F.floor(i * F.col("n") / parts).cast("int"))))
+    return sample.select(cuts.alias("cuts")).scalar()
+
+
+def in_buckets(df: DataFrame, order_by, cut_by: DataFrame | None = None, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows with the number of the part of the order they lie in, as ``_bucket``.
 
-def order_buckets(df: DataFrame, order_by, slices: int = SLICES) -> dict[str, Column]:
-    """Columns that cut a key along its order: the first order column as it is, such as a day, and
-    even slices of the second one if that is numeric."""
-    first, rest = order_by[0], order_by[1:]
-    buckets = {"_bucket": F.col(first)}
-    if rest and isinstance(df.schema[rest[0]].dataType, NumericType):
-        buckets["_slice"] = _slice(df, rest[0], slices)
-    return buckets
+    The cuts are those of all rows, so that no key has more rows in a bucket than a bucket has. ``cut_by``
+    may give them from other rows with the same columns, such as those of a cheaper input.
+    """
+    cuts = order_cuts(df if cut_by is None else cut_by, order_by, buckets, bucket_rows)
+    return df.withColumn("_cuts", cuts).withColumn("_bucket", place(F.struct(*order_by), F.col("_cuts"), buckets - 1)).drop("_cuts")
 
 
-def rolling_mean(df: DataFrame, keys, order_by, value: str, frames: dict, slices: int = SLICES) -> DataFrame:
+def rolling_mean(df: DataFrame, keys, order_by, value: str, frames: dict, cut_by: DataFrame | None = None,
+                 buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Means over row frames that look back at most a few rows.
 
     ``frames`` maps an output name to ``(first, last)`` offsets, both at most 0, for
     instance ``(-7, -1)`` for the previous seven rows. ``order_by`` must be a total order; its
-    first column should be coarse, a day rather than an instant, as each of its values is a
-    bucket of its own.
+    columns may be of any ordered type. See ``in_buckets`` for ``cut_by``.
     """
     names, order_by = key_list(keys), list(order_by)
     if any(last > 0 or first > last for first, last in frames.values()):
         raise ValueError("frames may only look back")
     reach = -min(first for first, _ in frames.values())
-    buckets = order_buckets(df, order_by, slices)
-    cut = df.withColumns(buckets)
-    bucket = Window.partitionBy(*names, *buckets)
-    # The last rows of every bucket, at most `reach` of each.
-    tails = (
-        cut.withColumn("_back", F.row_number().over(bucket.orderBy(*[F.col(c).desc() for c in order_by])))
-        .filter(F.col("_back") <= reach)
-        .groupBy(*names, *buckets)
-        .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_by, value])))).alias("_tail"))
-    )
-    # Each of the `reach` preceding buckets holds a row at least, so together they suffice.
-    before = Window.partitionBy(*names).orderBy(*buckets).rowsBetween(-reach, -1)
-    halo = (
-        tails.withColumn("_head", F.flatten(F.collect_list("_tail").over(before)))
-        .filter(F.size("_head") > 0)
-        .withColumn("_head", F.expr(f"slice(_head, -least({reach}, size(_head)), {reach})"))
-        .select(*names, *buckets, F.inline("_head"))
-        .withColumn("_halo", F.lit(True))
-    )
-    rows = cut.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    cut = in_buckets(df, order_by, cut_by, buckets, bucket_rows)
+    bucket = Window.partitionBy(*names, "_bucket")
+
+    def means(rows: DataFrame, window) -> DataFrame:
+        return rows.withColumns({n: F.avg(value).over(window.rowsBetween(a, b)) for n, (a, b) in frames.items()})
+
+    # All but the first rows of a bucket have what they look back at beside them.
     ordered = bucket.orderBy(*order_by)
-    means = rows.withColumns({n: F.avg(value).over(ordered.rowsBetween(a, b)) for n, (a, b) in frames.items()})
-    return means.filter(~F.col("_halo")).select(*df.columns, *frames)
+    ranked = means(cut, ordered).withColumns({"_at": F.row_number().over(ordered), "_of": F.count("*").over(bucket)})
+    first = F.col("_at") <= reach
+    # The first rows of a bucket and the last ones of those before are neighbours; there are few of them.
+    edges = ranked.filter(first | (F.col("_at") > F.col("_of") - reach))
+    mended = means(edges, Window.partitionBy(*names).orderBy("_bucket", "_at")).filter(first)
+    return ranked.filter(~first).unionByName(mended).select(*df.columns, *frames)
 
 
 def next_at_or_after(df: DataFrame, keys, time: str, marks: dict[str, Column], bucket: Column | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ def cleaned_costs(usage: DataFrame, runs: DataFrame, as_of=None, order_by=("usag
     jobs = runs_per_job(runs) if reduce_runs else runs.withColumn("job_pipelines", F.lit(1)).filter(F.col("job_id").isNotNull())
     joined = recent.join(jobs, "job_id").withColumns({
         "dbu_cost": F.col("dbu_cost") / F.col("job_pipelines"), "dbus": F.col("dbus") / F.col("job_pipelines")})
-    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", {"_previous": (-7, -1), "_recent": (-6, 0)})
+    rolled = rolling_mean(joined, ["pipeline_id"], ["usage_date", *order_by], "dbu_cost", {"_previous": (-7, -1), "_recent": (-6, 0)}, cut_by=recent)
     cost = F.col("dbu_cost")
 
     def share(kind):
@@ -73,18 +73,28 @@ def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     those with the highest cost of that day. Windows and joins see one row per pipeline
     and day.
     """
-    daily = costs.groupBy(F.col("usage_date").alias("summary_date"), "pipeline_id").agg(
+    # Numbers first, hashed by the few names of a pipeline's day; names are compared among the reduced rows.
+    day_and_pipeline = [F.col("usage_date").alias("summary_date"), "pipeline_id"]
+    sums = ["cost_usd", "dbus", "predicted_cost_7d", "job_compute_cost", "warehouse_cost", "idle_minutes"]
+    reduced = costs.groupBy(*day_and_pipeline, "pipeline_name", "output_table", "cluster_type").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.sum(F.col("idle_minutes") + F.col("active_minutes")).alias("_minutes"),
+        F.count("cost_usd").alias("_costs"),
+        F.sum(F.coalesce(F.col("cost_anomaly_flag").cast("int"), F.lit(0))).alias("_flags"),
+        F.max("cost_usd").alias("_top"),
+    )
+    daily = reduced.groupBy("summary_date", "pipeline_id").agg(
         F.max("pipeline_name").alias("pipeline_name"),
         F.sum("cost_usd").alias("total_cost_usd"),
         F.sum("dbus").alias("dbus_7d"),
-        steady_round(F.avg("cost_usd")).alias("avg_cost_per_pipeline"),
-        (steady_round(ratio(F.sum("idle_minutes"), F.sum(F.col("idle_minutes") + F.col("active_minutes")))) * 100).alias("idle_time_pct"),
-        F.sum(F.coalesce(F.col("cost_anomaly_flag").cast("int"), F.lit(0))).alias("cost_anomaly_flag"),
+        steady_round(F.sum("cost_usd") / F.sum("_costs")).alias("avg_cost_per_pipeline"),
+        (steady_round(ratio(F.sum("idle_minutes"), F.sum("_minutes"))) * 100).alias("idle_time_pct"),
+        F.sum("_flags").alias("cost_anomaly_flag"),
         steady_round(F.sum("predicted_cost_7d")).alias("cost_forecast_7d"),
         steady_round(F.sum("job_compute_cost")).alias("job_compute_cost"),
         steady_round(F.sum("warehouse_cost")).alias("warehouse_cost"),
         F.min("cluster_type").alias("cost_by_cluster"),
-        F.max(F.struct("cost_usd", "output_table")).alias("_top_row"),
+        F.max(F.struct(F.col("_top").alias("cost_usd"), "output_table")).alias("_top_row"),
     )
     earlier = F.lag("total_cost_usd").over(Window.partitionBy("pipeline_id").orderBy("summary_date"))
     trend = steady_round(ratio(F.col("total_cost_usd") - earlier, earlier) * 100)

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gneiss.functions.values import day
-from gneiss.operators.keys import latest_per_key, split_null_keys
+from gneiss.operators.keys import key_list, latest_per_key, split_null_keys
 from gneiss.operators.merge import merge_upsert
 from gneiss.sources.config import check_cluster_by
+from gneiss.sources.layout import curve_layout
 from gneiss.sources.readers import list_files, read_if_any
 
 COMMITS = "version BIGINT, through BIGINT, batch BIGINT, schema STRING, mark STRING, committed_at TIMESTAMP"
@@ -61,36 +62,14 @@ def clustered(df: DataFrame, columns, files: int | None = None, checked: bool =
     return ranged.sortWithinPartitions(*columns)
 
 
-def zordered(df: DataFrame, first: str, second: str, files: int, cells: int = 64) -> DataFrame:
-    """Rows laid out along a Z curve over two numeric or time columns.
+def zordered(df: DataFrame, columns, files: int) -> DataFrame:
+    """Rows laid out along a Z curve over columns of any ordered type, so that files are narrow in each."""
+    return curve_layout(df, columns, files)
 
-    Each column is cut into cells of about equal row counts by approximate quantiles, a
-    small array per column; interleaving the bits of both cell numbers gives the key that
-    ranges are cut by. Files then are narrow in both columns, not only in the first.
-    """
-    bits = (cells - 1).bit_length()
-    shares = [i / cells for i in range(1, cells)]
-    numbers = {c: _as_number(df, c) for c in (first, second)}
-    cuts = df.agg(*[F.percentile_approx(n, shares).alias(c) for c, n in numbers.items()]).first()
-    # The cell of a column is computed once per row: the last of the sorted edges below the value,
-    # found by comparing with one edge after the other in generated code, not in a lambda.
-    placed = df.withColumns({f"_cell{i}": sum((F.when(numbers[c] > edge, 1).otherwise(0) for edge in sorted(set(cuts[c] or []))), F.lit(0))
-                             for i, c in enumerate((first, second))})
-    key = F.lit(0).cast("bigint")
-    for i in range(bits):
-        for j in (0, 1):
-            key = key + F.shiftleft(F.shiftright(f"_cell{j}", i).bitwiseAND(F.lit(1)).cast("bigint"), 2 * i + 1 - j)
-    keyed = placed.withColumn("_z", key).repartitionByRange(files, "_z", first, second)
-    return keyed.sortWithinPartitions("_z", first, second).drop("_z", "_cell0", "_cell1")
-
-
-def _as_number(df: DataFrame, column: str):
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    raise ValueError(f"{column} is neither a number nor a time")
+
+def write_optimized(df: DataFrame, path: str, merge_keys, files: int | None = None) -> None:
+    """A table rewritten along a Z curve over its merge keys, which filters and merges look for."""
+    zordered(df, key_list(merge_keys), files or 1).write.mode("overwrite").parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by, merge_keys=(), files: int | None = None) -> None:

@@ -28,10 +28,10 @@ def rolling_by_hand(data, first, last):
     return out
 
 
-@pytest.mark.parametrize("slices", [1, 7, 500])
-def test_rolling_mean(spark, readings, slices):
+@pytest.mark.parametrize("buckets, bucket_rows", [(1024, 20_000), (7, 30), (500, 1)])
+def test_rolling_mean(spark, readings, buckets, bucket_rows):
     df = spark.createDataFrame(readings, SCHEMA).repartition(4)
-    got = ordered.rolling_mean(df, "k", ["day", "id"], "x", {"before": (-7, -1), "with": (-6, 0)}, slices=slices).collect()
+    got = ordered.rolling_mean(df, "k", ["day", "id"], "x", {"before": (-7, -1), "with": (-6, 0)}, buckets=buckets, bucket_rows=bucket_rows).collect()
     before, including = rolling_by_hand(readings, -7, -1), rolling_by_hand(readings, -6, 0)
     assert len(got) == len(readings)
     for row in got:
@@ -41,7 +41,7 @@ def test_rolling_mean(spark, readings, slices):
 
 def test_rolling_mean_with_buckets_smaller_than_the_frame(spark, readings):
     data = [r for r in readings if r[0] in ("hot", "a")][:40]
-    got = ordered.rolling_mean(spark.createDataFrame(data, SCHEMA), "k", ["day", "id"], "x", {"m": (-7, -1)}, slices=500).collect()
+    got = ordered.rolling_mean(spark.createDataFrame(data, SCHEMA), "k", ["day", "id"], "x", {"m": (-7, -1)}, buckets=500, bucket_rows=1).collect()
     want = rolling_by_hand(data, -7, -1)
     assert {r["id"]: r["m"] for r in got} == {i: m if m is None else pytest.approx(m) for i, m in want.items()}
 
@@ -71,8 +71,26 @@ def test_building_starts_no_job(spark, readings):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_a_hot_key_is_spread_over_buckets(spark, readings):
-    df = spark.createDataFrame(readings, SCHEMA)
-    cut = df.withColumns(ordered.order_buckets(df, ["day", "id"]))
-    sizes = [r["count"] for r in cut.filter("k = 'hot'").groupBy("_bucket", "_slice").count().collect()]
-    assert len(sizes) > 10 and max(sizes) < 0.1 * sum(sizes)
+@pytest.mark.parametrize("kind", ["text ids", "one outlier", "many types"])
+def test_a_hot_key_is_spread_over_buckets(spark, kind):
+    n = 6000
+    ids = {"text ids": F.format_string("usage_%08d", F.col("id")), "one outlier": F.when(F.col("id") == 5, F.lit(10**15)).otherwise(F.col("id")),
+           "many types": F.struct(F.col("id").cast("decimal(20,2)"), F.timestamp_seconds("id"))}[kind]
+    # Two thirds of the rows are of one key and one day.
+    df = spark.range(n).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
+                               F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 9).cast("int").alias("day"), ids.alias("id"), (F.col("id") % 13).cast("double").alias("x"))
+    cut = ordered.in_buckets(df.repartition(3), ["day", "id"], bucket_rows=100)
+    sizes = [r["count"] for r in cut.groupBy("k", "_bucket").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 300 and 40 < cut.select("_bucket").distinct().count() <= 61
+    again = ordered.in_buckets(df.repartition(5), ["day", "id"], bucket_rows=100)
+    assert cut.exceptAll(again).count() == 0
+    frames = {"m": (-7, -1), "n": (-3, 0)}
+    got = ordered.rolling_mean(df, "k", ["day", "id"], "x", frames, bucket_rows=100)
+    assert got.exceptAll(ordered.rolling_mean(df, "k", ["day", "id"], "x", frames)).count() == 0 and got.count() == n
+
+
+def test_nulls_and_empty_tables_in_the_order(spark):
+    df = spark.createDataFrame([("a", None, 1, 1.0), ("a", 1, None, 2.0), ("a", 2, 1, None), ("a", None, None, 4.0)], SCHEMA)
+    got = {(r.day, r.id): r.m for r in ordered.rolling_mean(df, "k", ["day", "id"], "x", {"m": (-1, 0)}, bucket_rows=1).collect()}
+    assert got == {(None, None): 4.0, (None, 1): 2.5, (1, None): 1.5, (2, 1): 2.0}
+    assert ordered.rolling_mean(df.limit(0), "k", ["day", "id"], "x", {"m": (-1, 0)}).count() == 0

@@ -5,7 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gneiss.plans import ingest
-from gneiss.sources import catalog, config, readers, tables
+from gneiss.operators.cuts import place_among
+from gneiss.sources import catalog, config, layout, readers, tables
 
 RAW = {
     "source_table": "s", "source_incremental_column": "ts", "target": "t", "target_merge_columns": "k, j",
@@ -242,12 +243,47 @@ def test_z_order_narrows_both_columns(spark, tmp_path):
     df = spark.range(10_000).select(
         (F.col("id") % 100).alias("a"), F.timestamp_seconds(F.floor(F.col("id") / 100)).alias("b"), F.lit("x").alias("c")
     )
-    tables.zordered(df, "a", "b", 16).write.parquet(str(tmp_path / "z"))
+    tables.zordered(df, ["a", "b"], 16).write.parquet(str(tmp_path / "z"))
     files = readers.with_file_metadata(spark.read.parquet(str(tmp_path / "z"))).groupBy("file_name").agg(
         (F.max("a") - F.min("a")).alias("da"), (F.max(F.unix_timestamp("b")) - F.min(F.unix_timestamp("b"))).alias("db"), F.count("*").alias("n")
     ).collect()
     assert sum(f.n for f in files) == 10_000 and len(files) == 16
     assert sum(f.da for f in files) / 16 < 50 and sum(f.db for f in files) / 16 < 50
     with pytest.raises(ValueError):
-        tables.zordered(df, "a", "c", 2)
-    assert tables.zordered(df.limit(0), "a", "b", 2).count() == 0
+        tables.zordered(df, ["a", "missing"], 2)
+    with pytest.raises(ValueError):
+        tables.zordered(df.withColumn("m", F.create_map("c", "a")), ["a", "m"], 2)
+    assert tables.zordered(df.limit(0), ["a", "b"], 2).count() == 0
+
+
+def test_z_order_over_text_and_time_spares_files(spark, tmp_path):
+    df = spark.range(20_000).select(
+        F.format_string("%05d", F.xxhash64("id") % 300).alias("post_code"), F.date_format(F.timestamp_seconds(F.xxhash64("id", F.lit(1)) % 2_000_000), "yyyy-MM-dd'T'HH").alias("startTime"),
+        F.timestamp_seconds(F.xxhash64("id", F.lit(2)) % 5_000_000).alias("at"))
+    df.repartition(32).write.parquet(str(tmp_path / "before"))
+    keys = ["post_code", "startTime", "at"]
+    tables.write_optimized(spark.read.parquet(str(tmp_path / "before")), str(tmp_path / "after"), keys, files=32)
+    assert spark.read.parquet(str(tmp_path / "after")).exceptAll(df).count() == 0 and spark.read.parquet(str(tmp_path / "after")).count() == 20_000
+    for column in keys:
+        low, high = spark.read.parquet(str(tmp_path / "before")).orderBy(column).limit(1200).agg(F.min(column), F.max(column)).first()
+        assert layout.files_read(spark, str(tmp_path / "before"), column, low, high) == (32, 32)
+        hit, files = layout.files_read(spark, str(tmp_path / "after"), column, low, high)
+        assert files == 32 and hit <= 20, (column, hit)
+
+
+def test_a_frequent_key_is_spread_over_files(spark, tmp_path):
+    df = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                   F.when(F.col("id") % 5 > 0, float("nan")).otherwise(F.col("id") / 7).alias("x"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("n"), "id")
+    sizes = [r["count"] for r in tables.zordered(df, ["k"], 12).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2.5 * 9_000 / 12
+    laid = tables.zordered(df, ["k", "x", "n"], 8)
+    assert laid.count() == 9_000 and laid.columns == df.columns
+
+
+def test_place_among(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("bb",), ("z",), (None,)], "v STRING")
+    for cuts in ([], ["b"], ["b", "b", "c"], list("bcdefgh")):
+        listed = F.array(*map(F.lit, cuts)).cast("array<string>")
+        for equal in (False, True):
+            got = {r.v: r.n for r in place_among(df, "n", F.col("v"), listed, len(cuts), equal).collect()}
+            assert got == {v: 0 if v is None else sum(c <= v if equal else c < v for c in cuts) for v in got}

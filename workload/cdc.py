@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gneiss.operators import changes, history, keys, merge
 from gneiss.plans import ingest, silver
 from gneiss.session import scratch_path
-from gneiss.sources import tables
+from gneiss.sources import buckets, tables
 from gneiss.sources.config import TableConfig
 from workload.registry import query
 from workload.shapes import PROCESSED
@@ -62,6 +62,17 @@ def merge_columns(t):
     return merge.merge_upsert(target(t), source(t), KEY, update_columns=["temperature"], check_duplicates=False)
 
 
+@query(loads_sql() + """ SELECT t.* FROM t LEFT JOIN s ON t.post_code = s.post_code AND t.startTime = s.startTime
+    WHERE s.post_code IS NULL OR NOT s.audit_update_ts > t.audit_update_ts
+  UNION ALL SELECT s.* FROM s LEFT JOIN t ON t.post_code = s.post_code AND t.startTime = s.startTime
+    WHERE t.post_code IS NULL OR s.audit_update_ts > t.audit_update_ts""")
+def merge_bucketed(t):
+    """The second load merged into a table bucketed by its keys, twice, as a repeated load would be."""
+    stored = buckets.create_bucketed(target(t), scratch_path(t.spark, "bucketed"), KEY, 8)
+    fresh = tables.materialize(source(t), scratch_path(t.spark, "fresh"))
+    return stored.merge(fresh, newer_by="audit_update_ts").merge(fresh, newer_by="audit_update_ts").read()
+
+
 @query(loads_sql() + " SELECT * FROM two WHERE audit_update_ts >= (SELECT max(audit_update_ts) FROM one)")
 def incremental_filter(t):
     rows = silver.silver_forecasts(t.second_load(), processed_at=PROCESSED)
@@ -203,7 +214,15 @@ def zordered_layout(t):
     """The order book along a Z curve over date and price."""
     path = scratch_path(t.spark, "zordered")
     files = tables.file_count(tables.stored_bytes(t.spark, f"{t.sf_dir}/orders.parquet"))
-    tables.zordered(t.table("orders"), "o_orderdate", "o_totalprice", files).write.parquet(path)
+    tables.zordered(t.table("orders"), ["o_orderdate", "o_totalprice"], files).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query("WITH " + ",".join([FORECASTS, silver_sql()]) + " SELECT * FROM silver")
+def zordered_merge_keys(t):
+    """Silver forecasts along a Z curve over their merge keys, two of them text, and the time of the update."""
+    path = scratch_path(t.spark, "optimized")
+    tables.write_optimized(silver.silver_forecasts(t.forecasts(), processed_at=PROCESSED), path, [*KEY, "audit_update_ts"], files=16)
     return t.spark.read.parquet(path)
 
 
