@@ -66,6 +66,49 @@ def cleaned_costs(usage: DataFrame, runs: DataFrame, as_of=None, order_by=("usag
     )
 
 
+def costs_by_runtime(usage: DataFrame, runtimes: DataFrame, jobs: DataFrame, hours: int = 1) -> DataFrame:
+    """Usage charged to the pipelines whose updates ran meanwhile, by the seconds they overlap.
+
+    ``usage`` has usage_id, job_id, usage_start_time, usage_end_time, dbu_cost and dbus; ``runtimes`` are run times of updates;
+    ``jobs`` lists pipeline_id and job_id. Usage during which no update of its job ran is split evenly
+    among the job's pipelines; that of a job without pipelines keeps a null pipeline. So totals are kept.
+
+    Usage and updates are cut at the hours they touch and meet by job and hour, each adding the seconds they
+    share within that hour: no usage meets an update of another time, and nothing has to be made distinct.
+    """
+    step = 3600 * hours
+    seconds = {c: F.unix_micros(c) / F.lit(1e6) for c in ("usage_start_time", "usage_end_time", "update_start_time", "update_end_time")}
+
+    def cut(df: DataFrame, start: str, end: str) -> DataFrame:
+        """A row for each stretch of ``hours`` that an interval touches, with the part of it inside."""
+        known = df.filter(F.col(end) > F.col(start)).withColumns({"_from": seconds[start], "_to": seconds[end]})
+        slots = F.sequence(F.floor(F.col("_from") / step), F.floor(F.col("_to") / step))
+        each = known.withColumn("_slot", F.explode(slots))
+        return each.withColumns({"_from": F.greatest("_from", F.col("_slot") * step), "_to": F.least("_to", (F.col("_slot") + 1) * step)})
+
+    updates = runtimes.groupBy("pipeline_id", "update_id").agg(F.min("update_start_time").alias("update_start_time"), F.max("update_end_time").alias("update_end_time"))
+    members = jobs.filter(F.col("job_id").isNotNull()).select("pipeline_id", "job_id").distinct()
+    ran = cut(updates.join(members, "pipeline_id"), "update_start_time", "update_end_time").select(
+        "job_id", "_slot", "pipeline_id", F.col("_from").alias("_run_from"), F.col("_to").alias("_run_to"))
+    used = cut(usage, "usage_start_time", "usage_end_time").select("usage_id", "job_id", "_slot", "_from", "_to")
+    shared = F.least("_to", "_run_to") - F.greatest("_from", "_run_from")
+    overlaps = used.join(ran, ["job_id", "_slot"]).withColumn("_shared", shared).filter("_shared > 0")
+    per_pipeline = overlaps.groupBy("usage_id", "pipeline_id").agg(F.sum("_shared").alias("_shared"))
+    # A usage row has as many parts as its job has pipelines at most.
+    parts = per_pipeline.groupBy("usage_id").agg(
+        F.collect_list(F.struct("pipeline_id", "_shared")).alias("_parts"), F.sum("_shared").alias("_all"))
+    charged = usage.join(parts, "usage_id", "left")
+    by_time = charged.filter("_parts IS NOT NULL").select("*", F.inline("_parts")).withColumn("_share", F.col("_shared") / F.col("_all")).drop("_shared")
+    of_job = members.groupBy("job_id").agg(F.collect_list("pipeline_id").alias("_members"))
+    evenly = charged.filter("_parts IS NULL").join(of_job, "job_id", "left").select(
+        "*", F.explode_outer("_members").alias("pipeline_id"), (1 / F.coalesce(F.size("_members"), F.lit(1))).alias("_share")).drop("_members")
+    both = by_time.withColumn("charged_by", F.lit("runtime")).unionByName(evenly.withColumn(
+        "charged_by", F.when(F.col("pipeline_id").isNull(), "nothing").otherwise("even split")))
+    return both.select(
+        "usage_id", F.col("usage_start_time").cast("date").alias("usage_date"), "job_id", "pipeline_id", "charged_by",
+        (F.col("dbu_cost") * F.col("_share")).alias("cost_usd"), (F.col("dbus") * F.col("_share")).alias("dbus"))
+
+
 def cost_summary(costs: DataFrame, as_of=None) -> DataFrame:
     """The daily summary per pipeline; ``as_of=None`` gives every day in the data.
 

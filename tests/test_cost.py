@@ -103,3 +103,43 @@ def test_cost_kpis_and_leaders(spark, rows):
 def test_usage_by_sku(spark, rows):
     assert len(rows(cost.usage_by_sku(usage(spark)))) == 3
     assert rows(cost.usage_by_sku(usage(spark), "j2"), "job_id", "sku_name") == [("j2", "S")]
+
+
+def test_costs_by_runtime_by_hand(spark):
+    at = lambda minutes: DAY + dt.timedelta(minutes=minutes)
+    used = spark.createDataFrame([
+        (1, "j1", at(0), at(60), 60.0, 6.0),       # p1 runs 30 of it, p2 10
+        (2, "j1", at(600), at(601), 8.0, 1.0),     # nothing runs: split
+        (3, "j9", at(0), at(60), 5.0, 1.0),        # no pipeline
+        (4, "j2", at(-1500), at(1500), 7.0, 1.0),  # two days, one update within
+        (5, None, at(0), at(1), 2.0, 1.0), (6, "j1", at(5), at(5), 3.0, 1.0), (7, "j1", at(9), None, 4.0, 1.0),
+    ], "usage_id INT, job_id STRING, usage_start_time TIMESTAMP, usage_end_time TIMESTAMP, dbu_cost DOUBLE, dbus DOUBLE")
+    ran = spark.createDataFrame([
+        ("p1", "u1", at(-30), at(20)), ("p1", "u2", at(50), at(300)), ("p1", "u2", at(50), None), ("p2", "u3", at(25), at(35)), ("p3", "u4", at(100), at(130)), ("p1", "u5", at(400), None),
+    ], "pipeline_id STRING, update_id STRING, update_start_time TIMESTAMP, update_end_time TIMESTAMP")
+    jobs = spark.createDataFrame([("p1", "j1"), ("p2", "j1"), ("p2", "j1"), ("p3", "j2"), ("p4", None)], "pipeline_id STRING, job_id STRING")
+    got = {(r.usage_id, r.pipeline_id): (r.charged_by, round(r.cost_usd, 6)) for r in cost.costs_by_runtime(used, ran, jobs).collect()}
+    assert got == {
+        (1, "p1"): ("runtime", 45.0), (1, "p2"): ("runtime", 15.0), (2, "p1"): ("even split", 4.0), (2, "p2"): ("even split", 4.0), (3, None): ("nothing", 5.0),
+        (4, "p3"): ("runtime", 7.0), (5, None): ("nothing", 2.0), (6, "p1"): ("even split", 1.5), (6, "p2"): ("even split", 1.5), (7, "p1"): ("even split", 2.0), (7, "p2"): ("even split", 2.0)}
+
+
+def test_costs_by_runtime_keep_totals_and_equal_all_pairs(spark):
+    rng = random.Random(9)
+    at = lambda minutes: DAY + dt.timedelta(minutes=minutes)
+    used = [(i, rng.choice(["j1", "j2", "j3"]), s, s + rng.randint(0, 400), float(rng.randint(1, 90))) for i in range(120) for s in [rng.randint(0, 3000)]]
+    ran = [(rng.choice(["p1", "p2", "p3"]), f"u{i}", s, s + rng.randint(0, 300)) for i in range(30) for s in [rng.randint(0, 3000)]]
+    member = {"j1": ["p1", "p2"], "j2": ["p2", "p3"], "j3": []}
+    df = spark.createDataFrame([(i, j, at(s), at(e), c, 1.0) for i, j, s, e, c in used], "usage_id INT, job_id STRING, usage_start_time TIMESTAMP, usage_end_time TIMESTAMP, dbu_cost DOUBLE, dbus DOUBLE")
+    times = spark.createDataFrame([(p, u, at(s), at(e)) for p, u, s, e in ran], "pipeline_id STRING, update_id STRING, update_start_time TIMESTAMP, update_end_time TIMESTAMP")
+    jobs = spark.createDataFrame([(p, j) for j, ps in member.items() for p in ps], "pipeline_id STRING, job_id STRING")
+    want = {}
+    for i, j, s, e, c in used:
+        shared = {p: sum(max(0, min(e, ue) - max(s, us)) for q, _, us, ue in ran if q == p) for p in member[j]}
+        total = sum(shared.values())
+        parts = {p: v / total for p, v in shared.items() if v} if total else {p: 1 / len(member[j]) for p in member[j]} or {None: 1}
+        want |= {(i, p): round(c * v, 6) for p, v in parts.items()}
+    for hours in (1, 5):
+        got = {(r.usage_id, r.pipeline_id): round(r.cost_usd, 6) for r in cost.costs_by_runtime(df, times, jobs, hours).collect()}
+        assert got == pytest.approx(want)
+    assert sum(want.values()) == pytest.approx(sum(u[4] for u in used))

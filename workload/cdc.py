@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gneiss.operators import changes, history, keys, merge
-from gneiss.plans import ingest, silver
+from gneiss.plans import ingest, silver, views
 from gneiss.session import scratch_path
 from gneiss.sources import buckets, tables
 from gneiss.sources.config import TableConfig
@@ -237,3 +237,17 @@ def versioned_table(t):
     tables.write_changes(batch.drop(*changes.CHANGE_COLUMNS), path, 0)
     tables.fold_changes(t.spark, path, ["o_orderkey"], schema)
     return tables.read_merged(t.spark, path, ["o_orderkey"], schema)
+
+
+@query("WITH " + SNAPSHOTS + """ SELECT o_orderstatus, o_custkey, count(*) AS row_count, count(o_totalprice) AS count_o_totalprice,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(28,6))) AS DOUBLE) AS sum_o_totalprice, min(o_totalprice) AS min_o_totalprice, max(o_totalprice) AS max_o_totalprice
+  FROM snapshots WHERE version = 4 GROUP BY ALL""")
+def view_refresh(t):
+    """Orders per status and customer at the first date, brought to the last one by three change feeds."""
+    view = views.AggregateView.of("o_orderstatus, o_custkey", ["o_totalprice"], ["o_totalprice"])
+    rows, root = view.full(t.snapshot(1)), scratch_path(t.spark, "view")
+    for version in (2, 3, 4):
+        before, after = t.snapshot(version - 1), t.snapshot(version)
+        feed = tables.materialize(changes.change_feed(before, after, ["o_orderkey"], version, "2001-08-01"), f"{root}/feed{version}")
+        rows = tables.materialize(view.refresh(rows, feed, after), f"{root}/view{version}")
+    return rows.withColumn("sum_o_totalprice", F.col("sum_o_totalprice").cast("double"))

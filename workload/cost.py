@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gneiss.functions.values import steady_round
-from gneiss.plans import cost, event_log
+from gneiss.plans import cost, event_log, runs
 from workload.registry import query
 from workload.shapes import COST_DAY
 from workload.sql_shapes import COST_SUMMARY, COSTS, LOG, RUNS_PER_UPDATE, USAGE, rounded
@@ -95,3 +95,26 @@ def cost_trend(t):
 @query("WITH " + USAGE + " SELECT job_id, sku_name, sum(usage_quantity) AS usage_quantity, count(*) AS record_count FROM usage GROUP BY ALL")
 def usage_by_sku(t):
     return cost.usage_by_sku(t.usage())
+
+
+# By definition: every usage row is compared with every update of its job.
+BY_RUNTIME = "WITH " + LOG + f""",
+  used AS (SELECT event_id AS usage_id, ts AS s, ts + (event_id % 180) * INTERVAL 1 MINUTE AS e, 'job_' || (user_id % 4) AS job_id, value AS cost, (event_id % 7)::DOUBLE AS dbus FROM events),
+  spans AS (SELECT pipeline_id, 'job_' || (CAST(pipeline_id[2:] AS INT) % 3) AS job_id, update_id, min(update_start_time) AS us, max(update_end_time) AS ue FROM update_runtimes GROUP BY ALL),
+  members AS (SELECT DISTINCT pipeline_id, 'job_' || pipe % 3 AS job_id FROM log),
+  shared AS (SELECT usage_id, pipeline_id, sum(epoch_us(least(e, ue)) - epoch_us(greatest(s, us))) AS overlap FROM used JOIN spans USING (job_id) WHERE least(e, ue) > greatest(s, us) GROUP BY ALL),
+  timed AS (SELECT usage_id, pipeline_id, overlap::DOUBLE / sum(overlap) OVER (PARTITION BY usage_id)::DOUBLE AS share, 'runtime' AS charged_by FROM shared),
+  even AS (SELECT usage_id, pipeline_id, 1.0::DOUBLE / count(*) OVER (PARTITION BY usage_id) AS share, CASE WHEN pipeline_id IS NULL THEN 'nothing' ELSE 'even split' END AS charged_by
+    FROM used LEFT JOIN members USING (job_id) WHERE usage_id NOT IN (SELECT usage_id FROM shared)),
+  charged AS (SELECT CAST(s AS DATE) AS usage_date, pipeline_id, charged_by, share * cost AS cost_usd, share * dbus AS dbus, usage_id
+    FROM (FROM timed UNION ALL FROM even) JOIN used USING (usage_id))
+  SELECT usage_date, pipeline_id, charged_by, count(*) AS parts, {rounded('sum(cost_usd)', 4)} AS cost_usd, {rounded('sum(dbus)', 4)} AS dbus FROM charged GROUP BY ALL"""
+
+
+@query(BY_RUNTIME)
+def costs_by_runtime(t):
+    """Daily cost of each pipeline, by the time its updates ran."""
+    charged = cost.costs_by_runtime(t.timed_usage(), runs.update_runtimes(t.event_log()), t.shared_jobs())
+    daily = charged.groupBy("usage_date", "pipeline_id", "charged_by").agg(
+        F.count("*").alias("parts"), F.sum("cost_usd").alias("cost_usd"), F.sum("dbus").alias("dbus"))
+    return steady(daily, "cost_usd", "dbus")

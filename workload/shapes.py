@@ -103,6 +103,20 @@ class Shapes:
             "l_orderkey", "l_linenumber", "l_partkey",
         )
 
+    def timed_usage(self) -> DataFrame:
+        """Usage of four jobs while the log was written, of up to three hours each; the last job runs no pipeline."""
+        event, start = F.col("event_id"), F.col("ts").cast("timestamp")
+        return self.table("events").select(
+            event.alias("usage_id"), start.alias("usage_start_time"),
+            F.timestamp_micros(F.unix_micros(start) + event % 180 * 60_000_000).alias("usage_end_time"),
+            F.concat(F.lit("job_"), (F.col("user_id") % 4).cast("string")).alias("job_id"),
+            F.col("value").alias("dbu_cost"), (event % 7).cast("double").alias("dbus"))
+
+    def shared_jobs(self) -> DataFrame:
+        """Three jobs share the pipelines of the log."""
+        pipelines = self.event_log().select("origin.pipeline_id").distinct()
+        return pipelines.select("pipeline_id", F.concat(F.lit("job_"), (F.substring("pipeline_id", 2, 9).cast("int") % 3).cast("string")).alias("job_id"))
+
     def columns_metadata(self) -> DataFrame:
         key = F.col("c_custkey")
         words = ["email_address", "ssn", "filename", "tax_rate", "amount", "created_at", "dob", "phone_no", "credit_limit",
