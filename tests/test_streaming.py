@@ -1,9 +1,11 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from gneiss.operators import changes
 from gneiss.sources import readers, tables
-from gneiss.streaming import merge, progress, runner, windows
+from gneiss.streaming import merge, progress, runner, updates, windows
 
 SCHEMA = "k INT, seq INT, v STRING, op STRING"
 
@@ -123,3 +125,54 @@ def test_append_batches_overwrite_their_own_output(spark, tmp_path, land):
     for checkpoint in ("a", "b"):
         runner.wait(merge.stream_append_batches(stream(spark, tmp_path), lambda b: b, str(tmp_path / "out"), str(tmp_path / checkpoint)))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+LOGGED = "event_type STRING, timestamp TIMESTAMP, origin STRUCT<pipeline_id: STRING, pipeline_name: STRING, update_id: STRING>, details STRING"
+
+
+def test_runtimes_of_updates_on_a_stream(spark, rows, tmp_path, land):
+    def at(hours):
+        return f"2024-01-01 {hours // 60:02d}:{hours % 60:02d}:00" if hours < 1440 else f"2024-01-{1 + hours // 1440:02d} {hours % 1440 // 60:02d}:{hours % 60:02d}:00"
+
+    def event(update, state, minutes, pipeline="p1"):
+        return ("update_progress", dt.datetime.fromisoformat(at(minutes)), (pipeline, "one", update), '{"update_progress":{"state":"%s"}}' % state)
+
+    def run():
+        found = updates.stream_update_runtimes(stream(spark, tmp_path, LOGGED), "1 hour", "1 day")
+        runner.wait(runner.run_stream_append(found, str(tmp_path / "out"), str(tmp_path / "c")))
+        return rows(spark.read.parquet(str(tmp_path / "out")), "update_id", "final_state", "runtime_minutes")
+
+    land([event("u1", "RUNNING", 0), event("u1", "COMPLETED", 30), event("u2", "RUNNING", 40), event("lost", "RUNNING", 50)], LOGGED)
+    assert run() == [("u1", "COMPLETED", 30.0)]
+    # The end of an update may come after a restart; one of another pipeline with its id doesn't count.
+    land([event("u2", "FAILED", 100), event("u2", "FAILED", 90, "p2"), event("u3", "RUNNING", 200), event("u3", "RUNNING", 200, None)], LOGGED)
+    assert run() == [("u1", "COMPLETED", 30.0), ("u2", "FAILED", 60.0)]
+    # Two days later what never ended is given out, once.
+    land([event("u4", "RUNNING", 4000), event("u4", "COMPLETED", 4001), event("u4", "CANCELED", 4003)], LOGGED)
+    late = [("u1", "COMPLETED", 30.0), ("u2", "FAILED", 60.0), ("u4", "CANCELED", 3.0), ("u4", "COMPLETED", 1.0), ("lost", None, None), ("u3", None, None), ("u3", None, None)]
+    assert run() == sorted(late, key=repr)
+    assert run() == sorted(late, key=repr)
+    # As a batch, unfinished starts are there at once.
+    batch = updates.stream_update_runtimes(spark.read.schema(LOGGED).parquet(str(tmp_path / "in")))
+    assert sorted(map(repr, [tuple(r) for r in batch.select("update_id", "final_state", "runtime_minutes").collect()])) == sorted(map(repr, late))
+
+
+def test_replays_in_later_batches_leave_one_row(spark, rows, tmp_path, land):
+    schema = "k INT, at TIMESTAMP, v STRING"
+
+    def run():
+        runner.wait(runner.run_stream_append(updates.once(stream(spark, tmp_path, schema), "k", "at", "2 hours"), str(tmp_path / "out"), str(tmp_path / "c")))
+        return rows(spark.read.parquet(str(tmp_path / "out")), "k", "v")
+
+    def moment(hour, minute=0):
+        return dt.datetime(2024, 1, 1, hour, minute)
+
+    land([(1, moment(1), "a"), (1, moment(1), "a"), (2, moment(2), "b"), (None, moment(2), "n"), (None, moment(2), "n")], schema)
+    assert run() == [(1, "a"), (2, "b"), (None, "n")]
+    land([(2, moment(2), "b"), (3, moment(3), "c"), (2, moment(2, 30), "again")], schema)
+    assert run() == [(1, "a"), (2, "b"), (3, "c"), (None, "n")]
+    # Behind the watermark a replay is late and goes; a new event of a key whose state is gone counts anew.
+    land([(9, moment(12), "d")], schema)
+    run()
+    land([(3, moment(3), "c"), (2, moment(13), "new")], schema)
+    assert run() == sorted([(1, "a"), (2, "b"), (2, "new"), (3, "c"), (9, "d"), (None, "n")], key=repr)

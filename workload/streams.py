@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from gneiss.operators import changes, quality
 from gneiss.plans import pii, silver
 from gneiss.session import scratch_path
-from gneiss.sources import tables
+from gneiss.sources import discovery, tables
 from gneiss.sources.readers import read_csv_by_header, resolve_schema, stream_file_names, stream_files
-from gneiss.streaming import merge, progress, runner, windows
+from gneiss.streaming import merge, progress, runner, updates, windows
 from workload.cdc import KEY, LATEST, order_feed
 from workload.governance import TYPES
 from workload.registry import query
-from workload.shapes import PROCESSED, forecast_rows
-from workload.sql_shapes import FORECASTS, PII, SNAPSHOTS
+from workload.shapes import PROCESSED, event_log_rows, forecast_rows
+from workload.sql_shapes import FORECASTS, LOG, PII, SNAPSHOTS
 from workload.sql_shapes import silver as silver_sql
 from workload.weather import ALERTS, DROPPED, with_forecasts
 
@@ -272,3 +272,51 @@ def stream_expectation_counts(t):
 
     documents = recorded(t, "expectations", checked)
     return progress.observed_counts(documents, "expectations", "value")
+
+
+# A start whose end has not come is given out once the watermark, an hour behind the later of the last start and the
+# last end that came, has passed the time by which it must have ended. Every 16th update never ends.
+@query("WITH " + LOG + """, kept AS (SELECT * FROM update_ev WHERE NOT (step = 6 AND u % 16 = 3)),
+  s AS (SELECT * FROM kept WHERE step = 0), e AS (SELECT * FROM kept WHERE step = 6),
+  mark AS (SELECT least((SELECT max(ts) FROM s), (SELECT max(ts) FROM e)) - INTERVAL 1 HOUR AS passed),
+  ended AS (SELECT s.pipeline_id, s.pipeline_name, s.update_id, s.ts AS update_start_time, e.ts AS update_end_time, e.update_state AS final_state
+    FROM s LEFT JOIN e ON s.pipeline_id = e.pipeline_id AND s.update_id = e.update_id AND e.ts BETWEEN s.ts AND s.ts + INTERVAL 1 DAY)
+  SELECT *, (epoch(date_trunc('second', update_end_time)) - epoch(date_trunc('second', update_start_time))) / 60.0::DOUBLE AS runtime_minutes
+  FROM ended WHERE update_end_time IS NOT NULL OR update_start_time + INTERVAL 1 DAY < (SELECT passed FROM mark)""")
+def stream_update_runtimes(t):
+    """Run times as updates end, over restarts, with updates that never do."""
+    root = scratch_path(t.spark, "stream-runtimes")
+    events = t.table("events").filter(~((F.col("event_id") % 8 == 6) & (F.expr("event_id div 8") % 16 == 3)))
+    in_slices(t, events, "ts", WEEKS, root, lambda rows: runner.run_stream_append(
+        updates.stream_update_runtimes(event_log_rows(rows)), f"{root}/out", f"{root}/checkpoint"))
+    return t.spark.read.parquet(f"{root}/out")
+
+
+@query("SELECT event_id, ts::TIMESTAMP AS at, user_id, event_type FROM events")
+def stream_once(t):
+    """Events of which every week sends the last day of the week before once more, and some twice within a batch."""
+    root = scratch_path(t.spark, "stream-once")
+    events = t.table("events").select("event_id", F.col("ts").cast("timestamp").alias("at"), "user_id", "event_type")
+    edges = [None, *WEEKS, None]
+    for low, high in zip(edges, edges[1:]):
+        rows = events if low is None else events.filter(F.col("at") >= F.date_sub(F.lit(low).cast("date"), 1).cast("timestamp"))
+        rows = rows if high is None else rows.filter(F.col("at") < F.lit(high).cast("timestamp"))
+        rows.union(rows.filter("event_id % 7 = 0")).write.mode("append").parquet(f"{root}/input")
+        stream = stream_files(t.spark, f"{root}/input", "parquet", events.schema, glob="*.parquet")
+        runner.wait(runner.run_stream_append(updates.once(stream, "event_id", "at", "2 days"), f"{root}/out", f"{root}/checkpoint"))
+    return t.spark.read.parquet(f"{root}/out")
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN event_type = 'error' THEN user_id END AS who_user,
+    CASE WHEN event_type = 'error' THEN 'm' || (event_id % 5) END AS who_mail, CASE WHEN event_type = 'error' THEN (event_id % 3 + 0.5)::DOUBLE ELSE (event_id % 3)::DOUBLE END AS load FROM events""")
+def discovered_details(t):
+    """Documents whose later batch brings an object and a wider number, read by the schema that has grown to hold both."""
+    folder = scratch_path(t.spark, "discovered")
+    more = F.concat(F.lit(',"load":'), (F.col("event_id") % 3).cast("string"), F.when(F.col("event_type") == "error", F.concat(
+        F.lit('.5,"who":{"user":'), F.col("user_id").cast("string"), F.lit(',"mail":"m'), (F.col("event_id") % 5).cast("string"), F.lit('"}'))).otherwise(F.lit("")), F.lit("}"))
+    rows = t.table("events").select("event_id", "event_type", F.concat(F.regexp_replace("props", r"\}\s*$", ""), more).alias("details"))
+    early = rows.filter("event_type <> 'error'")
+    discovery.evolve_schema(t.spark, folder, discovery.discover(early, "details"))
+    schema = discovery.evolve_schema(t.spark, folder, discovery.discover(rows.filter("event_type = 'error'"), "details"))
+    typed = discovery.typed_columns(rows.drop("event_type"), "details", schema)
+    return typed.select("event_id", "k", "who_user", "who_mail", F.col("load").cast("double").alias("load"))
