@@ -1,8 +1,8 @@
 """Streams merged into tables by key.
 
 Each micro-batch is reduced to one state per key and stored under its batch id. Its cost
-follows the batch; the table is not rewritten per batch. Reading takes the winning state
-of every key, and ``tables.fold_changes`` shortens what a read has to go through.
+follows the batch; the table is not rewritten per batch. ``batches.read_newest`` takes the winning
+state of every key, and ``batches.fold_batches`` shortens what a read has to go through.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gneiss.operators.changes import newest_changes
 from gneiss.operators.keys import key_list, latest_per_key
-from gneiss.sources import tables
+from gneiss.streaming.batches import write_batch
 from gneiss.streaming.runner import run_stream_batches
 
 
@@ -38,7 +38,7 @@ def stream_merge(
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
         rows = latest_per_key(rows, names, [F.col(sequence_by).desc_nulls_last(), *order_by])
-        tables.write_changes(rows, path, batch_id)
+        write_batch(rows, path, batch_id)
 
     return run_stream_batches(stream, handle, checkpoint, trigger)
 
@@ -63,6 +63,6 @@ def stream_scd1(
     def handle(batch: DataFrame, batch_id: int) -> None:
         newest = newest_changes(batch, names, sequence_by)
         mark = F.lit(False) if gone is None else F.coalesce(gone, F.lit(False))
-        tables.write_changes(newest.withColumn("_deleted", mark).drop(*except_columns), path, batch_id)
+        write_batch(newest.withColumn("_deleted", mark).drop(*except_columns), path, batch_id)
 
     return run_stream_batches(stream, handle, checkpoint, trigger)

@@ -28,7 +28,7 @@ def run_stream_batches(
     """Hand every micro-batch to ``handle(batch, batch_id)``.
 
     Spark may replay the last batch after a failure with the same id, so a handler writes
-    under that id (see ``tables.write_changes``) and a replay replaces its own output.
+    under that id (see ``batches.write_batch``) and a replay replaces its own output.
     """
     writer = df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or AVAILABLE_NOW))

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gneiss.operators import changes
-from gneiss.sources import readers, tables
-from gneiss.streaming import merge, progress, runner, updates, windows
+from gneiss.sources import readers
+from gneiss.streaming import batches, merge, progress, runner, updates, windows
 
 SCHEMA = "k INT, seq INT, v STRING, op STRING"
 
@@ -29,15 +29,19 @@ def test_merge_restarts_and_keeps_the_newest(spark, rows, tmp_path, land):
 
     def run():
         runner.wait(merge.stream_merge(stream(spark, tmp_path), path, "k", "seq", str(tmp_path / "c"), order_by=[F.col("v").asc()]))
-        return rows(tables.read_merged(spark, path, "k", schema, "seq"), "k", "seq", "v")
+        return rows(batches.read_newest(spark, path, "k", "seq", schema), "k", "seq", "v")
 
     land([(1, 1, "a", None), (1, 2, "b", None), (2, 1, "c", None)])
     assert run() == [(1, 2, "b"), (2, 1, "c")]
     land([(1, 1, "late", None), (2, 1, "equal", None), (3, 1, "d", None)])
     assert run() == [(1, 2, "b"), (2, 1, "c"), (3, 1, "d")]
-    tables.fold_changes(spark, path, "k", schema, "seq")
     land([(2, 5, "e", None)])
     assert run() == [(1, 2, "b"), (2, 5, "e"), (3, 1, "d")]
+    batches.fold_batches(spark, path, str(tmp_path / "folded"), "k", "seq")
+    path = str(tmp_path / "folded")
+    land([(2, 5, "equal", None), (3, 9, "f", None), (None, 1, "n", None)])
+    assert run() == sorted([(1, 2, "b"), (2, 5, "e"), (3, 9, "f"), (None, 1, "n")], key=repr)
+    assert spark.read.parquet(path).filter("batch_id = -1").count() == 3
 
 
 def test_a_replayed_batch_changes_nothing(spark, rows, tmp_path, land):
@@ -45,18 +49,18 @@ def test_a_replayed_batch_changes_nothing(spark, rows, tmp_path, land):
     land([(1, 1, "a", None), (2, 1, "b", None)])
     for checkpoint in ("c1", "c2"):  # a second checkpoint replays batch 0 from scratch
         runner.wait(merge.stream_merge(stream(spark, tmp_path), path, "k", "seq", str(tmp_path / checkpoint)))
-    assert spark.read.parquet(f"{path}/changes").count() == 2
-    assert rows(tables.read_merged(spark, path, "k", schema, "seq"), "k") == [(1,), (2,)]
+    assert spark.read.parquet(path).count() == 2
+    assert rows(batches.read_newest(spark, path, "k", "seq", schema), "k") == [(1,), (2,)]
 
 
 def test_scd1_stream_equals_batch_with_deletes_and_late_rows(spark, rows, tmp_path, land):
-    path, schema = str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema
+    path = str(tmp_path / "t")
     first = [(1, 1, "a", "U"), (2, 5, None, "D"), (3, 1, "c", "U"), (1, 3, "b", "U")]
     second = [(2, 4, "late", "U"), (3, 2, None, "D"), (1, 2, "late", "U"), (4, 1, "d", "U")]
     for data in (first, second):
         land(data)
         runner.wait(merge.stream_scd1(stream(spark, tmp_path), path, "k", "seq", str(tmp_path / "c"), "op = 'D'"))
-    streamed = rows(tables.read_merged(spark, path, "k", schema, "seq"), "k", "seq", "v")
+    streamed = rows(batches.read_newest(spark, path, "k", "seq"), "k", "seq", "v")
     empty = spark.createDataFrame([], "k INT, seq INT, v STRING")
     batch, _ = changes.scd1_apply(empty, spark.createDataFrame(first + second, SCHEMA), "k", "seq", "op = 'D'")
     assert streamed == rows(batch) == [(1, 3, "b"), (4, 1, "d")]
@@ -176,3 +180,15 @@ def test_replays_in_later_batches_leave_one_row(spark, rows, tmp_path, land):
     run()
     land([(3, moment(3), "c"), (2, moment(13), "new")], schema)
     assert run() == sorted([(1, "a"), (2, "b"), (2, "new"), (3, "c"), (9, "d"), (None, "n")], key=repr)
+
+
+def test_reading_batches_is_one_scan_and_takes_new_columns(spark, rows, tmp_path, plan):
+    path = str(tmp_path / "t")
+    for batch in range(12):
+        more = ", extra INT" if batch % 2 else ""
+        data = [(batch % 5, batch, f"v{batch}", None, *([batch] if more else []))]
+        batches.write_batch(spark.createDataFrame(data, SCHEMA + more), path, batch)
+    got = batches.read_newest(spark, path, "k", "seq")
+    assert rows(got, "k", "seq", "extra") == [(0, 10, None), (1, 11, 11), (2, 7, 7), (3, 8, None), (4, 9, 9)]
+    assert plan(got).count("FileScan") <= 2  # rows with a key, and those without
+    assert rows(batches.read_newest(spark, path, "k"), "k", "seq") == [(0, 10), (1, 11), (2, 7), (3, 8), (4, 9)]

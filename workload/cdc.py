@@ -9,6 +9,7 @@ from gneiss.plans import ingest, silver, views
 from gneiss.session import scratch_path
 from gneiss.sources import buckets, tables
 from gneiss.sources.config import TableConfig
+from gneiss.sources.readers import read_source
 from workload.registry import query
 from workload.shapes import PROCESSED
 from workload.sql_shapes import FORECASTS, LOADS, SNAPSHOTS
@@ -251,3 +252,42 @@ def view_refresh(t):
         feed = tables.materialize(changes.change_feed(before, after, ["o_orderkey"], version, "2001-08-01"), f"{root}/feed{version}")
         rows = tables.materialize(view.refresh(rows, feed, after), f"{root}/view{version}")
     return rows.withColumn("sum_o_totalprice", F.col("sum_o_totalprice").cast("double"))
+
+
+@query("SELECT * FROM orders")
+def append_and_insert(t):
+    """Orders of one half appended, the others selected out of a staged table of another format into the same one."""
+    root = scratch_path(t.spark, "append")
+    orders = t.table("orders")
+    tables.write_append(orders.filter("o_orderkey % 2 = 0"), f"{root}/table")
+    staged = orders.filter("o_orderkey % 2 = 1")
+    staged.write.format("orc").save(f"{root}/staged")
+    config = TableConfig.from_dict({
+        "source_table": f"{root}/staged", "source_incremental_column": "o_orderdate", "target": f"{root}/table", "target_merge_columns": ["o_orderkey"], "target_incremental_column": "o_orderdate",
+        "kind": "format", "options": {"format": "orc", "path": f"{root}/staged"}})
+    tables.write_append(read_source(t.spark, config).select(*orders.columns), f"{root}/table")
+    return t.spark.read.parquet(f"{root}/table")
+
+
+@query("""SELECT CAST(o_orderdate AS DATE) AS summary_date, o_orderpriority, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+  FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-06-30' GROUP BY ALL""")
+def summary_today_table(t):
+    """A daily summary stored in full, and the rows of one day stored beside it as a table of their own."""
+    root = scratch_path(t.spark, "today")
+    daily = t.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("summary_date"), "o_orderpriority").agg(
+        F.count("*").alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+    return tables.materialize(tables.todays_rows(tables.materialize(daily, f"{root}/summary"), "1998-06-30"), f"{root}/today")
+
+
+@query("""WITH named AS (SELECT 1990 + c_custkey % 30 AS year, c_name AS first_name, 'county_' || c_nationkey AS county, CASE WHEN c_acctbal < 0 THEN 'M' ELSE 'F' END AS sex,
+    CAST(c_custkey % 1000 AS INTEGER) AS count, 'names' AS file_name FROM customer)
+  SELECT *, TIMESTAMP '2024-02-01' AS audit_update_ts FROM named
+  UNION ALL SELECT year, 'Ada', county, 'F', count, 'manual_add', TIMESTAMP '2024-02-01' FROM named WHERE count = 7""")
+def manual_rows(t):
+    """Names, and rows entered by hand after the pattern of some of them."""
+    named = t.table("customer").select(
+        (1990 + F.col("c_custkey") % 30).alias("year"), F.col("c_name").alias("first_name"), F.concat(F.lit("county_"), F.col("c_nationkey").cast("string")).alias("county"),
+        F.when(F.col("c_acctbal") < 0, "M").otherwise("F").alias("sex"), (F.col("c_custkey") % 1000).cast("string").alias("count"), F.lit("names").alias("file_name"))
+    rows = silver.names_rows(named, PROCESSED)
+    added = silver.manual_names(rows.filter("count = 7").drop("audit_update_ts"), "Ada", "F", PROCESSED)
+    return rows.unionByName(added)

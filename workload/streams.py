@@ -14,7 +14,7 @@ from gneiss.plans import pii, silver
 from gneiss.session import scratch_path
 from gneiss.sources import discovery, tables
 from gneiss.sources.readers import read_csv_by_header, resolve_schema, stream_file_names, stream_files
-from gneiss.streaming import merge, progress, runner, updates, windows
+from gneiss.streaming import batches, merge, progress, runner, updates, windows
 from workload.cdc import KEY, LATEST, order_feed
 from workload.governance import TYPES
 from workload.registry import query
@@ -86,7 +86,7 @@ def stream_merge(t):
         flatten(rows), f"{root}/table", KEY, "audit_update_ts", f"{root}/checkpoint", order_by=tie
     ))
     schema = flatten(t.forecasts()).schema
-    return tables.read_merged(t.spark, f"{root}/table", KEY, schema, "audit_update_ts")
+    return batches.read_newest(t.spark, f"{root}/table", KEY, "audit_update_ts", schema)
 
 
 @query("WITH " + SNAPSHOTS + " SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM snapshots WHERE version = 4")
@@ -101,7 +101,7 @@ def stream_scd1(t):
     in_slices(t, feed, "_commit_version", [3, 4], root, lambda rows: merge.stream_scd1(
         rows, f"{root}/table", ["o_orderkey"], "_commit_version", f"{root}/checkpoint", deleted
     ))
-    merged = tables.read_merged(t.spark, f"{root}/table", ["o_orderkey"], feed.schema, "_commit_version")
+    merged = batches.read_newest(t.spark, f"{root}/table", ["o_orderkey"], "_commit_version")
     return merged.drop(*changes.CHANGE_COLUMNS)
 
 
@@ -159,8 +159,8 @@ def stream_pii_types(t):
     root = scratch_path(t.spark, "stream-types")
     counts = pii.pii_type_distribution(pii_stream(t, root))
     runner.wait(runner.run_stream_batches(
-        counts, lambda batch, number: tables.write_changes(batch, f"{root}/table", number), f"{root}/checkpoint", mode="update"))
-    return tables.read_merged(t.spark, f"{root}/table", ["pii_type"])
+        counts, lambda batch, number: batches.write_batch(batch, f"{root}/table", number), f"{root}/checkpoint", mode="update"))
+    return batches.read_newest(t.spark, f"{root}/table", ["pii_type"])
 
 
 @query("WITH " + PII + " SELECT * FROM pii_hits")
@@ -217,7 +217,7 @@ def names_stream(t):
             # A micro-batch is a list of new files, as many as one trigger takes.
             files = [r["path"] for r in batch.collect()]
             named = silver.names_rows(read_csv_by_header(t.spark, files, schema), PROCESSED)
-            tables.write_changes(named, f"{root}/table", number)
+            batches.write_batch(named, f"{root}/table", number)
 
         runner.wait(runner.run_stream_batches(stream_file_names(t.spark, inbox, "*.csv", max_files=100), handle, f"{root}/checkpoint"))
 
@@ -225,7 +225,7 @@ def names_stream(t):
     load()
     rows.filter(~early).write.mode("append").options(**options).csv(inbox)
     load()
-    loaded = tables.read_appended(t.spark, f"{root}/table")
+    loaded = batches.read_batches(t.spark, f"{root}/table")
     return loaded.select(
         F.col("year").cast("bigint").alias("year"), "first_name", "county", "sex", "count", "segment",
         F.col("file_name").endswith(".csv").alias("from_csv"), "audit_update_ts",
@@ -320,3 +320,17 @@ def discovered_details(t):
     schema = discovery.evolve_schema(t.spark, folder, discovery.discover(rows.filter("event_type = 'error'"), "details"))
     typed = discovery.typed_columns(rows.drop("event_type"), "details", schema)
     return typed.select("event_id", "k", "who_user", "who_mail", F.col("load").cast("double").alias("load"))
+
+
+@query("SELECT o_orderpriority, count(*) AS orders, max(o_totalprice) AS dearest FROM orders GROUP BY ALL")
+def stream_memory_sink(t):
+    """Orders per priority over byte-limited micro-batches, in a table in memory: a few rows, as that sink is for."""
+    root = scratch_path(t.spark, "stream-memory")
+    orders = t.table("orders")
+    orders.repartition(6, "o_orderkey").write.parquet(f"{root}/input")
+    size = tables.stored_bytes(t.spark, f"{root}/input")
+    stream = stream_files(t.spark, f"{root}/input", "parquet", orders.schema, glob="*.parquet", max_bytes=f"{max(1, size // 3 // 1024)}kb")
+    counts = stream.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("dearest"))
+    name = f"orders_{root.rsplit('-', 1)[-1]}"
+    runner.wait(runner.run_stream_append(counts, None, f"{root}/checkpoint", name=name, fmt="memory", mode="complete"))
+    return t.spark.table(name)
