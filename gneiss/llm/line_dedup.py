@@ -87,8 +87,10 @@ def line_dedup(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
     Lines are what ``\\n`` separates; what stays is joined by ``\\n`` again. Documents of one line
     stay as they are. A null text stays null with 0 lines, an empty text is one line. Repeated
     rows (equal id and text) are copies of each other that can't be told apart: their chunks
-    stay in each of them once. An empty table gives no rows. Other columns are kept.
+    stay in each of them once. An empty table gives no rows. Other columns are kept, but for ones
+    named ``n_lines`` or ``n_removed``, which give way.
     """
+    docs = docs.drop("n_lines", "n_removed")
     gone = repeated_chunks(docs)
     gone = gone.union(repeated_pairs(docs)) if whole_runs else gone
     gone = gone.distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "len")).alias("__gone"))

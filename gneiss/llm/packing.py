@@ -19,7 +19,8 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gneiss.llm.common import row_key
 
@@ -30,6 +31,11 @@ END_ID = 1
 #: Entries of a worker's memory of encoded words.
 CACHED = 400_000
 
+#: Rows of a stretch of the training order, whose documents are dealt to so many groups at random.
+STRETCH_DOCS, LOTS = 2 * GROUP_DOCS, 2
+#: Bits of a sequence's number within its group.
+SEQUENCE_BITS = 20
+
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -143,15 +149,37 @@ def pack(lengths: list[int], capacity: int = LENGTH) -> list[list[tuple[int, int
     return full + [b for b in bins if b] + tail
 
 
+def order_group(docs: DataFrame) -> Column | None:
+    """The group of each row of a table read from files, such that groups follow the order the files were written in.
+
+    A writer numbers its files by partition, and rows keep their order within a file. A group is a random lot of a
+    stretch of consecutive rows. None if the rows don't come straight from files.
+    """
+    row, name = F.col("_metadata.row_index"), F.col("_metadata.file_name")
+    try:
+        docs.select(row, name)
+    except AnalysisException:
+        return None
+    number = F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), F.pmod(F.xxhash64(name), F.lit(1 << 20)))
+    stretch = F.floor(row / STRETCH_DOCS)
+    lot = F.pmod(F.xxhash64(name, row), F.lit(LOTS))
+    return ((number * (1 << 20) + stretch) * LOTS + lot).cast("long")
+
+
 def pack_documents(docs: DataFrame, tokenizer_file: str, ranks_file: str | None = None, pattern: str | None = None,
-                   group_docs: int = GROUP_DOCS) -> DataFrame:
+                   group_docs: int = GROUP_DOCS, in_order: bool = False) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
     A document is its ids and the end id 1; a null text is empty, so only the end id. Null ids
     and repeated rows are documents like others. An empty table gives no rows. A group depends
-    on the rows' contents only, so a repeated task gives the same sequences.
+    on the rows' contents only, so a repeated task gives the same sequences. With ``in_order`` groups are random lots
+    of stretches of the order in which ``docs`` lies in its files, and sequences are numbered along it; rows that don't
+    come from files have no order and are dealt by content.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    order = order_group(docs) if in_order else None
+    if order is None:
+        groups = max(1, -(-docs.count() // group_docs))
+        order = F.pmod(F.xxhash64(row_key()), F.lit(groups))
 
     def run(table: pa.Table) -> pa.Table:
         encode = encoder(tokenizer_file, ranks_file, pattern).encode
@@ -161,12 +189,11 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, ranks_file: str | None
         rows = [(d, s, n, index, offset) for index, pieces in enumerate(sequences)
                 for (d, s, n), offset in zip(pieces, accumulate((p[2] for p in pieces), initial=0))]
         d, s, n, index, offset = np.array(rows, np.int64).reshape(-1, 5).T
-        first = table.column("group")[0].as_py() << 32
+        first = table.column("group")[0].as_py() << SEQUENCE_BITS
         return pa.table({
             "doc_id": table.column("doc_id").take(pa.array(d)), "start": s, "length": n,
             "ids_crc32": pa.array([zlib.crc32(ids[a][4 * b : 4 * (b + c)]) for a, b, c, _, _ in rows], pa.int64()),
             "doc_tokens": np.array([len(x) // 4 for x in ids], np.int64)[d], "sequence_id": first + index, "offset": offset})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"), order.alias("group"))
     return rows.groupBy("group").applyInArrow(run, PIECES)

@@ -28,7 +28,7 @@ from gneiss.llm.common import SALTS, stored
 
 PER_HOST = 12
 BROADCAST_BYTES = 64 * 1024**2
-#: Elements below this depth belong to their ancestor at it.
+#: Elements below this depth are blocks of their ancestor at it; their end tags are their own.
 DEPTH = 100
 
 # Element names of HTML, and words that sites use in class, id and role.
@@ -81,10 +81,12 @@ def parse(page: str | None) -> Element:
     """The tree of block elements. Inline elements are dissolved; unclosed and stray tags are mended."""
     root = Element("html", "html")
     stack, links, at, skipping = [root], 0, 0, []
+    # Names of open elements below the depth, and whether they are wanted.
+    deep: list[tuple[str, bool]] = []
     page = page or ""
 
     def add(text: str) -> None:
-        if text and not skipping:
+        if text and not skipping and all(wanted for _, wanted in deep):
             inside = stack[-1].inside
             if not inside or not isinstance(inside[-1], Text):
                 inside.append(Text())
@@ -117,7 +119,11 @@ def parse(page: str | None) -> Element:
         elif tag in BLOCKS:
             skipping.clear()
             if token["close"]:
-                if any(e.name == tag for e in stack[1:]):
+                if any(name == tag for name, _ in deep):
+                    while deep.pop()[0] != tag:
+                        pass
+                elif any(e.name == tag for e in stack[1:]):
+                    deep.clear()
                     while stack.pop().name != tag:
                         pass
                 links = 0
@@ -126,7 +132,9 @@ def parse(page: str | None) -> Element:
             if tag in ("html", "body"):
                 continue
             closed = CLOSES.get(tag, {"p"})
-            while stack[-1].name in closed and len(stack) > 1:
+            while deep and deep[-1][0] in closed:
+                deep.pop()
+            while not deep and stack[-1].name in closed and len(stack) > 1:
                 stack.pop()
             found = {a[0].lower(): (a[1] or a[2] or a[3]).lower() for a in ATTRIBUTE.findall(token["attrs"])}
             inner = any(e.main for e in stack)
@@ -142,9 +150,12 @@ def parse(page: str | None) -> Element:
             if tag == "hr":
                 split()
             else:
-                stack[-1].inside.append(element)
                 if len(stack) < DEPTH:
+                    stack[-1].inside.append(element)
                     stack.append(element)
+                else:
+                    split()
+                    deep.append((tag, element.wanted))
         # Other tags are inline and vanish.
     add(page[at:])
     return root

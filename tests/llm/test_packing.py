@@ -74,3 +74,23 @@ def test_documents_round_trip(documents, odd):
             at += r.length
         assert at <= 2048
     assert packing.pack_documents(odd.limit(0), *files()).count() == 0
+
+
+def test_sequences_follow_the_order_of_the_files(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "STRETCH_DOCS", 40)
+    rows = documents([(i, f"Text {i} " + "more words " * (i * 31 % 90)) for i in range(400)])
+    rows.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    got = packing.pack_documents(stored, *files(), in_order=True).collect()
+    assert {r.doc_id for r in got} == set(range(400))
+    spans = {}
+    for r in got:
+        spans.setdefault(r.sequence_id, []).append(r.doc_id)
+    assert all(max(d) - min(d) < 40 for d in spans.values())
+    ordered = [spans[k] for k in sorted(spans)]
+    # No sequence comes before one of an earlier stretch.
+    assert all(max(a) < min(b) + 40 for a, b in zip(ordered, ordered[1:]))
+    again = packing.pack_documents(stored, *files(), in_order=True).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+    # Copies of a document that lie apart don't meet in a sequence; rows that come from no file are dealt by content.
+    assert packing.pack_documents(rows, *files(), in_order=True).select("doc_id").distinct().count() == 400

@@ -14,7 +14,7 @@ SF = Path("/root/testdata/sf0.001")
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -58,3 +58,12 @@ def test_components_equal_a_search(spark, seed):
                 want[at] = node
                 queue += near[at]
     assert got == want
+
+
+def test_columns_of_clashing_names_pass_all_stages(spark, odd):
+    clashing = odd.withColumnsRenamed({"lang": "n_removed"}).selectExpr("*", "1 AS n_lines", "'x' AS `key`", "2 AS `group`", "'en' AS lang")
+    docs = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, str(SF)), name)
+        assert docs.columns == clashing.columns
+    corpus_pipeline.STAGES[-1][1](spark, docs, str(SF)).collect()

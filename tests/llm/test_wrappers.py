@@ -78,6 +78,10 @@ def test_broken_and_small_pages(page, text):
 def test_deep_and_long_pages():
     deep = wrappers.extract("<div>" * 3000 + "x" + "</div>" * 3000, None)
     assert deep == "x"
+    for depth in (1, 97, 98, 99, 150, 3000):
+        page = "<article>" + "<div>" * depth + "<p>a<p>b<nav>menu<div>more</div></nav>c" + "</div>" * depth + "<p>tail</p></article><p>out</p>"
+        assert wrappers.extract(page, None) == "a\nb\nc\ntail", depth
+    assert wrappers.extract("<div>" * 200 + "x</section></p>" + "</div>" * 150 + "y", None) == "x\ny"
     long = "word " * 200_000
     assert wrappers.extract(f"<article><p>{long}</p></article>", None) == long.strip()
     wrappers.infer([wrappers.Group.of(wrappers.parse("<div>" * 500 + str(i))) for i in range(3)])
