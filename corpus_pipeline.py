@@ -22,9 +22,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents stay, those of which nothing is left too: they are copies of each other to the next stage.
     """
-    cut = line_dedup(docs, whole_runs=True)
+    own = {c: f"__own_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    cut = line_dedup(docs.withColumnsRenamed(own), whole_runs=True)
     size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", size).select(*docs.columns)
+    cut = cut.withColumn("n_chars", size).drop("n_lines", "n_removed")
+    return cut.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +45,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens, numbered along the training order.
+
+    The stage before has written its rows in that order; its files tell it.
+    """
     import public_tokenizers
 
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return pack_documents(docs, *files, public_tokenizers.PATTERN)
+    return pack_documents(docs, *files, public_tokenizers.PATTERN, in_order=True)
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", lines), ("near_copies", near_copies), ("mixing", mixing), ("packing", packing)]
