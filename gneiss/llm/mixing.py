@@ -110,6 +110,24 @@ def position(place: Column, target: Column, rank: Column, schedules: tuple = SCH
     return F.when(slope == 0, need / (2 * a)).otherwise((F.sqrt(F.greatest(a * a + slope * need, F.lit(0.0))) - a) / slope)
 
 
+def curriculum(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES) -> DataFrame:
+    """The rows of ``mix`` with the training position of each take, range-sorted by the first.
+
+    ``first_position`` and ``second_position`` are when the document is read in the first and second pass of its source, null if
+    that pass takes no word of it; rows that are never read come last. ``most`` may be up to two passes.
+    """
+    plan = mix(docs, share, most, weights)
+    goal = F.round("target").cast("long")
+
+    def at(number: int) -> Column:
+        reached = F.col("place") + number * F.col("source_size")
+        return F.when(_clamp(goal - reached, F.col("size")) > 0, position(reached, F.col("target"), F.col("rank"), schedules))
+
+    placed = plan.withColumns({"first_position": at(0), "second_position": at(1)})
+    order = [F.col("first_position").asc_nulls_last(), F.col("key")]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES) -> DataFrame:
     """The documents in training order, whole and as often as the mix takes them, to the nearest time.
 

@@ -35,8 +35,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: SQL with the words of a text counted, each document's place in its source by hashed id, and the
-#: target of a source as its level times its weight, stopped at twice its size.
+#: SQL with the words of a text counted, each document's place in its source by hashed id, the
+#: target of a source as its level times its weight, stopped at twice its size, and the inverse of its schedule's integral.
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
@@ -50,24 +50,32 @@ levels AS (
       / sum(b.weight) FILTER (b.cap / b.weight > a.cap / a.weight OR b.cap / b.weight = a.cap / a.weight AND b.rank >= a.rank) AS level
   FROM weighted a, weighted b GROUP BY a.source, a.rank, a.cap, a.weight),
 goals AS (
-  SELECT source, source_size, round(least(cap, (SELECT max(level) FROM levels JOIN weighted w ON levels.source IS NOT DISTINCT FROM w.source WHERE level * w.weight <= w.cap) * weight), 6) AS target
+  SELECT source, source_size, rank, round(least(cap, (SELECT max(level) FROM levels JOIN weighted w ON levels.source IS NOT DISTINCT FROM w.source WHERE level * w.weight <= w.cap) * weight), 6) AS target
   FROM weighted),
 placed AS (
-  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS goal,
+  SELECT doc_id, size, source_size, target, rank, CAST(round(target) AS BIGINT) AS goal,
     CAST(sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS place
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(greatest(0, least(size, goal - place)) + greatest(0, least(size, goal - source_size - place)) AS BIGINT) AS taken
-FROM placed
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source),
+scheduled AS (
+  SELECT *, CASE rank % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS a, CASE rank % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS b,
+    greatest(0, least(size, goal - place)) AS one, greatest(0, least(size, goal - source_size - place)) AS two
+  FROM placed),
+needs AS (
+  SELECT *, CASE WHEN target > 0 THEN least(place / target, 1) ELSE 0 END * (a + b) AS need_one, CASE WHEN target > 0 THEN least((place + source_size) / target, 1) ELSE 0 END * (a + b) AS need_two
+  FROM scheduled)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+  CASE WHEN one > 0 THEN CASE WHEN a = b THEN need_one / (2 * a) ELSE (sqrt(greatest(a * a + (b - a) * need_one, 0)) - a) / (b - a) END END AS first_position,
+  CASE WHEN two > 0 THEN CASE WHEN a = b THEN need_two / (2 * a) ELSE (sqrt(greatest(a * a + (b - a) * need_two, 0)) - a) / (b - a) END END AS second_position
+FROM needs
 """
 
 
 @query(MIX_SQL)
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
-    from gneiss.llm.mixing import mix
+    """How many words the mix takes of each document, and when in training it is read."""
+    from gneiss.llm.mixing import curriculum
 
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_position", "second_position")
 
 
 @query()

@@ -78,3 +78,22 @@ def test_mixed_documents_are_whole_and_in_order(mixed):
     near = {d: n for d, n in plan.items() if n}
     assert {d for d in near if near[d] != got.get(d)} <= {d for d in near if abs(near[d] - got.get(d, 0)) <= 1}
     assert sum(got.values()) == pytest.approx(sum(near.values()), abs=6)
+
+
+def test_positions_follow_the_schedules(documents, odd):
+    rows = documents([(i, "w " * (1 + i * 7 % 30), "en", f"s{i % 3}") for i in range(600)]).unionByName(odd)
+    got = mixing.curriculum(rows).collect()
+    assert len(got) == 611
+    for r in got:
+        goal = round(r.target)
+        first, second = (max(0, min(r.size, goal - p * r.source_size - r.place)) for p in (0, 1))
+        assert r.taken == first + second and (r.first_position is None) == (first == 0) and (r.second_position is None) == (second == 0)
+        a, b = mixing.SCHEDULES[r.rank % 3]
+        for p, at in ((0, r.first_position), (1, r.second_position)):
+            if at is not None:
+                # The share of the source's words that the schedule has asked for by then.
+                asked = (a * at + (b - a) * at * at / 2) / ((a + b) / 2)
+                assert 0 <= at <= 1 and abs(asked * r.target - (r.place + p * r.source_size)) < 1e-6 * r.target + 1e-6
+    # The result is sorted by position over all partitions.
+    order = [r.first_position for r in got]
+    assert [x for x in order if x is not None] == sorted(x for x in order if x is not None)
