@@ -1,11 +1,11 @@
 """Document quality by co-training a text view and a metadata view.
 
-Each view has a linear classifier. In each round either classifier labels the rows of an
-unlabelled pool of which it is sure, and the other one is trained with them too. In the end
-both are calibrated on held-out labelled rows, and a logistic combination scores all documents.
+Each view has a linear classifier. In each round both score every unlabelled row of the table, and the
+rows that one is sure of, by a threshold, are taught to the other. In the end each view is calibrated on
+held-out labelled rows, and a logistic combination of the calibrated views scores all documents.
 
-Training takes a bounded sample of labelled rows and a bounded pool (``per_class``, ``pool``);
-every document is scored, over its whole text.
+A fit takes a bounded sample of labelled rows, given or taught, of either class (``per_class``, by hash);
+scores, sure rows and results cover all rows and their whole texts.
 """
 
 from __future__ import annotations
@@ -19,15 +19,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from gneiss.llm.common import stored
 from gneiss.llm.linear import Logistic, labelled_sample, newton, sigmoid, trained
 
-PER_CLASS, POOL = 2500, 4000
+#: Rows of either class that a fit takes at most: so many given ones, and so many taught ones for each view.
+PER_CLASS = 2500
 ROUNDS = 3
-#: A pseudo-label needs this probability, and a round takes so many of either class.
-SURE, EACH = 0.95, 250
+#: A pseudo-label needs this probability.
+SURE = 0.95
 CACHED = 500_000
+#: Tasks between the partitions and the one that has the least hashes of a view and label.
+SPREAD = 64
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
@@ -80,91 +84,156 @@ def numbers(names: list[str]) -> list[int]:
 
 @dataclass
 class Views:
-    """Both classifiers and the weights of their log-odds."""
+    """Both classifiers, the slope and intercept that calibrate each, and the weights of their calibrated log-odds."""
 
     text: Logistic
     metadata: Logistic
     a: float = 1.0
     b: float = 0.0
     c: float = 0.0
+    text_scale: tuple[float, float] = (1.0, 0.0)
+    metadata_scale: tuple[float, float] = (1.0, 0.0)
 
     def to_json(self) -> str:
-        return json.dumps([self.text.to_list(), self.metadata.to_list(), self.a, self.b, self.c])
+        return json.dumps([self.text.to_list(), self.metadata.to_list(), self.a, self.b, self.c, self.text_scale, self.metadata_scale])
 
     @classmethod
     def from_json(cls, text: str) -> "Views":
-        words, metadata, a, b, c = json.loads(text)
-        return cls(Logistic.from_list(words), Logistic.from_list(metadata), a, b, c)
+        words, metadata, a, b, c, text_scale, metadata_scale = json.loads(text)
+        return cls(Logistic.from_list(words), Logistic.from_list(metadata), a, b, c, tuple(text_scale), tuple(metadata_scale))
+
+    def odds(self, text: list[int], metadata: list[int]) -> tuple[float, float]:
+        """The calibrated log-odds of either view."""
+        (a, b), (c, d) = self.text_scale, self.metadata_scale
+        return a * self.text.score(text) + b, c * self.metadata.score(metadata) + d
 
     def predict(self, text: list[int], metadata: list[int]) -> tuple[float, float, float]:
-        t, m = self.text.score(text), self.metadata.score(metadata)
+        t, m = self.odds(text, metadata)
         return float(sigmoid(t)), float(sigmoid(m)), float(sigmoid(self.a * t + self.b * m + self.c))
 
+    def sure(self, text: list[int], metadata: list[int]) -> tuple[int | None, int | None]:
+        """The labels that a row teaches the text view and the metadata view, each from the other one."""
 
-def co_train(labelled: list[tuple[list[int], list[int], int]], pool: list[tuple[list[int], list[int]]], rounds: int = ROUNDS) -> Views:
-    """``labelled`` has text features, metadata features and label; every fourth row is held out."""
-    train, held = [r for i, r in enumerate(labelled) if i % 4], [r for i, r in enumerate(labelled) if i % 4 == 0]
-    told: list[list[tuple[list[int], int]]] = [[(r[v], r[2]) for r in train] for v in (0, 1)]
-    rest = list(range(len(pool)))
+        def label(odds: float) -> int | None:
+            p = float(sigmoid(odds))
+            return 1 if p >= SURE else 0 if p <= 1 - SURE else None
 
-    def fit(view: int) -> Logistic:
-        return Logistic.fit([np.array(x, np.int64) for x, _ in told[view]], np.array([y for _, y in told[view]]))
+        return label(self.metadata.score(metadata)), label(self.text.score(text))
 
-    views = [fit(0), fit(1)]
-    for _ in range(rounds):
-        taken: set[int] = set()
-        for view in (0, 1):
-            p = [(float(sigmoid(views[view].score(pool[i][view]))), i) for i in rest]
-            for label, sure in ((1, sorted((x for x in p if x[0] >= SURE), reverse=True)), (0, sorted(x for x in p if x[0] <= 1 - SURE))):
-                for _, i in sure[:EACH]:
-                    told[1 - view].append((pool[i][1 - view], label))
-                    taken.add(i)
-        if not taken:
-            break
-        rest = [i for i in rest if i not in taken]
-        views = [fit(0), fit(1)]
-    out = Views(*views)
+
+#: A labelled row: text features, metadata features and label.
+Row = tuple[list[int], list[int], int]
+
+
+def fit_views(labelled: list[Row], taught: tuple[list, list]) -> Views:
+    """Classifiers from the labelled rows but each fourth, which is held out, and (features, label) taught to each view.
+
+    The held-out rows calibrate each view, and then weigh the calibrated views.
+    """
+    train, held = [r for i, r in enumerate(labelled) if i % 4], [r for i, r in enumerate(labelled) if i % 4 == 0]
+    told = [[(r[v], r[2]) for r in train] + list(taught[v]) for v in (0, 1)]
+    out = Views(*(Logistic.fit([np.array(x, np.int64) for x, _ in rows], np.array([y for _, y in rows])) for rows in told))
     y = np.array([r[2] for r in held], float)
     if len(y) and y.min() < y.max():
-        z = np.array([[out.text.score(r[0]), out.metadata.score(r[1]), 1.0] for r in held])
-        out.a, out.b, out.c = newton(lambda w: z @ w, lambda r: z.T @ r, y, 3, np.array([0.1, 0.1, 1e-6])).tolist()
+
+        def fitted(*columns: list[float]) -> list[float]:
+            z = np.column_stack([*columns, np.ones(len(y))])
+            return newton(lambda w: z @ w, lambda r: z.T @ r, y, z.shape[1], np.array([0.1] * len(columns) + [1e-6])).tolist()
+
+        # A view that tells nothing, or the wrong way round, on held-out rows gets a slope of zero at least.
+        scores = [out.text.score(r[0]) for r in held], [out.metadata.score(r[1]) for r in held]
+        scales = [fitted(column) for column in scores]
+        out.text_scale, out.metadata_scale = ((max(a, 0.0), b) for a, b in scales)
+        odds = [out.odds(r[0], r[1]) for r in held]
+        out.a, out.b, out.c = fitted([t for t, _ in odds], [m for _, m in odds])
     return out
 
 
-FEATURES = "doc_id long, label int, text_features array<long>, metadata_features array<long>"
+def co_train(labelled: list[Row], pool: list[tuple[list[int], list[int]]], rounds: int = ROUNDS, per_class: int = PER_CLASS) -> Views:
+    """What :func:`train` does, for rows in memory; of more sure rows of a class than a fit takes, the first."""
+    views = fit_views(labelled, ([], []))
+    for _ in range(rounds):
+        sure = [views.sure(*row) for row in pool]
+        taught = tuple([(pool[i][v], y) for y in (0, 1) for i in [i for i, labels in enumerate(sure) if labels[v] == y][:per_class]] for v in (0, 1))
+        if not taught[0] and not taught[1]:
+            break
+        views = fit_views(labelled, taught)
+    return views
+
 
+FEATURES = "doc_id long, text_features array<long>, metadata_features array<long>"
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> Views:
-    """Co-train on the labelled sample and on the pool: the unlabelled rows with the least hashes.
 
-    One task trains on these rows, whose number is bounded; the driver gets the weights.
-    """
-    sample = labelled_sample(labels, "quality", per_class)
+def with_features(docs: DataFrame) -> DataFrame:
+    """doc_id and the feature numbers of both views, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: dict[str, str] = {}
         for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("label"),
-                pa.array([numbers(text_view(r["text"], kinds)) for r in rows], pa.list_(pa.int64())),
-                pa.array([numbers(metadata_view(r["source"], r["lang"], r["n_chars"])) for r in rows], pa.list_(pa.int64()))],
-                ["doc_id", "label", "text_features", "metadata_features"])
-
-    columns = ["doc_id", "label", "text", "source", "lang", "n_chars"]
-    marked = sample.withColumn("label", F.col("label").cast("int"))
-    # The pool's ids are picked before their texts are read.
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti")
-    ids = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(-1))
-    # Sample and pool are bounded, so the texts stay where they are.
-    rows = docs.join(F.broadcast(marked.union(ids)), "doc_id").select(*columns).mapInArrow(run, FEATURES).dropDuplicates(["doc_id"])
+            text = [numbers(text_view(t.as_py(), kinds)) for t in batch.column("text")]
+            metadata = [numbers(metadata_view(s.as_py(), lang.as_py(), n.as_py())) for s, lang, n in zip(*(batch.column(c) for c in ("source", "lang", "n_chars")))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.list_(pa.int64())), pa.array(metadata, pa.list_(pa.int64()))],
+                                             ["doc_id", "text_features", "metadata_features"])
+
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars")]
+    return docs.select(*columns).mapInArrow(run, FEATURES)
+
+
+def taught_rows(unlabelled: DataFrame, views: Views, per_class: int) -> DataFrame:
+    """(view, label, features) of the rows that either view is sure of: for each view and label ``per_class`` at most, by hash.
+
+    Every row is scored. The least hashes of each partition move, first to one of ``SPREAD`` tasks for each view and
+    label and then to one, so no task gets more than it can hold.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(v, y, both[v], xxhash.xxh64_intdigest(str(doc_id)) >> 1)
+                    for doc_id, *both in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_features", "metadata_features")))
+                    for v, y in enumerate(views.sure(*both)) if y is not None]
+            types = {"view": pa.int32(), "label": pa.int32(), "features": pa.list_(pa.int64()), "order": pa.int64()}
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types.values())], list(types))
+
+    sure = unlabelled.mapInArrow(run, "view int, label int, features array<long>, order long")
+    sure = sure.withColumn("task", F.spark_partition_id() % SPREAD)
+    for keys in (["view", "label", "task"], ["view", "label"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("order", "features"))
+        sure = sure.withColumn("place", place).where(F.col("place") <= per_class).drop("place")
+    return sure.drop("task")
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, rounds: int = ROUNDS) -> Views:
+    """Co-train on the labelled sample and on all rows without a label of quality.
+
+    Of repeated labelled ids the row with the least features counts. Fits run in one task on a bounded number of rows;
+    the driver gets the weights.
+    """
+    features = stored(with_features(docs), "quality_features")
+    sample = labelled_sample(labels, "quality", per_class)
+    # The sample is bounded, so the features stay where they are.
+    row = F.min(F.struct("label", "text_features", "metadata_features")).alias("row")
+    labelled = features.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(row)
+    labelled = labelled.select(F.lit(-1).alias("view"), F.col("row.label").cast("int").alias("label"), "row.text_features", "row.metadata_features",
+                               F.xxhash64("doc_id").alias("order"))
+    labelled = stored(labelled, "labelled")
+    known = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    # Rows without an id are apart, so that they aren't one key of the join.
+    named = features.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti")
+    unlabelled = stored(named.unionByName(features.where("doc_id IS NULL")), "unlabelled")
 
     def fit(table: pa.Table) -> str:
-        got = sorted(table.to_pylist(), key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
-        features = [(r["text_features"], r["metadata_features"], r["label"]) for r in got]
-        return co_train([r for r in features if r[2] >= 0], [r[:2] for r in features if r[2] < 0]).to_json()
+        got = sorted(table.to_pylist(), key=lambda r: (r["order"], r["text_features"] or [], r["metadata_features"] or []))
+        taught = tuple([(r[name], r["label"]) for r in got if r["view"] == v] for v, name in enumerate(("text_features", "metadata_features")))
+        return fit_views([(r["text_features"], r["metadata_features"], r["label"]) for r in got if r["view"] < 0], taught).to_json()
 
-    return Views.from_json(trained(rows, fit))
+    views = Views.from_json(trained(labelled, fit))
+    for _ in range(rounds):
+        taught = stored(taught_rows(unlabelled, views, per_class), "taught")
+        if taught.isEmpty():
+            break
+        own = [F.when(F.col("view") == v, F.col("features")).alias(name) for v, name in enumerate(("text_features", "metadata_features"))]
+        views = Views.from_json(trained(labelled.unionByName(taught.select("view", "label", *own, "order")), fit))
+    return views
 
 
 def score_quality(docs: DataFrame, views: Views, threshold: float = 0.5) -> DataFrame:

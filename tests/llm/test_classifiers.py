@@ -105,3 +105,45 @@ def test_logistic_regression_separates_and_penalises():
     assert model.score([1]) > 2 and model.score([2]) < -2 and abs(model.weights[5]) < 0.1
     assert linear.Logistic.fit(rows, np.zeros(100)).score([1]) < -4
     assert [len(r) for r in linear.pruned([np.array([1, 2]), np.array([1]), np.array([1, 3])])] == [1, 1, 1]
+
+
+def test_training_on_spark_equals_rows_in_memory(spark, documents, data):
+    """Every row without a label may teach: the models equal those of all rows in plain Python."""
+    (seen, labels), _ = data
+    docs, some = documents(seen), label_table(spark, labels).filter("doc_id % 5 = 0")
+    views = cotraining.train(docs, some, rounds=2)
+    rows = {r.doc_id: (r.text_features, r.metadata_features) for r in cotraining.with_features(docs).collect()}
+    order = {r.doc_id: r.order for r in some.select("doc_id", F.xxhash64("doc_id").alias("order")).collect()}
+    known = {i: q for i, q, _ in labels if i in order}
+    labelled = [(*rows[i], known[i]) for i in sorted(known, key=order.get)]
+    plain = cotraining.co_train(labelled, [row for i, row in rows.items() if i not in known], rounds=2)
+    alone = cotraining.co_train(labelled, [], rounds=2)
+    for row in rows.values():
+        assert views.predict(*row) == pytest.approx(plain.predict(*row), abs=1e-6)
+    # The text view is sure of rows here, and so teaches the metadata view.
+    assert any(abs(views.metadata.score(m) - alone.metadata.score(m)) > 1e-3 for _, m in rows.values())
+
+
+def test_sure_rows_are_bounded_by_hash_only(spark, documents, data):
+    (seen, labels), _ = data
+    features = cotraining.with_features(documents(seen)).repartition(5)
+    views = cotraining.train(documents(seen), label_table(spark, labels), rounds=0)
+    every, some = (cotraining.taught_rows(features, views, n).collect() for n in (10**6, 20))
+    want = [(v, y) for r in features.collect() for v, y in enumerate(views.sure(r.text_features, r.metadata_features)) if y is not None]
+    assert sorted((r.view, r.label) for r in every) == sorted(want) and len(want) > 100
+    for key in set(want):
+        assert sorted(r.order for r in some if (r.view, r.label) == key) == sorted(r.order for r in every if (r.view, r.label) == key)[:20]
+
+
+def test_views_are_calibrated():
+    """Scores of a view are the shares of good rows among those that it scores so."""
+    rng = np.random.default_rng(5)
+    labelled = []
+    for _ in range(4000):
+        y = int(rng.random() < 0.5)
+        labelled.append(([1 if rng.random() < (0.8 if y else 0.2) else 2], [3 if rng.random() < (0.7 if y else 0.3) else 4], y))
+    views = cotraining.fit_views(labelled, ([([1], 1)] * 500 + [([2], 0)] * 500, []))
+    text = [views.predict(t, m)[0] for t, m, _ in labelled]
+    for mark in (1, 2):
+        chosen = [(p, y) for p, (t, _, y) in zip(text, labelled) if t == [mark]]
+        assert abs(np.mean([p for p, _ in chosen]) - np.mean([y for _, y in chosen])) < 0.05
