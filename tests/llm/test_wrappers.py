@@ -120,3 +120,73 @@ def test_varying_text_overrules_a_weak_word_within_the_article(spark):
              f'<section class="comments"><p>Reader {i} says</p></section></article>') for i in range(20)]
     got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {i: f"text {i}\nMind step {i} of the recipe" for i in range(20)}
+
+
+def notice_pages(n):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(n):
+        lines = [" ".join(rng.choices(["one", "two", "three"], k=12)) + f" {i} {k}" for k in range(3)]
+        mail = ["<p>Subscribe to our daily mail for more.</p>"] if i % 5 else []
+        rows.append((i, f"http://d.example/{i}", "<article><h2>Summary</h2>" + "".join(f"<p>{x}</p>" for x in lines) + "".join(mail) + "</article>"))
+        want[i] = "\n".join(["Summary", *lines])
+    return rows, want
+
+
+def test_wrapper_takes_the_template_out_of_articles(spark):
+    """A notice within the article, told from its text by the wrapper alone; a recurring heading stays."""
+    rows, want = notice_pages(15)
+    assert {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()} == want
+    assert all(("daily mail" in wrappers.extract(html, None)) == bool(i % 5) for i, _, html in rows)
+    # Two pages don't tell what is template.
+    two = wrappers.main_text(spark.createDataFrame(rows[1:3], PAGES)).collect()
+    assert all("daily mail" in r.text for r in two)
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    rows, want = notice_pages(15)
+    copies = [(100 + i, f"http://e.example/{i}", rows[0][2]) for i in range(9)] + [(200 + i, f"http://e.example/x{i}", rows[i][2]) for i in range(2, 4)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(copies, PAGES)).collect()}
+    assert all(got[100 + i] == want[0] for i in range(9)) and all(want[i].split("\n")[1] in got[200 + i] for i in range(2, 4))
+
+
+@pytest.mark.parametrize("name", ["social-science", "menu-recipes", "newsletter-issue-12", "ads-economics", "related", "search-algorithms"])
+def test_varying_slots_overrule_what_a_name_says(spark, name):
+    rows = [(i, f"http://f.example/{i}", f'<article><p>text {i}</p><div class="{name}"><p>part {i} of the article</p></div><p class="comment">note {i}</p>'
+             f'<div class="newsletter-box"><p>no {i}</p></div><div class="ad-slot">Buy {i}</div><section class="comments"><p>Reader {i}</p></section></article>') for i in range(6)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"text {i}\npart {i} of the article\nnote {i}" for i in range(6)}
+
+
+def test_each_template_of_a_host_has_its_wrapper_however_rare(spark):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for i in range(400):
+        lines = [" ".join(rng.choices(["four", "five", "six"], k=15)) + f" {i} {k}" for k in range(2)]
+        if i % 50:
+            page = f"<body><main>{''.join(f'<p>{x}</p>' for x in lines)}<p>Sign up today.</p></main></body>"
+        else:
+            page = f"<body><section><article>{''.join(f'<p>{x}</p>' for x in lines)}<p>Written by our staff.</p></article></section></body>"
+        rows.append((i, f"http://g.example/{i}", page))
+        want[i] = "\n".join(lines)
+    df = spark.createDataFrame(rows, PAGES).repartition(5)
+    assert {r.page_id: r.text for r in wrappers.main_text(df).collect()} == want
+
+
+def test_wrappers_do_not_depend_on_how_pages_are_dealt(spark, monkeypatch):
+    rows, _ = notice_pages(40)
+    found = []
+    for parts, held in ((1, 512), (7, 512), (7, 1)):
+        monkeypatch.setattr(wrappers, "HELD", held)
+        found.append([tuple(r) for r in wrappers.wrappers(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()])
+    assert found[0] == found[1] == found[2] and "http" not in found[0][0][1]
+
+
+def test_slots_count_frequent_texts_within_bounds():
+    groups = [wrappers.Group.of(wrappers.parse(f"<p>{f'same' if i % 3 else i}</p>" + "".join(f"<p>{i} {k}</p>" for k in range(5)))) for i in range(600)]
+    whole = groups[0]
+    for g in groups[1:]:
+        whole.merge(g)
+    slot = whole.inside[0].inside[0]
+    same = wrappers.xxhash.xxh3_64_hexdigest("same")
+    assert len(slot.often) <= wrappers.COUNTED and slot.pages == 600 and 300 < slot.often[same] <= 400
