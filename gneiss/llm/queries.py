@@ -80,10 +80,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of each document, lines removed as part of repeated chunks and runs, and the digest of the rest."""
+    """Lines of each document, lines removed as part of repeated chunks that have grown, and the digest of the rest."""
     from gneiss.llm.line_dedup import line_dedup
 
-    rows = line_dedup(table(spark, sf_dir, "documents"), whole_runs=True)
+    rows = line_dedup(table(spark, sf_dir, "documents"), grown=True)
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
