@@ -2,9 +2,10 @@
 
 The lexicon has the terms whose inverse document frequency, over all documents, lies within a
 band. A fingerprint has one hash for each of several random subsets of the lexicon: that of the
-document's distinct terms in the subset. The exclusive or of the terms' hashes stands for the
-hash of the sorted terms, since neither depends on the order they come in. Subsets thin out by
-halves, so that some are small enough to survive an edit whatever the size of the document.
+document's distinct terms in the subset. The exclusive or of the terms' 64-bit hashes, which differ
+from subset to subset, stands for the hash of the sorted terms, since neither depends on the order they
+come in. Subsets are drawn apart from each other and thin out by halves, so that some are small enough to
+survive an edit whatever the size of the document.
 
 DataFrame functions only. The upper end of the band bounds the lexicon: a term in at least a
 share s of the documents is one of at most (mean distinct terms of a document) / s terms,
@@ -25,10 +26,9 @@ from gneiss.llm.common import row_key, shuffle_width, stored
 #: The band of ln(documents / documents with the term): terms of 10 % to 0.05 % of all documents.
 BAND = (math.log(1 / 0.1), math.log(1 / 0.0005))
 BROADCAST_TERMS = 4_000_000
-#: Subsets of the lexicon: the position of the hash bits that pick it, and their number. One in
-#: 2^number terms is picked; the sizes that most documents have few terms of come four times.
-POSITIONS = (0, 12, 24, 36)
-SUBSETS = [(p, n) for n, times in enumerate((1, 1, 2, 4, 4, 4, 4, 4, 4, 4, 2, 2)) for p in POSITIONS[:times]]
+#: Subsets of the lexicon: the number of hash bits that are zero in what it picks, so one in
+#: 2^number terms; the sizes that most documents have few terms of come four times.
+SUBSETS = [n for n, times in enumerate((1, 1, 2, 4, 4, 4, 4, 4, 4, 4, 2, 2)) for _ in range(times)]
 LEAST = -(2**63)
 
 
@@ -48,6 +48,11 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     return counts.where((idf >= round(band[0], 9)) & (idf <= round(band[1], 9))).select("term")
 
 
+def subset_hash(term: Column, subset: int) -> Column:
+    """A 64-bit hash of a term for each subset; it draws the subset, too."""
+    return F.xxhash64(term, F.lit(subset))
+
+
 def signatures(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
     """The rows, without ``text`` and each once, with ``signature``: an array with a hash or null for each subset.
 
@@ -58,18 +63,20 @@ def signatures(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
     each = rows.select(*rest, F.explode_outer(terms(F.col(text))).alias("term"))
     each = each.join((F.broadcast(known) if small else known).withColumn("inside", F.lit(True)), "term", "left")
 
-    def picked(position: int, bits: int) -> Column:
-        return F.col("inside") & (F.shiftright("term", position).bitwiseAND(F.lit(2**bits - 1)) == 0)
+    def drawn(subset: int) -> Column:
+        """The term's hash for a subset of the lexicon, null if the term isn't in it."""
+        own = subset_hash(F.col("term"), subset)
+        return F.when(F.col("inside") & (own.bitwiseAND(F.lit(2 ** SUBSETS[subset] - 1)) == 0), own)
 
-    hashes = [F.bit_xor(F.when(picked(*s), F.hash("term"))).alias(f"__s{i}") for i, s in enumerate(SUBSETS)]
-    found = each.groupBy(*rest).agg(F.bit_xor(F.hash("term")).alias("__all"), F.count("term").alias("__n"), *hashes)
+    hashes = [F.bit_xor(drawn(i)).alias(f"__s{i}") for i in range(len(SUBSETS))]
+    found = each.groupBy(*rest).agg(F.bit_xor(subset_hash(F.col("term"), 0)).alias("__all"), F.count("term").alias("__n"), *hashes)
     first = F.coalesce("__s0", F.when(F.col("__n") > 0, F.col("__all")))
     return found.select(*rest, F.array(first, *[F.col(f"__s{i}") for i in range(1, len(SUBSETS))]).alias("signature"))
 
 
 def as_text(signature: Column) -> Column:
-    """Eight hex digits for each subset, dashes for an empty one."""
-    return F.array_join(F.transform(signature, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), F.lit("-" * 8))), "")
+    """Sixteen hex digits for each subset, dashes for an empty one."""
+    return F.array_join(F.transform(signature, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s), 16, "0")), F.lit("-" * 16))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:

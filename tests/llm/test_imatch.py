@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gneiss.llm import imatch
 
@@ -64,3 +65,68 @@ def test_next_rows(spark, ids):
     got = {r.key: r.next_key for r in imatch.with_next(rows, "key").collect()}
     order = [n for _, n in sorted(enumerate(ids), key=lambda x: 0)] and sorted(range(len(ids)), key=lambda n: (ids[n] is None, -(ids[n] or 0), n))
     assert got == {n: order[(k + 1) % len(order)] for k, n in enumerate(order)}
+
+
+def by_hand(rows, band):
+    """Signatures of the texts in plain Python, with Spark's hash of a term for each subset."""
+    import xxhash
+
+    def spark_hash(value, seed):
+        """xxhash64 of a long, as Spark takes it: the hash of its eight bytes."""
+        return xxhash.xxh64_intdigest((value % 2**64).to_bytes(8, "little"), seed)
+
+    terms = {i: {xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[^\w]+", text.lower()) if w} for i, text in rows}
+    n = {}
+    for found in terms.values():
+        for t in found:
+            n[t] = n.get(t, 0) + 1
+    inside = {t for t, c in n.items() if round(band[0], 9) <= round(math.log(len(rows) / c), 9) <= round(band[1], 9)}
+
+    def subset(t, i):
+        seed = spark_hash(t, 42)
+        return xxhash.xxh64_intdigest(i.to_bytes(4, "little"), seed)
+
+    out = {}
+    for i, found in terms.items():
+        row = []
+        for k, bits in enumerate(imatch.SUBSETS):
+            picked = [subset(t, k) for t in found & inside if subset(t, k) % 2**bits == 0]
+            if k == 0 and not picked:
+                picked = [subset(t, 0) for t in found]
+            total = 0
+            for h in picked:
+                total ^= h
+            row.append((total - 2**64 if total >= 2**63 else total) if picked else None)
+        out[i] = row
+    return out
+
+
+@pytest.mark.parametrize("limit", [imatch.BROADCAST_TERMS, 0])
+def test_signatures_equal_plain_python(documents, texts, monkeypatch, limit):
+    """With a lexicon that is broadcast, and with one that is joined by a shuffle."""
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", limit)
+    band = (math.log(1 / 0.2), math.log(1 / 0.03))
+    rows = [*texts, (1000, "c0 c1"), (1001, "")]
+    want = by_hand(rows, band)
+    got = {r.doc_id: r.signature for r in imatch.fingerprints(documents(rows), band).collect()}
+    assert got == want
+
+
+def test_likeness_of_edited_texts_equals_plain_python(documents, texts):
+    want = by_hand(texts, imatch.BAND)
+    got = {r.doc_id: r for r in imatch.edit_likeness(documents(texts)).collect()}
+    order = [i for i, _ in sorted(texts, reverse=True)]
+    for k, i in enumerate(order):
+        a, b = want[i], want[order[(k + 1) % len(order)]]
+        told = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+        assert got[i].near_next == pytest.approx(sum(x == y for x, y in told) / len(told) if told else 1)
+        assert got[i].fingerprint == "".join("-" * 16 if x is None else f"{x % 2**64:016x}" for x in a)
+
+
+def test_subsets_are_drawn_apart(spark):
+    """Two subsets of a size share as many terms as chance has it: none holds the other."""
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("term"))
+    two = [i for i, n in enumerate(imatch.SUBSETS) if n == 3][:2]
+    hits = [imatch.subset_hash(F.col("term"), i).bitwiseAND(F.lit(7)) == 0 for i in two]
+    found = rows.agg(*[F.count_if(h) for h in hits], F.count_if(hits[0] & hits[1])).first()
+    assert all(2200 < n < 2800 for n in found[:2]) and 200 < found[2] < 430
