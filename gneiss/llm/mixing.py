@@ -132,8 +132,14 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, weig
     """The documents in training order, whole and as often as the mix takes them, to the nearest time.
 
     A document appears as often as ``taken / size`` rounds to; texts are not cut. Documents without words take no share and stay out. Columns stay as they are.
+    Repeated rows (equal id and text) are taken equally often: as often as all of their words together are, from the least of
+    their places on.
     """
-    plan = mix(docs, share, most, weights).dropDuplicates(["doc_id", "key"])
+    plan = mix(docs, share, most, weights)
+    # Rows of one id and text have one source unless their sources differ, and then the least place tells it.
+    first = F.min(F.struct("place", "source_size", "target", "rank")).alias("first")
+    plan = plan.groupBy("doc_id", "key").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"), first)
+    plan = plan.select("doc_id", "key", "size", "taken", "first.*")
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     plan = plan.withColumn("__times", times).where("__times > 0").select(
         F.col("doc_id").alias("__id"), F.col("key").alias("__k"), "__times",

@@ -99,7 +99,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Chain:
     """A chain on the labelled sample: toxic prose, toxic junk (of low quality), toxic.
 
-    One task trains on the sample, whose rows are bounded by ``per_class``; the driver gets the weights.
+    Of repeated labelled ids the row with the least hash of its text counts, null texts first. One task trains on the sample, whose rows are bounded by ``per_class``; the driver gets the weights.
     """
     sample = labelled_sample(labels, "toxic", per_class).withColumnRenamed("label", "toxic")
     quality = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -109,12 +109,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Cha
         for batch in batches:
             found = [text_features(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(["doc_id", "toxic", "quality"]).columns, pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "toxic", "quality", "features"])
+                [*batch.select(["doc_id", "toxic", "quality", "order"]).columns, pa.array(found, pa.list_(pa.int64()))],
+                ["doc_id", "toxic", "quality", "order", "features"])
 
     # The sample's size is bounded, so the texts stay where they are.
-    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "quality", "text")
-    rows = texts.mapInArrow(run, "doc_id long, toxic int, quality int, features array<long>").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "toxic", "quality", "text",
+        F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("order"))
+    rows = texts.mapInArrow(run, "doc_id long, toxic int, quality int, order long, features array<long>")
+    row = F.min(F.struct("order", "features", "toxic", "quality")).alias("row")
+    rows = rows.groupBy("doc_id").agg(row).select("doc_id", "row.toxic", "row.quality", "row.features")
 
     def fit(table: pa.Table) -> str:
         order = sorted(range(len(table)), key=lambda i: xxhash.xxh64_intdigest(str(table.column("doc_id")[i].as_py())))

@@ -147,3 +147,12 @@ def test_views_are_calibrated():
     for mark in (1, 2):
         chosen = [(p, y) for p, (t, _, y) in zip(text, labelled) if t == [mark]]
         assert abs(np.mean([p for p, _ in chosen]) - np.mean([y for _, y in chosen])) < 0.05
+
+
+def test_repeated_labelled_ids_with_different_texts(spark, documents, data):
+    """Which text of an id teaches doesn't depend on how rows are spread."""
+    (seen, labels), _ = data
+    again = [(i, f"{text} {'vexlor' if i % 2 else 'word1'}", *rest) for i, text, *rest in seen[:200]]
+    table, rows = label_table(spark, labels), [*seen, *again, (seen[0][0], None, "en", "s")]
+    chains = {toxicity.train(documents(some).repartition(n), table).to_json() for n, some in ((1, rows), (4, rows[::-1]), (7, rows))}
+    assert len(chains) == 1

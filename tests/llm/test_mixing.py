@@ -97,3 +97,24 @@ def test_positions_follow_the_schedules(documents, odd):
     # The result is sorted by position over all partitions.
     order = [r.first_position for r in got]
     assert [x for x in order if x is not None] == sorted(x for x in order if x is not None)
+
+
+def test_repeated_rows_are_taken_equally_often_and_reruns_agree(documents):
+    """Rows of one id and text, in one source and over two, among others; however they are spread."""
+    rows = [(i, "w " * (1 + i % 9), "en", f"s{i % 3}") for i in range(60)]
+    rows += [(7, "a b c", "en", "s1")] * 40 + [(8, "d e", "en", f"s{i % 2}") for i in range(30)]
+    runs = []
+    for n in (1, 5, 9):
+        got = {}
+        for r in mixing.mixed_documents(documents(rows).repartition(n)).collect():
+            got[r.doc_id, r.text, r.source] = got.get((r.doc_id, r.text, r.source), 0) + 1
+        runs.append(got)
+    assert runs[0] == runs[1] == runs[2]
+    plan = [r for r in mixing.mix(documents(rows)).collect()]
+    for doc_id, size, copies in ((7, 3, 40), (8, 2, 30)):
+        mine = [r for r in plan if r.doc_id == doc_id and r.size == size]
+        extra = [r for r in rows if r[0] == doc_id and len(r[1].split()) == size]
+        assert len(mine) == len(extra) == copies
+        times = round(sum(r.taken for r in mine) / sum(r.size for r in mine))
+        found = {k: n for k, n in runs[0].items() if k[0] == doc_id and len(k[1].split()) == size}
+        assert sum(found.values()) == times * copies and len(found) <= 2
