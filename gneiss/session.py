@@ -15,9 +15,9 @@ def build_session(app="gneiss", master=None, input_bytes: int | None = None, **c
     """A session with the settings the operators assume: UTC, ANSI and adaptive execution.
 
     Skew splitting and runtime broadcast choice are left to adaptive execution, which
-    checks real sizes; nothing in the package forces a broadcast. ``input_bytes`` sizes
-    the shuffles of a job for its input; adaptive execution merges partitions that turn
-    out small.
+    checks real sizes; a broadcast is forced only for sides of a known bound.
+    ``input_bytes`` sizes the shuffles of a job for its input; adaptive execution merges
+    partitions that turn out small.
     """
     builder = SparkSession.builder.appName(app)
     if master:
