@@ -55,3 +55,25 @@ def test_nothing_below_a_location_is_an_orphan(spark, rows):
     roots = {r.root: (r.whole, r.folders) for r in housekeeping.orphan_roots(files, tables).collect()}
     assert roots["s3://b/lost"] == (True, 2) and roots["s3://b/deep"] == (False, 1) and roots["s3://c"] == (True, 1) and roots["/local/u"] == (True, 1)
     assert not any(p.startswith(r + "/") for p in ("s3://b/a/date=1", "s3://b/deep/in/t") for r, (whole, _) in roots.items() if whole)
+
+
+def test_a_listing_is_read_once(spark, tmp_path, plan):
+    """Folders take their figures along, so neither orphans nor locations nor roots compute the listing again."""
+    spark.createDataFrame([("s3://b/a/x", 1)], "path STRING, size BIGINT").write.parquet(f"{tmp_path}/files")
+    files = spark.read.parquet(f"{tmp_path}/files")
+    tables = spark.createDataFrame([("a", "s3://b/a/")], "tableName STRING, location STRING")
+    for made in (housekeeping.find_orphans, housekeeping.table_locations, housekeeping.orphan_roots):
+        assert plan(made(files, tables)).count("FileScan parquet") == 1
+
+
+def test_folders_meet_locations_only_at_their_depths(spark, rows):
+    places = spark.createDataFrame([("s3://b/a/b",), ("s3://b/c/d",)], "_place STRING")
+    folders = spark.createDataFrame([("s3://b/a/b/c/d/e/f", 1, 1), ("s3://b", 2, 2), (None, 3, None), ("s3://b/c", 4, 4)], "path_modified STRING, files INT, bytes INT")
+    found = housekeeping.innermost(folders, places, "level")
+    assert rows(found) == sorted([("s3://b/a/b/c/d/e/f", 1, 1, 5), ("s3://b", 2, 2, None), (None, 3, None, None), ("s3://b/c", 4, 4, None)], key=repr)
+
+
+def test_folder_with_double_slash_that_leads_to_a_table_stays(spark, rows):
+    files = spark.createDataFrame([("s3://b//deep/x", 1), ("s3://b//lost/in/x", 1)], "path STRING, size BIGINT")
+    tables = spark.createDataFrame([("t", "s3://b/deep/in/t")], "tableName STRING, location STRING")
+    assert rows(housekeeping.orphan_roots(files, tables), "root", "whole") == [("s3://b//deep", False), ("s3://b/lost", True)]
