@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gneiss.operators.changes import AFTER, BEFORE, DELETE, INSERT
 from gneiss.operators.keys import key_list
+from gneiss.sources.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -58,12 +59,12 @@ class AggregateView:
         return changed.groupBy(*self.keys).agg(
             F.sum("_sign").alias("_rows"),
             *[F.sum(F.when(F.col(c).isNotNull(), F.col("_sign"))).alias(f"_n_{c}") for c in self.sums],
-            *[self._stored_sum(self._exact(c) * F.col("_sign")).alias(f"_sum_{c}") for c in self.sums],
+            *[self._stored_sum(F.when(up, self._exact(c)).otherwise(-self._exact(c))).alias(f"_sum_{c}") for c in self.sums],
             *[f(F.when(w, F.col(c))).alias(f"_{n}_{c}") for c in self.extremes
               for n, f, w in (("new_min", F.min, up), ("new_max", F.max, up), ("old_min", F.min, down), ("old_max", F.max, down))],
         )
 
-    def refresh(self, view: DataFrame, feed: DataFrame, base: DataFrame) -> DataFrame:
+    def refresh(self, view: DataFrame, feed: DataFrame, base: DataFrame, stage_path: str | None = None) -> DataFrame:
         """The view after the changes in ``feed``; ``base`` is the table after them.
 
         A group is read again from ``base`` if a row with its least or greatest value was taken away and none as
@@ -88,6 +89,8 @@ class AggregateView:
         low = [F.least(f"min_{c}", f"_new_min_{c}").alias(f"min_{c}") for c in self.extremes]
         high = [F.greatest(f"max_{c}", f"_new_max_{c}").alias(f"max_{c}") for c in self.extremes]
         moved = both.filter(rows > 0).select(*[v.alias(k) for k, v in key.items()], rows.cast("bigint").alias("row_count"), *counts, *sums, *low, *high, lost.alias("_lost"))
+        if stage_path:
+            moved = materialize(moved, stage_path)
         steady = moved.filter(~F.col("_lost")).drop("_lost")
         stale = moved.filter("_lost").select(*[F.col(k).alias(f"_key_{k}") for k in self.keys])
         again = base.join(stale, [base[k].eqNullSafe(stale[f"_key_{k}"]) for k in self.keys], "left_semi")

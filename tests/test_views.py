@@ -50,3 +50,15 @@ def test_only_groups_that_lost_an_extreme_are_read_again(spark, monkeypatch):
     monkeypatch.setattr(views.AggregateView, "full", spy)
     view.refresh(stored, changes.change_feed(old, new, "id", 1, "2024-01-01"), new).collect()
     assert read == [{"g0"}]
+
+
+def test_staged_groups_are_joined_once(spark, rows, plan, tmp_path):
+    rng = random.Random(7)
+    view = views.AggregateView.of("g, h", ["x", "n"], ["x", "n"])
+    before = state(rng, {})
+    old, new = (spark.createDataFrame(list(s.values()), SCHEMA) for s in (before, state(rng, before)))
+    feed = changes.change_feed(old, new, "id", 1, "2024-01-01")
+    staged = view.refresh(view.full(old), feed, new, str(tmp_path / "moved"))
+    assert "FullOuter" in plan(view.refresh(view.full(old), feed, new)) and "FullOuter" not in plan(staged)
+    assert staged.schema.simpleString() == view.full(new).schema.simpleString() and rows(staged) == rows(view.full(new))
+    assert spark.read.parquet(str(tmp_path / "moved")).filter("_lost").count() > 0

@@ -246,11 +246,12 @@ def versioned_table(t):
 def view_refresh(t):
     """Orders per status and customer at the first date, brought to the last one by three change feeds."""
     view = views.AggregateView.of("o_orderstatus, o_custkey", ["o_totalprice"], ["o_totalprice"])
-    rows, root = view.full(t.snapshot(1)), scratch_path(t.spark, "view")
+    root = scratch_path(t.spark, "view")
+    rows = tables.materialize(view.full(t.snapshot(1)), f"{root}/view1")
     for version in (2, 3, 4):
         before, after = t.snapshot(version - 1), t.snapshot(version)
         feed = tables.materialize(changes.change_feed(before, after, ["o_orderkey"], version, "2001-08-01"), f"{root}/feed{version}")
-        rows = tables.materialize(view.refresh(rows, feed, after), f"{root}/view{version}")
+        rows = tables.materialize(view.refresh(rows, feed, after, f"{root}/moved{version}"), f"{root}/view{version}")
     return rows.withColumn("sum_o_totalprice", F.col("sum_o_totalprice").cast("double"))
 
 

@@ -139,21 +139,13 @@ class Shapes:
 
     def snapshots(self) -> DataFrame:
         """The order book at four dates: finished orders leave it after three years."""
-        dates = F.transform(F.array(*map(F.lit, SNAPSHOT_DATES)), lambda d, i: F.struct((i + 1).alias("v"), d.cast("timestamp_ntz").alias("at")))
-        ordered = F.col("o_orderdate")
-        listed = self.table("orders").select("*", F.inline(dates))
-        live = (ordered <= F.col("at")) & ((F.col("o_orderstatus") != "F") | (ordered > F.expr("at - INTERVAL '3' YEAR")))
-        fresh = ordered > F.expr("at - INTERVAL '1' YEAR")
-        return listed.filter(live).select(
-            F.col("v").cast("bigint").alias("version"),
-            "o_orderkey",
-            "o_custkey",
-            F.when(fresh, "P").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-            "o_totalprice",
-        )
+        names = ["version", "at", "leaving", "aged"]
+        dates = [F.struct(*[c.alias(n) for n, c in zip(names, [F.lit(v).cast("bigint"), *book_dates(d)])]) for v, d in enumerate(SNAPSHOT_DATES, 1)]
+        return order_book(self.table("orders").select("*", F.inline(F.array(*dates))), *map(F.col, names))
 
     def snapshot(self, version: int) -> DataFrame:
-        return self.snapshots().filter(F.col("version") == version).drop("version")
+        """The order book at one of the dates, by the same rules; other dates are not derived for it."""
+        return order_book(self.table("orders"), F.lit(version), *book_dates(SNAPSHOT_DATES[version - 1])).drop("version")
 
     def file_listing(self) -> DataFrame:
         """One file per line item, stored in a folder per part."""
@@ -196,6 +188,25 @@ def code(key) -> Column:
     return F.format_string("%05d", key)
 
 
+def book_dates(date: str) -> list[Column]:
+    """A snapshot's date, and those up to which finished orders have left it and others are no longer fresh; all constants."""
+    at = F.lit(date).cast("timestamp_ntz")
+    return [at, at - F.expr("INTERVAL '3' YEAR"), at - F.expr("INTERVAL '1' YEAR")]
+
+
+def order_book(orders: DataFrame, version: Column, at: Column, leaving: Column, aged: Column) -> DataFrame:
+    """Orders in the book at the dates given, with the status they had then."""
+    ordered = F.col("o_orderdate")
+    live = (ordered <= at) & ((F.col("o_orderstatus") != "F") | (ordered > leaving))
+    return orders.filter(live).select(
+        version.alias("version"),
+        "o_orderkey",
+        "o_custkey",
+        F.when(ordered > aged, "P").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_totalprice",
+    )
+
+
 def metadata_table(key):
     return [
         F.lit("main").alias("catalog_name"),
